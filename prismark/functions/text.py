@@ -117,9 +117,9 @@ def tokenize(x: Column | str) -> Column:
 
 def remove_stop_words(x: Column | str, stop_words: Iterable[str]) -> Column:
     """Lower, split on white space, drop exact stop words, rejoin with a space."""
-    stop = F.array(*[F.lit(w) for w in sorted(set(stop_words))])
+    stop = sorted(set(stop_words))
     words = F.split(F.lower(_c(x)), r"(?U)\s+")
-    return F.array_join(F.filter(words, lambda w: (w != "") & ~F.array_contains(stop, w)), " ")
+    return F.array_join(F.filter(words, lambda w: (w != "") & ~w.isin(*stop)), " ")
 
 
 TERM_PATTERN = r"(?U)\b[a-z]{3,}\b"
@@ -131,23 +131,35 @@ def term_tokens(x: Column | str) -> Column:
 
 
 def drop_tokens(tokens: Column, stop_words: Iterable[str]) -> Column:
-    stop = F.array(*[F.lit(w) for w in sorted(set(stop_words))])
-    return F.filter(tokens, lambda w: ~F.array_contains(stop, w))
+    """Drop listed tokens; ``isin`` over many literals is planned as a hash-set lookup."""
+    stop = sorted(set(stop_words))
+    if not stop:
+        return tokens
+    return F.filter(tokens, lambda w: ~w.isin(*stop))
 
 
 def ngrams(tokens: Column, lo: int = 1, hi: int = 3) -> Column:
-    """Every n-gram for n in [lo, hi], space-joined; n-grams span adjacent tokens."""
+    """Every n-gram for n in [lo, hi], space-joined; n-grams span adjacent tokens.
+
+    Built from shifted slices combined with ``zip_with``: linear in the token
+    count.  Pass a column reference (not a long expression) as ``tokens``.
+    """
     parts = []
     size = F.size(tokens)
     for n in range(lo, hi + 1):
-        grams = F.transform(
-            F.sequence(F.lit(1), F.greatest(size - n + 1, F.lit(1))),
-            lambda i, n=n: F.array_join(F.slice(tokens, i, n), " "),
-        )
-        parts.append(F.when(size >= n, grams).otherwise(F.array().cast("array<string>")))
+        m = F.greatest(size - n + 1, F.lit(0))
+        acc = F.slice(tokens, 1, m)
+        for k in range(1, n):
+            acc = F.zip_with(acc, F.slice(tokens, k + 1, m), lambda x, y: F.concat(x, F.lit(" "), y))
+        parts.append(acc)
     return F.flatten(F.array(*parts))
 
 
 def ascii_text(x: Column | str) -> Column:
     """Every non-printable-ASCII character becomes a space (oracle-parity view)."""
     return F.regexp_replace(_c(x), r"[^ -~]", " ")
+
+
+def ascii_lines(x: Column | str) -> Column:
+    """Like :func:`ascii_text` but keeps line breaks."""
+    return F.regexp_replace(_c(x), r"[^\n -~]", " ")

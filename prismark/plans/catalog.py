@@ -242,3 +242,464 @@ def cluster_sizes_q(spark, sf_dir):
 def cluster_corpus(spark, sf_dir):
     a = fx.articles(spark, sf_dir).withColumn("Cluster", F.col("Cluster").cast("long"))
     return biblio.concat_cluster_text(a, "Cluster", "article_id", "Abstract", docs_per_chunk=50)
+
+
+# --- X4-X10, X13: text cleaning on whole documents ------------------------------------
+
+from prismark.functions import text as tx  # noqa: E402
+from prismark.functions.stopwords import (  # noqa: E402
+    SUPPLEMENTARY_FULLTEXT,
+    sql_list,
+    stop_words,
+)
+from prismark.operators import features as ft  # noqa: E402
+
+_LINES_SQL = (
+    "list_filter(list_transform(string_split_regex(regexp_replace(replace(text, chr(160), ' '), '[ \\t]+', ' ', 'g'), "
+    "'\\r\\n|[\\n\\r\\x0b\\x0c\\x1c-\\x1e\\x{85}\\x{2028}\\x{2029}]'), lambda l: regexp_replace(l, '^\\s+|\\s+$', '', 'g')), "
+    "lambda l: l <> '')"
+)
+_INTRO = "'(?i)(introduction|background)'"
+_STOP = ("'(?i)(references|bibliography|literature cited)|(acknowledg(e)?ments?)|"
+         "(supplementary( material)?|appendix|annexe[s]?)'")
+
+
+@register("body_extraction", (
+    "with l as (select doc_id, " + _LINES_SQL + " as lines from documents), "
+    "p as (select doc_id, lines, coalesce(list_position(list_transform(lines, lambda x: regexp_full_match(x, "
+    + _INTRO + ")), true), 0) as i from l), "
+    "q as (select *, case when i = 0 then 0 else coalesce(list_position(list_transform(list_slice(lines, i + 1, len(lines)), "
+    "lambda x: regexp_full_match(x, " + _STOP + ")), true), 0) end as j from p) "
+    "select doc_id, array_to_string(case when i = 0 then lines when j = 0 then list_slice(lines, i, len(lines)) "
+    "else list_slice(lines, i, i + j - 1) end, chr(10)) as body from q"
+))
+def body_extraction_q(spark, sf_dir):
+    d = fx.table(spark, sf_dir, "documents")
+    return d.select("doc_id", tx.body_extraction("text").alias("body"))
+
+
+_ASCII_LINES_SQL = "regexp_replace(text, '[^\\n -~]', ' ', 'g')"
+
+
+@register("clean_text", (
+    "with d as (select doc_id, " + _ASCII_LINES_SQL + " as t from documents), "
+    "a as (select doc_id, replace(regexp_replace(t, '-\\n(\\w+)', '\\1', 'g'), chr(10), ' ') as t from d), "
+    "b as (select doc_id, regexp_replace(t, '\\[\\s*\\d+(?:\\s*[-,]\\s*\\d+)*\\s*\\]', '', 'g') as t from a), "
+    "c as (select doc_id, regexp_replace(t, 'https?://\\S+|www\\.\\S+', '', 'g') as t from b), "
+    "e as (select doc_id, regexp_replace(regexp_replace(t, '(?i)\\bdoi:\\s*\\S+', '', 'g'), "
+    "'\\b10\\.\\d{4,9}/\\S+\\b', '', 'g') as t from c) "
+    "select doc_id, t as cleaned from e"
+))
+def clean_text_q(spark, sf_dir):
+    d = fx.table(spark, sf_dir, "documents")
+    return d.select("doc_id", tx.clean_text(tx.ascii_lines("text")).alias("cleaned"))
+
+
+FULLTEXT_STOP = stop_words(extra=SUPPLEMENTARY_FULLTEXT)
+ABSTRACT_STOP = stop_words()
+
+
+@register("stop_word_removal", (
+    "select doc_id, array_to_string(list_filter(string_split_regex(lower(" + _ASCII_LINES_SQL + "), '\\s+'), "
+    "lambda w: w <> '' and not list_contains(" + sql_list(FULLTEXT_STOP) + ", w)), ' ') as filtered from documents"
+))
+def stop_word_removal(spark, sf_dir):
+    d = fx.table(spark, sf_dir, "documents")
+    return d.select("doc_id", tx.remove_stop_words(tx.ascii_lines("text"), FULLTEXT_STOP).alias("filtered"))
+
+
+# --- M1-M3, O1, O4: TF-IDF over the whole document table ----------------------------
+
+_TFIDF_CTES = (
+    "with d as (select doc_id, regexp_replace(text, '[^ -~]', ' ', 'g') as text from documents), "
+    "nd as (select count(*) as n from d), "
+    "toks as (select doc_id, list_filter(regexp_extract_all(lower(text), '\\b[a-z]{3,}\\b'), "
+    "lambda t: not list_contains(" + sql_list(ABSTRACT_STOP) + ", t)) as t from d), "
+    "grams as (select doc_id, unnest(list_concat(t, "
+    "list_transform(range(1, len(t)), lambda i: t[i] || ' ' || t[i + 1]), "
+    "list_transform(range(1, len(t) - 1), lambda i: t[i] || ' ' || t[i + 1] || ' ' || t[i + 2]))) as term from toks), "
+    "dt as (select doc_id, term, count(*) as cnt from grams group by 1, 2), "
+    "stats as (select term, count(*) as df, cast(sum(cnt) as bigint) as tf from dt group by 1), "
+    "vocab as (select term, df, tf, ln((1 + (select n from nd)) / (1 + df)) + 1 as idf from stats "
+    "where df >= 2 and df <= 0.8 * (select n from nd) order by tf desc, term limit 200), "
+    "raw as (select dt.doc_id, dt.term, dt.cnt * v.idf as w from dt join vocab v using (term)), "
+    "weights as (select doc_id as doc, term, w / sqrt(sum(w * w) over (partition by doc_id)) as weight from raw) "
+)
+
+
+def _tfidf(spark, sf_dir):
+    d = fx.ascii_documents(spark, sf_dir)
+    return ft.tfidf(d, "doc_id", "text", ABSTRACT_STOP, max_features=200, min_df=2, max_df=0.8)
+
+
+@register("tfidf_vocabulary", _TFIDF_CTES + "select term, df, tf, round(idf, 6) as idf from vocab")
+def tfidf_vocabulary(spark, sf_dir):
+    _, vocab, _ = _tfidf(spark, sf_dir)
+    return vocab.select("term", "df", "tf", F.round("idf", 6).alias("idf"))
+
+
+@register("tfidf_weights", _TFIDF_CTES + "select doc, term, round(weight, 6) as weight from weights")
+def tfidf_weights(spark, sf_dir):
+    w, _, _ = _tfidf(spark, sf_dir)
+    return w.select("doc", "term", F.round("weight", 6).alias("weight"))
+
+
+@register("mean_term_scores", _TFIDF_CTES
+          + "select term, round(sum(weight) / (select n from nd), 6) as score from weights group by 1")
+def mean_term_scores(spark, sf_dir):
+    w, _, n = _tfidf(spark, sf_dir)
+    return ft.mean_term_score(w, n).select("term", F.round("score", 6).alias("score"))
+
+
+@register("top_terms", _TFIDF_CTES
+          + ", s as (select term, sum(weight) / (select n from nd) as score from weights group by 1) "
+          "select term, round(score, 6) as score from s order by score desc, term limit 20")
+def top_terms_q(spark, sf_dir):
+    w, _, n = _tfidf(spark, sf_dir)
+    return ft.top_terms(ft.mean_term_score(w, n), 20).select("term", F.round("score", 6).alias("score"))
+
+
+@register("top_terms_per_cluster", _TFIDF_CTES
+          + ", lab as (select doc_id as doc, cast(doc_id % 3 as bigint) as cluster from documents), "
+          "sz as (select cluster, count(*) as n_docs from lab group by 1), "
+          "m as (select l.cluster, w.term, sum(w.weight) / any_value(sz.n_docs) as score from weights w "
+          "join lab l using (doc) join sz using (cluster) group by 1, 2), "
+          "r as (select *, row_number() over (partition by cluster order by score desc, term) as rank from m) "
+          "select cluster, term, round(score, 6) as score, rank from r where rank <= 8")
+def top_terms_per_cluster_q(spark, sf_dir):
+    w, _, _ = _tfidf(spark, sf_dir)
+    labels = fx.table(spark, sf_dir, "documents").select(
+        F.col("doc_id").alias("doc"), (F.col("doc_id") % 3).cast("long").alias("cluster")
+    )
+    out = ft.top_terms_per_cluster(w, labels, 8)
+    return out.select("cluster", "term", F.round("score", 6).alias("score"), F.col("rank").cast("long"))
+
+
+# --- M11 / M13: class-based TF-IDF over topics --------------------------------------
+
+_CTFIDF_CTES = (
+    "with d as (select cast(doc_id % 3 as bigint) as topic, regexp_replace(text, '[^ -~]', ' ', 'g') as text from documents), "
+    "w as (select topic, unnest(regexp_extract_all(lower(text), '\\b\\w\\w+\\b')) as term from d), "
+    "c as (select topic, term, count(*) as cnt from w group by 1, 2), "
+    "tt as (select topic, sum(cnt) as topic_words from c group by 1), "
+    "a as (select floor(avg(topic_words)) as avg_words from tt), "
+    "f as (select term, sum(cnt) as f from c group by 1), "
+    "s as (select c.topic, c.term, c.cnt, sqrt(c.cnt / tt.topic_words) * "
+    "ln(1 + ((select avg_words from a) - f.f + 0.5) / (f.f + 0.5)) as score "
+    "from c join tt using (topic) join f using (term)) "
+)
+
+
+@register("class_tfidf_top_terms", _CTFIDF_CTES
+          + ", r as (select *, row_number() over (partition by topic order by score desc, term) as rank from s) "
+          "select topic, term, cnt, round(score, 6) as score, rank from r where rank <= 10")
+def class_tfidf_top_terms(spark, sf_dir):
+    d = fx.ascii_documents(spark, sf_dir).withColumn("topic", (F.col("doc_id") % 3).cast("long"))
+    scores = ft.class_tfidf(d, "text", "topic")
+    out = ft.topic_terms(scores, 10)
+    return out.select("topic", "term", "cnt", F.round("score", 6).alias("score"), F.col("rank").cast("long"))
+
+
+# --- X16: word-cloud frequencies per cluster ------------------------------------------
+
+@register("wordcloud_terms", (
+    "with d as (select cast(doc_id % 3 as bigint) as cluster, regexp_replace(text, '[^ -~]', ' ', 'g') as text from documents), "
+    "w as (select cluster, lower(regexp_replace(unnest(regexp_extract_all(text, '\\w[\\w'']*')), '''s$', '')) as word from d), "
+    "c as (select cluster, word, count(*) as n from w where not list_contains("
+    + sql_list([x.lower() for x in ABSTRACT_STOP]) + ", word) and not regexp_full_match(word, '[0-9]+') and word <> '' "
+    "group by 1, 2), "
+    "r as (select *, row_number() over (partition by cluster order by n desc, word) as rank from c) "
+    "select cluster, word, n, rank, round(n / max(n) over (partition by cluster), 6) as weight from r where rank <= 30"
+))
+def wordcloud_terms_q(spark, sf_dir):
+    d = fx.ascii_documents(spark, sf_dir).withColumn("cluster", (F.col("doc_id") % 3).cast("long"))
+    out = ft.wordcloud_terms(d, "cluster", "text", ABSTRACT_STOP, 30)
+    return out.select("cluster", "word", "n", F.col("rank").cast("long"), F.round("weight", 6).alias("weight"))
+
+
+# --- P3-P10, J2, J6, G10, G11: screening and decisions ------------------------------
+
+from prismark.operators import screen as sc  # noqa: E402
+from prismark.plans.oracle_base import DECIDED_CTE, screened_select, with_records  # noqa: E402
+from prismark.sinks import export as ex  # noqa: E402
+
+CRITERIA = "Include studies about families of adult patients in neurocritical care; exclude paediatric settings."
+
+
+def screened_articles(spark, sf_dir, base=None):
+    return sc.screen(base if base is not None else fx.articles(spark, sf_dir))
+
+
+def decided_articles(spark, sf_dir, base=None):
+    s = screened_articles(spark, sf_dir, base)
+    decisions = s.select("article_id", "decision")
+    return sc.apply_decisions(s.drop("decision"), decisions)
+
+
+@register("screening_verdicts", with_articles(
+    ", " + screened_select("articles") + " select article_id, Included, Screening_Reason from screened"
+))
+def screening_verdicts(spark, sf_dir):
+    return screened_articles(spark, sf_dir).select("article_id", "Included", "Screening_Reason")
+
+
+_PROMPT_HEAD, _PROMPT_REST = sc.PROMPT_TEMPLATE.split("{title}")
+_PROMPT_MID, _PROMPT_TAIL = _PROMPT_REST.split("{abstract}")
+
+
+def _sql_str(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+@register("screening_prompts", with_articles(
+    "select article_id, " + _sql_str(_PROMPT_HEAD.replace("{criteria}", CRITERIA)) + " || coalesce(Title, 'None') || "
+    + _sql_str(_PROMPT_MID) + " || coalesce(Abstract, 'None') || "
+    + _sql_str(_PROMPT_TAIL.replace("{{", "{").replace("}}", "}")) + " as prompt from articles"
+))
+def screening_prompts(spark, sf_dir):
+    a = fx.articles(spark, sf_dir)
+    return a.select("article_id", sc.screening_prompt(a, CRITERIA).alias("prompt"))
+
+
+@register("apply_decisions", with_articles(
+    ", " + screened_select("articles") + ", " + DECIDED_CTE + " select article_id, Manual_Decision from decided"
+))
+def apply_decisions_q(spark, sf_dir):
+    return decided_articles(spark, sf_dir).select("article_id", "Manual_Decision")
+
+
+@register("review_queue", with_articles(
+    ", " + screened_select("articles") + ", "
+    "inc as (select *, row_number() over (order by article_id) as position, count(*) over () as total "
+    "from screened where Included) "
+    "select article_id, position, total, Title, Journal, Year, Screening_Reason from inc "
+    "where not coalesce(lower(decision) in ('y', 'n', 'yes', 'no', 'included', 'excluded'), false)"
+))
+def review_queue(spark, sf_dir):
+    s = screened_articles(spark, sf_dir)
+    q = sc.undecided(s, decision_col="decision")
+    return q.select("article_id", "position", "total", "Title", "Journal", "Year", "Screening_Reason")
+
+
+@register("decision_counts", with_articles(
+    ", " + screened_select("articles") + ", " + DECIDED_CTE + " select count(*) filter (where Manual_Decision = 'Included') "
+    "as n_included, count(*) filter (where Manual_Decision = 'Excluded') as n_excluded from decided"
+))
+def decision_counts_q(spark, sf_dir):
+    return biblio.decision_counts(decided_articles(spark, sf_dir))
+
+
+@register("resume_unscreened", with_articles(
+    ", " + screened_select("articles") + " select article_id from articles a where not exists "
+    "(select 1 from screened s where s.article_id = a.article_id and s.Included is not null "
+    "and s.Screening_Reason not like 'LLM%')"
+))
+def resume_unscreened(spark, sf_dir):
+    a = fx.articles(spark, sf_dir)
+    done = screened_articles(spark, sf_dir).where(
+        F.col("Included").isNotNull() & ~F.col("Screening_Reason").startswith("LLM")
+    )
+    return sc.drop_screened(a, done).select("article_id")
+
+
+@register("prisma_flow", with_merged(
+    ", " + screened_select("merged") + ", " + DECIDED_CTE + ", "
+    "st as (select 0 as step, 'identified' as stage, (select count(*) from articles) as n "
+    "union all select 1, 'after deduplication', (select count(*) from merged) "
+    "union all select 2, 'after model screening', (select count(*) from screened where Included) "
+    "union all select 3, 'after human selection', (select count(*) from decided where Manual_Decision = 'Included')) "
+    "select cast(step as bigint) as step, stage, n, case when lag(n) over (order by step) is null then null "
+    "else round((lag(n) over (order by step) - n) * 100.0 / lag(n) over (order by step), 6) end as reduction_pct from st"
+))
+def prisma_flow_q(spark, sf_dir):
+    a = fx.articles(spark, sf_dir)
+    m = merged_articles(spark, sf_dir)
+    s = sc.screen(m)
+    d = sc.apply_decisions(s.drop("decision"), s.select("article_id", "decision"))
+    return biblio.prisma_flow([
+        ("identified", a),
+        ("after deduplication", m),
+        ("after model screening", s.where(F.col("Included"))),
+        ("after human selection", d.where(F.col("Manual_Decision") == "Included")),
+    ])
+
+
+# --- P10 / J3: DOI repair -------------------------------------------------------------
+
+@register("needs_doi", with_records(
+    "select article_id, ID from records where (Source = 'PubMed' or coalesce(contains(ID_Type, 'PMID'), false)) "
+    "and (DOI is null or DOI = '' or DOI = 'nan') and regexp_full_match(trim(ID), '\\d+')"
+))
+def needs_doi_q(spark, sf_dir):
+    return sc.needs_doi(fx.records(spark, sf_dir)).select("article_id", "ID")
+
+
+@register("repair_dois", with_records(
+    ", need as (select article_id, ID from records where (Source = 'PubMed' or coalesce(contains(ID_Type, 'PMID'), false)) "
+    "and (DOI is null or DOI = '' or DOI = 'nan') and regexp_full_match(trim(ID), '\\d+')), "
+    "lk as (select pmid, min(doi) as doi from doi_lookup where doi is not null and doi <> '' group by 1), "
+    "fixed as (select r.article_id, coalesce(case when n.article_id is not null then lk.doi end, r.DOI) as DOI, "
+    "n.article_id is not null and lk.doi is not null as updated, r.ID from records r "
+    "left join need n using (article_id) left join lk on lk.pmid = trim(r.ID)) "
+    "select article_id, DOI, updated, count(distinct ID) filter (where updated) over () as updated_ids from fixed"
+))
+def repair_dois_q(spark, sf_dir):
+    from prismark.operators import enrich
+
+    out = enrich.repair_dois(fx.records(spark, sf_dir), fx.doi_lookup(spark, sf_dir))
+    return out.select("article_id", "DOI", "updated", "updated_ids")
+
+
+# --- K2-K6: export ------------------------------------------------------------------
+
+_EXPORT_CTE = (
+    ", " + screened_select("records") + ", " + DECIDED_CTE + ", "
+    "sel as (select * from decided where Manual_Decision = 'Included' or (lower(Manual_Decision) = 'included' "
+    "and not exists (select 1 from decided where Manual_Decision = 'Included'))) "
+)
+
+
+def _selected(spark, sf_dir):
+    return ex.select_for_export(decided_articles(spark, sf_dir, fx.records(spark, sf_dir)))
+
+
+@register("export_selection", with_records(_EXPORT_CTE + "select article_id from sel"))
+def export_selection(spark, sf_dir):
+    return _selected(spark, sf_dir).select("article_id")
+
+
+_CREATORS_SQL = "list_filter(list_transform(string_split(coalesce(Authors, ''), ';'), lambda s: trim(s)), lambda s: s <> '')"
+
+
+def _present_sql(c: str) -> str:
+    return f"case when trim({c}) <> '' and lower(trim({c})) <> 'nan' then trim({c}) end"
+
+
+@register("export_items", with_records(
+    _EXPORT_CTE + "select article_id, coalesce(" + _present_sql("Title") + ", 'No Title') as title, "
+    + _present_sql("DOI") + " as DOI, " + _present_sql("Abstract") + " as abstractNote, "
+    + _present_sql("Journal") + " as publicationTitle, cast(Year as varchar) as date, "
+    + _present_sql("URL") + " as url, len(" + _CREATORS_SQL + ") as n_creators, "
+    "array_to_string(list_transform(" + _CREATORS_SQL + ", lambda s: case when contains(s, ' ') then 'name:' || s "
+    "else 'lastName:' || s end), '|') as creators, 'Review' as collection from sel"
+))
+def export_items(spark, sf_dir):
+    items = ex.tag_collection(ex.to_export_items(_selected(spark, sf_dir)), "Review")
+    it = F.col("item")
+    creators = F.coalesce(it["creators"], F.array().cast("array<struct<creatorType:string,name:string,lastName:string,firstName:string>>"))
+    return items.select(
+        "article_id",
+        it["title"].alias("title"),
+        it["DOI"].alias("DOI"),
+        it["abstractNote"].alias("abstractNote"),
+        it["publicationTitle"].alias("publicationTitle"),
+        it["date"].alias("date"),
+        it["url"].alias("url"),
+        F.size(creators).alias("n_creators"),
+        F.array_join(F.transform(creators, lambda c: F.when(c["name"].isNotNull(), F.concat(F.lit("name:"), c["name"]))
+                                 .otherwise(F.concat(F.lit("lastName:"), c["lastName"]))), "|").alias("creators"),
+        F.element_at(it["collections"], 1).alias("collection"),
+    )
+
+
+@register("export_batches", with_records(
+    _EXPORT_CTE + ", p as (select article_id, row_number() over (order by article_id) as pos from sel) "
+    "select cast(floor((pos - 1) / 50) as bigint) as batch, count(*) as n_items, min(article_id) as first_id, "
+    "max(article_id) as last_id from p group by 1"
+))
+def export_batches(spark, sf_dir):
+    items = ex.to_export_items(_selected(spark, sf_dir))
+    return ex.batch_items(items, "article_id", 50).select("batch", "n_items", "first_id", "last_id")
+
+
+# --- N1-N8: co-author graph on lineitem (order = article, supplier = author) ----------
+
+from prismark.operators import graph as gr  # noqa: E402
+
+_POS_SQL = (
+    "with pos as (select l_orderkey as doc, l_linenumber as pos, cast(l_suppkey as varchar) as author from lineitem), "
+    "nodes as (select author, count(*) as publications from pos group by 1), "
+    "edges as (select least(x.author, y.author) as a, greatest(x.author, y.author) as b, count(*) as weight "
+    "from pos x join pos y on x.doc = y.doc and x.pos < y.pos group by 1, 2), "
+    "top30 as (select author from nodes order by publications desc, author limit 30), "
+    "sub as (select * from edges where a in (select author from top30) and b in (select author from top30)) "
+)
+
+
+def _positions(spark, sf_dir):
+    li = fx.table(spark, sf_dir, "lineitem")
+    return gr.positions_from_rows(li, "l_orderkey", "l_linenumber", "l_suppkey")
+
+
+@register("coauthor_nodes", _POS_SQL + "select author, publications from nodes")
+def coauthor_nodes_q(spark, sf_dir):
+    return gr.coauthor_nodes(_positions(spark, sf_dir))
+
+
+@register("coauthor_edges", _POS_SQL + "select a, b, weight from edges")
+def coauthor_edges_q(spark, sf_dir):
+    return gr.coauthor_edges(_positions(spark, sf_dir))
+
+
+@register("graph_stats", _POS_SQL + "select (select count(*) from nodes) as nodes, count(*) as edges, "
+          "round(count(*) * 2.0 / ((select count(*) from nodes) * ((select count(*) from nodes) - 1)), 6) as density "
+          "from edges")
+def graph_stats_q(spark, sf_dir):
+    p = _positions(spark, sf_dir)
+    return gr.graph_stats(gr.coauthor_nodes(p), gr.coauthor_edges(p))
+
+
+@register("top_nodes", _POS_SQL + "select author, publications from nodes order by publications desc, author limit 30")
+def top_nodes_q(spark, sf_dir):
+    return gr.top_nodes(gr.coauthor_nodes(_positions(spark, sf_dir)), 30)
+
+
+@register("induced_subgraph", _POS_SQL + "select a, b, weight from sub")
+def induced_subgraph_q(spark, sf_dir):
+    p = _positions(spark, sf_dir)
+    return gr.induced_subgraph(gr.coauthor_edges(p), gr.top_nodes(gr.coauthor_nodes(p), 30))
+
+
+@register("modularity_by_nation", _POS_SQL + ", lab as (select cast(s_suppkey as varchar) as node, s_nationkey as community "
+          "from supplier), la as (select e.a, e.b, x.community as ca, y.community as cb from edges e "
+          "join lab x on x.node = e.a join lab y on y.node = e.b), "
+          "deg as (select node, count(*) as deg from (select a as node from edges union all select b from edges) group by 1), "
+          "dc as (select community, sum(deg) as d_c from deg join lab using (node) group by 1), "
+          "lc as (select ca as community, count(*) as l_c from la where ca = cb group by 1) "
+          "select round(sum(coalesce(l_c, 0) / (select count(*) from edges) "
+          "- pow(d_c / (2.0 * (select count(*) from edges)), 2)), 6) as modularity from dc left join lc using (community)")
+def modularity_by_nation(spark, sf_dir):
+    p = _positions(spark, sf_dir)
+    labels = fx.table(spark, sf_dir, "supplier").select(
+        F.col("s_suppkey").cast("string").alias("node"), F.col("s_nationkey").alias("community")
+    )
+    return gr.modularity(gr.coauthor_edges(p), labels)
+
+
+@register("top_author_concentration", _POS_SQL + ", top3 as (select author from nodes order by publications desc, "
+          "author limit 3) select count(distinct doc) as n, round(count(distinct doc) * 100.0 / "
+          "(select count(distinct l_orderkey) from lineitem), 6) as pct from pos where author in (select author from top3)")
+def top_author_concentration(spark, sf_dir):
+    p = _positions(spark, sf_dir)
+    n_articles = p.agg(F.count_distinct("doc")).scalar()
+    return gr.author_concentration(p, gr.top_nodes(gr.coauthor_nodes(p), 3).select("author"), n_articles)
+
+
+@register("communities_top30")
+def communities_top30(spark, sf_dir):
+    """N5 + N7 on the top-30 induced subgraph (iterative; rows-only check)."""
+    p = _positions(spark, sf_dir)
+    sub = gr.induced_subgraph(gr.coauthor_edges(p), gr.top_nodes(gr.coauthor_nodes(p), 30))
+    return gr.community_members(gr.communities(sub))
+
+
+@register("coauthor_edges_articles", with_articles(
+    ", pos as (select article_id as doc, p.pos as pos, p.author as author from articles, "
+    "unnest(list_transform(list_filter(list_transform(string_split(Authors, ';'), lambda s: trim(s)), "
+    "lambda s: s <> ''), lambda x, i: {'pos': i, 'author': x})) as t(p)) "
+    "select least(x.author, y.author) as a, greatest(x.author, y.author) as b, count(*) as weight "
+    "from pos x join pos y on x.doc = y.doc and x.pos < y.pos group by 1, 2"
+))
+def coauthor_edges_articles(spark, sf_dir):
+    p = gr.author_positions(fx.articles(spark, sf_dir), "article_id", "Authors")
+    return gr.coauthor_edges(p)
