@@ -104,18 +104,26 @@ def modularity(edges: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def communities(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
-    """``(node, community)`` by rounds of mutual best merges (unweighted).
+    """``(node, community)`` by rounds of star merges on modularity gain (unweighted).
 
     Gain of merging c and d: ``e_cd / m - D_c * D_d / (2 m^2)`` where ``e_cd``
-    counts edges between them.  Self-loops count in degrees only.  A
-    community id is the smallest node name in it.  Each round's labels are
-    checkpointed (reliable, shared folder) before the next.
+    counts edges between them (self-loops count in degrees only).  Each round
+    every community picks its best neighbour with a positive gain (ties to the
+    smallest id).  A picked community is a *hub* when it picks no one itself,
+    or when it and its pick chose each other and it has the smaller id; every
+    community whose pick is a hub moves into it.  Non-hubs that picked a
+    non-hub wait for a later round.  A community id is a node name in it.
+
+    This merges whole stars per round (a dense graph needs one round, not one
+    per pair); the result can differ from one-pair-at-a-time greedy merging and
+    is compared by modularity (N6).  Inputs and each round's labels are
+    checkpointed (reliable, shared folder).
     """
-    und = edges.select("a", "b")
-    nodes = und.select(F.col("a").alias("node")).union(und.select(F.col("b").alias("node"))).distinct()
-    m = und.agg(F.count(F.lit(1))).scalar()
-    deg = _degrees(und)
-    labels = cut_lineage(nodes.select("node", F.col("node").alias("community")))
+    # The input is computed once and checkpointed: every round reads it again.
+    und = cut_lineage(edges.select("a", "b"))
+    deg = cut_lineage(_degrees(und))
+    m = F.lit(und.count())
+    labels = cut_lineage(deg.select("node", F.col("node").alias("community")))
     for _ in range(max_rounds):
         la = labels.withColumnRenamed("node", "a").withColumnRenamed("community", "ca")
         lb = labels.withColumnRenamed("node", "b").withColumnRenamed("community", "cb")
@@ -129,16 +137,21 @@ def communities(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
             .join(dc.select(F.col("community").alias("d"), F.col("D").alias("Dd")), "d")
             .select("c", "d", (F.col("e") / m - F.col("Dc") * F.col("Dd") / (2.0 * m * m)).alias("gain"))
         )
-        best = top_k_per_group(gains, ["c"], [F.desc("gain"), F.asc("d")], 1).where(F.col("gain") > 0)
-        mutual = best.alias("x").join(
-            best.alias("y"), (F.col("x.c") == F.col("y.d")) & (F.col("x.d") == F.col("y.c"))
-        ).select(F.col("x.c").alias("community"), F.least("x.c", "x.d").alias("merged"))
-        if mutual.isEmpty():
+        best = top_k_per_group(gains, ["c"], [F.desc("gain"), F.asc("d")], 1).where(F.col("gain") > 0).select("c", "d")
+        best = cut_lineage(best)
+        if best.isEmpty():
             break
+        choosers = best.select(F.col("c").alias("h"))
+        mutual_low = best.alias("x").join(
+            best.alias("y"), (F.col("x.c") == F.col("y.d")) & (F.col("x.d") == F.col("y.c")) & (F.col("x.c") < F.col("x.d"))
+        ).select(F.col("x.c").alias("h"))
+        targets = best.select(F.col("d").alias("h")).distinct()
+        hubs = targets.join(choosers, "h", "left_anti").unionByName(targets.join(mutual_low, "h", "left_semi"))
+        moves = best.join(hubs.withColumnRenamed("h", "d"), "d", "left_semi").join(
+            hubs.withColumnRenamed("h", "c"), "c", "left_anti"
+        ).select(F.col("c").alias("community"), F.col("d").alias("merged"))
         labels = cut_lineage(
-            labels.join(mutual, "community", "left").select(
-                "node", F.coalesce("merged", "community").alias("community")
-            )
+            labels.join(moves, "community", "left").select("node", F.coalesce("merged", "community").alias("community"))
         )
     return labels
 

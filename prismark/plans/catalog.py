@@ -855,3 +855,236 @@ def enrich_records(spark, sf_dir):
     m = en.match_by_title(recs, works)
     out = en.enrich(recs, m, works)
     return out.select("article_id", "ID_Type", "ID", "DOI", "Abstract", "Journal", "Year")
+
+
+# --- S1-S19: sources, checked by rendering articles and parsing them back ------------
+
+from prismark.functions import fields as fl  # noqa: E402
+from prismark.sources import csl as src_csl  # noqa: E402
+from prismark.sources import pages as src_pages  # noqa: E402
+from prismark.sources import pubmed as src_pubmed  # noqa: E402
+from prismark.sources import records as src_records  # noqa: E402
+from prismark.sources import scholar as src_scholar  # noqa: E402
+
+
+@register("scholar_results", with_articles(
+    ", r as (select article_id, cast(floor(article_id / 10) as bigint) as page_id, cast(article_id % 10 as int) as pos, "
+    "Title, case when article_id % 7 <> 0 then 'https://scholar.example.org/' || cast(article_id as varchar) end as link, "
+    "replace(Authors, ';', ',') as Authors, trim(Journal) || coalesce(', ' || cast(Year as varchar), '') as Journal, "
+    "substr(coalesce(Abstract, ''), 1, 200) as snip from articles) "
+    "select page_id, pos, 'Google Scholar' as Source, Title, link as URL, case when link is not null then 'URL' end as ID_Type, "
+    "link as ID, case when link is null then 'Citation/Book' end as Publication_Type, Authors, Journal, "
+    "nullif(regexp_extract(Journal, '\\b(19|20)\\d{2}\\b', 0), '') as Year, nullif(snip, '') as Abstract, "
+    "case when article_id % 2 = 0 then cast(article_id % 50 as varchar) end as Citations_Scholar, "
+    "case when article_id % 3 = 0 then 'https://pdf.example.org/' || cast(article_id as varchar) || '.pdf' end as PDF_Link, "
+    "case when article_id % 3 = 0 then 'Likely (PDF found)' end as Open_Access from r"
+))
+def scholar_results(spark, sf_dir):
+    pages = fx.spread(fx.scholar_pages(spark, sf_dir))
+    return src_scholar.scholar_records(src_scholar.extract_search_results(pages))
+
+
+_CSL_AUTH_SQL = ("array_to_string(list_filter(list_transform(string_split(Authors, '; '), lambda n, i: case "
+                 "when i = 1 then n when i = 2 then n || ' X' when i = 3 then n end), lambda s: s is not null), '; ')")
+
+
+@register("csl_table", with_articles(
+    "select 'item-' || cast(article_id as varchar) as ID, 'article-journal' as Type, Title, trim(Journal) as Journal, "
+    "cast(null as varchar) as DOI, cast(null as varchar) as URL, Abstract, " + _CSL_AUTH_SQL + " as Authors, Year from articles"
+))
+def csl_table_q(spark, sf_dir):
+    items = fx.csl_items(spark, sf_dir).select(src_csl.parse_csl_column(F.col("json")).alias("item"))
+    return src_csl.csl_table(items, "item")
+
+
+_XML_AUTH_SQL = ("array_to_string(list_transform(string_split(Authors, '; '), lambda n, i: case when (i - 1) % 2 = 0 "
+                 "then n || ' F' || cast(i - 1 as varchar) else n end), '; ')")
+
+
+@register("pubmed_records", with_articles(
+    "select 'PubMed' as Source, 'PMID' || case when article_id % 4 = 0 then '/DOI' else '' end as ID_Type, "
+    "case when article_id % 8 = 0 then '10.2/a' || cast(article_id as varchar) when article_id % 4 = 0 "
+    "then '10.1/e' || cast(article_id as varchar) end as DOI, cast(article_id as varchar) as ID, "
+    "regexp_replace(regexp_replace(Title, '<[^>]+>', '', 'g'), '^\\s+|\\s+$', '', 'g') as Title, "
+    "case when Abstract is null then null when length(Abstract) > 100 then substr(Abstract, 1, 100) || ' ' || substr(Abstract, 101) "
+    "else Abstract end as Abstract, " + _XML_AUTH_SQL + " as Authors, trim(Journal) as Journal, cast(Year as varchar) as Year, "
+    "cast(article_id % 40 as varchar) as Volume, cast(article_id % 12 as varchar) as Issue, "
+    "cast(article_id as varchar) || '-' || cast(article_id + 9 as varchar) as Pages, "
+    "'https://pubmed.ncbi.nlm.nih.gov/' || cast(article_id as varchar) || '/' as URL, "
+    "'Journal Article' as Publication_Type, 'Neurology; Src ' || Journal as MeSH_Terms, 'eng' as Language "
+    "from articles where Source = 'PubMed'"
+))
+def pubmed_records_q(spark, sf_dir):
+    x = fx.pubmed_xml(spark, sf_dir).select(src_pubmed.parse_pubmed_column(F.col("xml")).alias("a"))
+    return src_pubmed.pubmed_records(x, F.col("a"))
+
+
+@register("assemble_pages", (
+    "with p as (select doc_id, unnest(range(0, cast(ceil(length(text) / 500) as bigint))) as page_no, text from documents), "
+    "s as (select doc_id, page_no, substr(text, page_no * 500 + 1, 500) as t from p) "
+    "select doc_id, string_agg(t, chr(10) order by page_no) as text from s group by 1"
+))
+def assemble_pages_q(spark, sf_dir):
+    d = fx.table(spark, sf_dir, "documents")
+    n = F.ceil(F.length("text") / 500).cast("int")
+    pages = d.select("doc_id", "text", F.explode(F.sequence(F.lit(0), n - 1)).alias("page_no")).where(n > 0)
+    pages = pages.select("doc_id", "page_no", F.substring("text", F.col("page_no") * 500 + 1, 500).alias("text"))
+    return src_pages.assemble_pages(pages)
+
+
+@register("result_counts", (
+    "select doc_id, n_chars, cast(coalesce(try_cast(regexp_replace(regexp_extract('About ' || format('{:,}', n_chars) "
+    "|| ' results (0.05 sec)', '(?i)([\\d,\\.\\s]+)\\s+(results|résultats)', 1), '\\D', '', 'g') as bigint), 0) as bigint) "
+    "as parsed from documents"
+))
+def result_counts(spark, sf_dir):
+    d = fx.table(spark, sf_dir, "documents")
+    text = F.concat(F.lit("About "), F.format_number("n_chars", 0), F.lit(" results (0.05 sec)"))
+    return d.select("doc_id", "n_chars", fl.parse_result_count(text).alias("parsed"))
+
+
+@register("conform_limit_per_source", with_articles(
+    ", r as (select *, row_number() over (partition by Source order by article_id) as rn from articles) "
+    "select article_id, Source, " + ", ".join(
+        f"case when trim({c}) = '' or lower(trim({c})) = 'nan' then null else trim({c}) end as {c}"
+        for c in ("Title", "Abstract", "Authors", "Journal")
+    ) + ", cast(Year as varchar) as Year, cast(null as varchar) as DOI from r where rn <= 200"
+))
+def conform_limit_per_source(spark, sf_dir):
+    a = fx.articles(spark, sf_dir).withColumnRenamed("article_id", "rank")
+    c = src_records.conform(a, keep_extra=True)
+    out = src_records.limit_per_source(c, 200, "rank")
+    return out.select(F.col("rank").alias("article_id"), "Source", "Title", "Abstract", "Authors", "Journal", "Year", "DOI")
+
+
+# --- P1 / P2: boolean term search -------------------------------------------------------
+
+from prismark.operators import search as srch  # noqa: E402
+
+SEARCH_ALL_OF = [["stroke", "brain injur*", "subarachnoid hemorrhage", "tbi"], ["cohort", "trial*", "review", "famil*"]]
+SEARCH_NONE_OF = ["pilot"]
+
+
+def _ascii_articles(spark, sf_dir):
+    a = fx.articles(spark, sf_dir)
+    return a.select("article_id", tx.ascii_text("Title").alias("Title"), tx.ascii_text("Abstract").alias("Abstract"))
+
+
+def _search_sql(body: str) -> str:
+    def pat(terms):
+        parts = []
+        for t in terms:
+            words = [w for w in t.rstrip("*").split()]
+            parts.append("\\s+".join(words) + ("\\w*" if t.endswith("*") else ""))
+        return "'(?i)\\b(?:" + "|".join(parts) + ")\\b'"
+
+    conds = " and ".join(f"regexp_matches(txt, {pat(g)})" for g in SEARCH_ALL_OF)
+    return with_articles(
+        ", a as (select article_id, concat_ws(' ', coalesce(regexp_replace(Title, '[^ -~]', ' ', 'g'), ''), "
+        "coalesce(regexp_replace(Abstract, '[^ -~]', ' ', 'g'), '')) as txt from articles), "
+        f"hits as (select article_id from a where {conds} and not regexp_matches(txt, {pat(SEARCH_NONE_OF)})) " + body
+    )
+
+
+@register("boolean_search", _search_sql("select article_id from hits"))
+def boolean_search_q(spark, sf_dir):
+    return srch.boolean_search(_ascii_articles(spark, sf_dir), SEARCH_ALL_OF, SEARCH_NONE_OF).select("article_id")
+
+
+@register("count_matches", _search_sql("select count(*) as hits from hits"))
+def count_matches_q(spark, sf_dir):
+    return srch.count_matches(_ascii_articles(spark, sf_dir), SEARCH_ALL_OF, SEARCH_NONE_OF)
+
+
+# --- X17-X19: synthesis prompts and replies ------------------------------------------
+
+from prismark.operators import synthesis as syn  # noqa: E402
+
+_THEME_HEAD, _THEME_TAIL = syn.THEMATIC_PROMPT.split("{corpus_text}")
+
+
+@register("theme_prompts", with_articles(
+    ", pos as (select cast(Cluster as bigint) as cluster, article_id, coalesce(Abstract, '') as t, "
+    "row_number() over (partition by Cluster order by article_id) as p from articles), "
+    "ch as (select cluster, cast(floor((p - 1) / 50) as bigint) as chunk, "
+    "string_agg(t, chr(10) || chr(10) || '--- NEW ARTICLE ---' || chr(10) || chr(10) order by article_id) as corpus "
+    "from pos group by 1, 2) "
+    "select cluster, chunk, " + _sql_str(_THEME_HEAD) + " || corpus || " + _sql_str(_THEME_TAIL) + " as prompt from ch"
+))
+def theme_prompts(spark, sf_dir):
+    a = fx.articles(spark, sf_dir).withColumn("Cluster", F.col("Cluster").cast("long"))
+    chunks = biblio.concat_cluster_text(a, "Cluster", "article_id", "Abstract", docs_per_chunk=50)
+    return chunks.select("cluster", "chunk", syn.corpus_prompt(chunks, "themes").alias("prompt"))
+
+
+def _reply_words(spark, sf_dir):
+    _, scores = _ctfidf_docs(spark, sf_dir)
+    top = ft.topic_terms(scores, 5)
+    return top.groupBy("topic").agg(F.sort_array(F.collect_list(F.struct("rank", "term"))).alias("_w")).select(
+        "topic", F.transform("_w", lambda e: e["term"]).alias("w")
+    )
+
+
+_REPLY_WORDS_SQL = (
+    ", r5 as (select topic, term, row_number() over (partition by topic order by score desc, term) as rank from s), "
+    "tw as (select topic, list(term order by rank) as w from r5 where rank <= 5 group by 1) "
+)
+
+
+@register("theme_replies", _CTFIDF_CTES + _REPLY_WORDS_SQL + (
+    ", ax as (select topic, unnest(range(0, 3)) as theme_index, w from tw) "
+    "select topic, theme_index, w[theme_index + 1] as theme, 'Documents about ' || w[theme_index + 1] as description, "
+    "array_to_string(w[theme_index + 2:theme_index + 3], '|') as key_concepts, "
+    "'Topic ' || cast(topic as varchar) || ' centres on ' || w[1] as main_message from ax"
+))
+def theme_replies(spark, sf_dir):
+    w = _reply_words(spark, sf_dir)
+    axes = F.array(*[
+        F.struct(F.col("w")[i].alias("theme"), F.concat(F.lit("Documents about "), F.col("w")[i]).alias("description"),
+                 F.slice("w", i + 2, 2).alias("key_concepts"))
+        for i in range(3)
+    ])
+    msg = F.concat(F.lit("Topic "), F.col("topic").cast("string"), F.lit(" centres on "), F.col("w")[0])
+    replies = w.select("topic", F.to_json(F.struct(axes.alias("thematic_axes"), msg.alias("main_message"))).alias("raw"))
+    out = syn.parse_themes(replies, "raw", ["topic"])
+    return out.select("topic", F.col("theme_index").cast("bigint").alias("theme_index"), "theme", "description",
+                      F.array_join("key_concepts", "|").alias("key_concepts"), "main_message")
+
+
+@register("methodology_replies", _CTFIDF_CTES + _REPLY_WORDS_SQL + (
+    "select topic, w[1] as dominant_methodology, 'Mostly ' || w[1] || ' with ' || w[2] as methodological_description, "
+    "array_to_string(w[2:4], '|') as statistical_techniques, array_to_string(w[5:5], '|') as tools_databases from tw"
+))
+def methodology_replies(spark, sf_dir):
+    w = _reply_words(spark, sf_dir)
+    reply = F.struct(
+        F.col("w")[0].alias("dominant_methodology"),
+        F.concat(F.lit("Mostly "), F.col("w")[0], F.lit(" with "), F.col("w")[1]).alias("methodological_description"),
+        F.slice("w", 2, 3).alias("statistical_techniques"),
+        F.slice("w", 5, 1).alias("tools_databases"),
+    )
+    out = syn.parse_methodology(w.select("topic", F.to_json(reply).alias("raw")), "raw", ["topic"])
+    return out.select("topic", "dominant_methodology", "methodological_description",
+                      F.array_join("statistical_techniques", "|").alias("statistical_techniques"),
+                      F.array_join("tools_databases", "|").alias("tools_databases"))
+
+
+# --- X11 / X12: tokens and lemmas ---------------------------------------------------
+
+from prismark.operators import lemma as lm  # noqa: E402
+
+
+@register("lemmatize", (
+    "with d as (select doc_id, regexp_replace(text, '[^ -~]', ' ', 'g') as text from documents), "
+    "w as (select distinct unnest(regexp_extract_all(text, '\\b[a-z]+\\b')) as w from d), "
+    "lex as (select w as token, substr(w, 1, length(w) - 1) as lemma from w where length(w) > 3 and suffix(w, 's') "
+    "and substr(w, 1, length(w) - 1) in (select w from w)), "
+    "t as (select doc_id, unnest(regexp_extract_all(text, '\\w+|[^\\w\\s]')) as tok, "
+    "unnest(range(1, len(regexp_extract_all(text, '\\w+|[^\\w\\s]')) + 1)) as p from d), "
+    "l as (select doc_id, p, coalesce(lex.lemma, t.tok) as w from t left join lex on lex.token = t.tok) "
+    "select d.doc_id, coalesce(string_agg(l.w, ' ' order by l.p), '') as lemmatized from d left join l using (doc_id) "
+    "group by d.doc_id"
+))
+def lemmatize_q(spark, sf_dir):
+    d = fx.ascii_documents(spark, sf_dir)
+    return lm.lemmatize(d, "doc_id", "text", lm.plural_lexicon(d, "text"))
