@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Mapping
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from prismark.functions.text import py_strip
 from prismark.operators.ranking import dense_position
@@ -101,7 +101,8 @@ def score_with(
     ``partitions`` bounds how many scorer calls run at once (rate limit).
     """
     src = df.repartition(partitions) if partitions else df
-    schema = src.schema.add(out_col, "string")
+    # A new StructType: ``schema.add`` would mutate the input's cached schema.
+    schema = T.StructType([*src.schema.fields, T.StructField(out_col, T.StringType())])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:

@@ -1088,3 +1088,28 @@ from prismark.operators import lemma as lm  # noqa: E402
 def lemmatize_q(spark, sf_dir):
     d = fx.ascii_documents(spark, sf_dir)
     return lm.lemmatize(d, "doc_id", "text", lm.plural_lexicon(d, "text"))
+
+
+# --- M9 / M10: exact neighbours and density clusters over embeddings ----------------
+
+from prismark.operators import neighbors as nbr  # noqa: E402
+
+
+@register("knn_embeddings", (
+    "with e as (select vec_id, cast(embedding as double[]) as v from embeddings), "
+    "p as (select a.vec_id as id, b.vec_id as neighbor, list_distance(a.v, b.v) as distance "
+    "from e a join e b on a.vec_id <> b.vec_id), "
+    "r as (select *, row_number() over (partition by id order by distance, neighbor) as rank from p) "
+    "select id, neighbor, round(distance, 6) as distance, cast(rank as integer) as rank from r where rank <= 10"
+))
+def knn_embeddings(spark, sf_dir):
+    e = fx.table(spark, sf_dir, "embeddings")
+    out = nbr.knn(e, "vec_id", "embedding", k=10)
+    return out.select("id", "neighbor", F.round("distance", 6).alias("distance"), "rank")
+
+
+@register("density_clusters")
+def density_clusters_q(spark, sf_dir):
+    """M10 over the M9 graph (k=10, min_cluster_size=4, min_samples=2); rows-only check."""
+    e = fx.table(spark, sf_dir, "embeddings")
+    return nbr.density_clusters(nbr.knn(e, "vec_id", "embedding", k=10), 4, 2)
