@@ -62,9 +62,9 @@ def tag_populations(x: Column | str, word_boundary: bool = False) -> Column:
     """``array<string>`` of every matching group; null -> []; none -> [Unspecified]."""
     c = F.col(x) if isinstance(x, str) else x
     text = F.lower(c)
-    hits = F.filter(
-        F.array(*[F.when(_any_of(text, words, word_boundary), F.lit(label)) for label, words in POPULATIONS]),
-        lambda v: v.isNotNull(),
+    # array_compact (native) drops the nulls; no lambda, so the row stays in generated code.
+    hits = F.array_compact(
+        F.array(*[F.when(_any_of(text, words, word_boundary), F.lit(label)) for label, words in POPULATIONS])
     )
     return (
         F.when(c.isNull(), F.array().cast("array<string>"))

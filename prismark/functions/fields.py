@@ -109,3 +109,8 @@ def parse_result_count(text: Column | str) -> Column:
     num = F.regexp_extract(_c(text), r"(?iU)([\d,\.\s]+)\s+(results|résultats)", 1)
     digits = F.regexp_replace(num, r"(?U)\D", "")
     return F.coalesce(digits.try_cast("long"), F.lit(0).cast("long"))
+
+
+def fallback_if_blank(a: Column | str, b: Column | str) -> Column:
+    """``a`` unless it is null or blank, else ``b``."""
+    return F.coalesce(F.when(F.trim(_c(a)) != "", _c(a)), _c(b))

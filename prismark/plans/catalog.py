@@ -1113,3 +1113,53 @@ def density_clusters_q(spark, sf_dir):
     """M10 over the M9 graph (k=10, min_cluster_size=4, min_samples=2); rows-only check."""
     e = fx.table(spark, sf_dir, "embeddings")
     return nbr.density_clusters(nbr.knn(e, "vec_id", "embedding", k=10), 4, 2)
+
+
+# --- O5, P6, X3: centroid coordinates, a user scorer, tags stripped from pages ---------
+
+@register("top_centroid_dims", _EMB_CTES + (
+    ", cent as (select label, i - 1 as i, s / n as c from cs), "
+    "r as (select *, row_number() over (partition by label order by c desc, i) as rank from cent) "
+    "select label, cast(i as varchar) as feature, round(c, 6) as value, cast(rank as integer) as rank from r where rank <= 10"
+))
+def top_centroid_dims(spark, sf_dir):
+    e = fx.table(spark, sf_dir, "embeddings")
+    out = cl.top_centroid_terms(cl.centroids_from_labels(e, "embedding", "label"), 10)
+    return out.select("label", "feature", F.round("value", 6).alias("value"), F.col("rank").cast("int"))
+
+
+def keyword_scorer(prompt: str) -> str:
+    """A deterministic stand-in for a model: include papers whose prompt mentions a stroke."""
+    body = prompt.split("#PAPER:", 1)[-1].lower()
+    if "stroke" in body:
+        return '```json {"included": true, "reason": "mentions stroke"}```'
+    return '{"included": false, "reason": "off topic"}'
+
+
+@register("scored_screening", with_articles(
+    ", g as (select article_id, Abstract, Title from articles) "
+    "select article_id, case when Abstract is null or length(Abstract) < 20 then false "
+    "when contains(lower(coalesce(Title, 'None') || ' ' || coalesce(Abstract, 'None')), 'stroke') then true else false end "
+    "as Included, case when Abstract is null or length(Abstract) < 20 then 'No Abstract' "
+    "when contains(lower(coalesce(Title, 'None') || ' ' || coalesce(Abstract, 'None')), 'stroke') then 'mentions stroke' "
+    "else 'off topic' end as Screening_Reason from g"
+))
+def scored_screening(spark, sf_dir):
+    """P3 + P5 + P6 + P7: prompts scored by a user callable in Arrow batches, then parsed."""
+    a = fx.articles(spark, sf_dir).drop("raw_verdict")
+    gated = sc.gate_abstract(a)
+    todo = gated.where("needs_model")
+    scored = sc.score_with(todo.withColumn("prompt", sc.screening_prompt(todo, CRITERIA)), keyword_scorer)
+    v = sc.parse_verdict("raw_verdict")
+    done = scored.select("article_id", v["included"].alias("Included"), v["reason"].alias("Screening_Reason"))
+    skipped = gated.where(~F.col("needs_model")).select("article_id", "Included", "Screening_Reason")
+    return done.unionByName(skipped)
+
+
+@register("page_text", (
+    "select page_id, regexp_replace(regexp_replace(replace(html, chr(160), ' '), '<[^>]+>', '', 'g'), "
+    "'^\\s+|\\s+$', '', 'g') as text from pages"
+))
+def page_text(spark, sf_dir):
+    p = fx.table(spark, sf_dir, "pages")
+    return p.select("page_id", tx.strip_tags(F.translate("html", tx.NBSP, " ")).alias("text"))

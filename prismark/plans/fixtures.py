@@ -17,26 +17,28 @@ TABLES = (
 ).split()
 
 
-# Tables whose rows carry whole texts: per-row work on them is CPU-heavy.
-TEXT_TABLES = {"documents", "pages", "conversations", "benchmark"}
+# Tables whose rows carry whole texts (per-row work on them is CPU-heavy), with their id column.
+TEXT_TABLES = {"documents": "doc_id", "pages": "page_id", "conversations": "conv_id", "benchmark": "item_id"}
 
 
-def spread(df: DataFrame) -> DataFrame:
+def spread(df: DataFrame, key: str | None = None) -> DataFrame:
     """Repartition a scan that has fewer partitions than the cluster has cores.
 
     A large input already arrives in thousands of splits and is returned
     untouched (no extra shuffle); a small single-file input would otherwise
-    run its CPU-heavy text work in one task.
+    run its CPU-heavy text work in one task.  With a key the rows are hash
+    partitioned on it: deterministic on retry without the row sort that a
+    round-robin repartition needs.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
+        return df.repartition(cores, key) if key else df.repartition(cores)
     return df
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return spread(df) if name in TEXT_TABLES else df
+    return spread(df, TEXT_TABLES[name]) if name in TEXT_TABLES else df
 
 
 # The articles view over documents (see FIXTURES.md); valid in both SQL dialects.

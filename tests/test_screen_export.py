@@ -62,3 +62,19 @@ def test_batches(spark):
     b = ex.batch_items(items, "id", 50).orderBy("batch").collect()
     assert [r.n_items for r in b] == [50, 50, 1]
     assert '"title":"No Title"' in b[0].payload and '"date":"2015"' in b[0].payload
+
+
+def test_write_records(spark, tmp_path):
+    empty = spark.createDataFrame([], "a string")
+    assert ex.write_records(empty, str(tmp_path / "e")) is False and not (tmp_path / "e").exists()
+    df = spark.createDataFrame([("x\ny", 1)], "a string, b int")
+    assert ex.write_records(df, str(tmp_path / "c"), fmt="csv") is True
+    back = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(str(tmp_path / "c"))
+    assert back.first().a == "x\ny"
+
+
+def test_fallback_if_blank(spark):
+    from prismark.functions.fields import fallback_if_blank
+
+    df = spark.createDataFrame([(" ", "b"), ("a", "b"), (None, "b")], "x string, y string")
+    assert [r.r for r in df.select(fallback_if_blank("x", "y").alias("r")).collect()] == ["b", "a", "b"]
