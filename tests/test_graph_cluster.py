@@ -80,3 +80,67 @@ def test_silhouette_and_nearest(spark):
     cents = cl.centroids_from_labels(df, "v", "label")
     got = {r.id: r.cluster for r in cl.assign_nearest(df, "v", cents).collect()}
     assert got == {0: 0, 1: 0, 2: 1, 3: 1}
+
+
+def _brute_knn(rows, k, cosine=False):
+    import math
+
+    vecs = {}
+    for i, v in rows:
+        if cosine:
+            n = math.sqrt(sum(x * x for x in v))
+            v = [x / n for x in v]
+        vecs[i] = v
+    out = {}
+    for i, a in vecs.items():
+        ds = []
+        for j, b in vecs.items():
+            if i != j:
+                acc = 0.0
+                for x, y in zip(a, b):
+                    acc += (x - y) * (x - y)
+                ds.append((math.sqrt(acc), j))
+        ds.sort()
+        out[i] = [j for _, j in ds[:k]]
+    return out
+
+
+def test_knn_matches_brute_force_with_duplicates(spark):
+    import random
+
+    from prismark.operators import neighbors as nbr
+
+    rnd = random.Random(7)
+    hot = [rnd.random() for _ in range(8)]
+    rows = [(i, list(hot)) for i in range(30)]  # one vector held by 30 rows
+    rows += [(100 + i, [rnd.random() for _ in range(8)]) for i in range(40)]
+    df = spark.createDataFrame(rows, "id long, v array<double>")
+    for cosine in (False, True):
+        got = nbr.knn(df, "id", "v", k=5, metric="cosine" if cosine else "euclidean", n_pivots=6, block=8)
+        res = {}
+        for r in got.collect():
+            res.setdefault(r.id, []).append((r["rank"], r.neighbor))
+        res = {i: [n for _, n in sorted(v)] for i, v in res.items()}
+        want = _brute_knn(rows, 5, cosine)
+        assert res == want
+
+
+def test_density_clusters_two_blobs(spark):
+    import random
+
+    from prismark.operators import neighbors as nbr
+
+    rnd = random.Random(3)
+    rows = [(i, [rnd.gauss(0, 0.1), rnd.gauss(0, 0.1)]) for i in range(20)]
+    rows += [(100 + i, [rnd.gauss(5, 0.1), rnd.gauss(5, 0.1)]) for i in range(20)]
+    rows += [(999, [50.0, 50.0])]
+    df = spark.createDataFrame(rows, "id long, v array<double>")
+    lab = {r.id: r.cluster for r in nbr.density_clusters(nbr.knn(df, "id", "v", k=5), 4, 2).collect()}
+    assert lab[999] == -1
+    from collections import Counter
+
+    a = Counter(lab[i] for i in range(20)).most_common(1)[0]
+    b = Counter(lab[100 + i] for i in range(20)).most_common(1)[0]
+    assert a[0] != -1 and b[0] != -1 and a[0] != b[0]
+    assert a[1] >= 15 and b[1] >= 15  # fringe points of a blob may be noise
+    assert {lab[i] for i in range(20)} <= {a[0], -1} and {lab[100 + i] for i in range(20)} <= {b[0], -1}
