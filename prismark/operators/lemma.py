@@ -16,7 +16,8 @@ from prismark.functions.text import tokenize
 
 def lemmatize(docs: DataFrame, id_col: str, text_col: str, lexicon: DataFrame, out_col: str = "lemmatized") -> DataFrame:
     """``(id, lemmatized)`` with tokens (X11) replaced by their lemma, space-joined."""
-    lex = lexicon.select(F.col("token").alias("_tok"), F.col("lemma").alias("_lem")).dropDuplicates(["_tok"])
+    # one lemma per token, chosen deterministically when the lexicon lists several
+    lex = lexicon.groupBy(F.col("token").alias("_tok")).agg(F.min("lemma").alias("_lem"))
     toks = docs.select(F.col(id_col).alias("_id"), F.posexplode(tokenize(F.coalesce(F.col(text_col), F.lit("")))).alias("_p", "_tok"))
     looked = toks.join(lex, "_tok", "left").select("_id", "_p", F.coalesce("_lem", "_tok").alias("_w"))
     grouped = looked.groupBy("_id").agg(F.sort_array(F.collect_list(F.struct("_p", "_w"))).alias("_ws"))

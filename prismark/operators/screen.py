@@ -185,7 +185,9 @@ def apply_decisions(
     """
     base = ensure_columns(screened, {out_col: None})
     new = decisions.select(F.col(id_col).alias("_id"), decision_normalise(decision_col).alias("_new"))
-    new = new.where(F.col("_new").isNotNull()).dropDuplicates(["_id"])
+    # Several answers for one article resolve deterministically (Included > Excluded);
+    # a partial aggregate, so a hot id is combined map-side.
+    new = new.where(F.col("_new").isNotNull()).groupBy("_id").agg(F.max("_new").alias("_new"))
     joined = base.join(new, base[id_col] == new["_id"], "left")
     existing = F.col(out_col)
     keep = F.when(is_decided(existing), existing)
