@@ -132,14 +132,19 @@ def top_authors(df: DataFrame, k: int = 10, min_len: int = 4, authors_col: str =
     return ranked.where(F.length("author") >= min_len)
 
 
-def author_stats(df: DataFrame, authors_col: str = "Authors", trim: bool = True) -> DataFrame:
-    """Author mentions, distinct authors, mean authors per article (all articles)."""
+def author_stats(df: DataFrame, authors_col: str = "Authors", trim: bool = True, approx: bool = False) -> DataFrame:
+    """Author mentions, distinct authors, mean authors per article (all articles).
+
+    ``approx=True`` counts distinct authors with a HyperLogLog sketch instead
+    of an exact distinct aggregate.
+    """
     lists = df.select(author_list(authors_col, ";", trim).alias("a"))
     mentions = lists.select(F.explode("a").alias("author"))
     n_articles = _total(df)
+    distinct = F.approx_count_distinct("author") if approx else F.count_distinct("author")
     return mentions.agg(
         F.count(F.lit(1)).alias("mentions"),
-        F.count_distinct("author").alias("unique_authors"),
+        distinct.alias("unique_authors"),
     ).select(
         "mentions",
         "unique_authors",

@@ -105,7 +105,7 @@ def top_terms_per_cluster(
     lab = labels.select(F.col(doc_col).alias("doc"), F.col(cluster_col).alias("cluster"))
     sizes = lab.groupBy("cluster").agg(F.count(F.lit(1)).alias("n_docs"))
     sums = weights.join(lab, "doc").groupBy("cluster", "term").agg(F.sum("weight").alias("s"))
-    means = sums.join(F.broadcast(sizes), "cluster").select(
+    means = sums.join(sizes, "cluster").select(
         "cluster", "term", (F.col("s") / F.col("n_docs")).alias("score")
     )
     return top_k_per_group(means, ["cluster"], [F.desc("score"), F.asc("term")], n, "rank")

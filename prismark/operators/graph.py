@@ -70,8 +70,8 @@ def top_nodes(nodes: DataFrame, k: int = 30) -> DataFrame:
 
 
 def induced_subgraph(edges: DataFrame, keep: DataFrame) -> DataFrame:
-    """Edges whose both ends are in ``keep`` (a top-k node list: bounded, broadcast)."""
-    k = F.broadcast(keep.select(F.col("author").alias("_n")))
+    """Edges whose both ends are in ``keep`` (semi joins; Catalyst broadcasts a small list)."""
+    k = keep.select(F.col("author").alias("_n"))
     return edges.join(k, edges["a"] == k["_n"], "left_semi").join(
         k.withColumnRenamed("_n", "_m"), edges["b"] == F.col("_m"), "left_semi"
     )

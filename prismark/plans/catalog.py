@@ -818,13 +818,13 @@ def topic_distance_q(spark, sf_dir):
     return out.select("topic_a", "topic_b", F.round("similarity", 6).alias("similarity"))
 
 
-# --- J4 / J5: fuzzy title match and enrichment (records = even ids, works = odd ids) --
+# --- J4 / J5: fuzzy title match and enrichment (Scholar records against a PubMed catalogue) --
 
 from prismark.operators import enrich as en  # noqa: E402
 
 
 def _works(spark, sf_dir):
-    a = fx.articles(spark, sf_dir).where(F.col("article_id") % 2 == 1)
+    a = fx.articles(spark, sf_dir).where(F.col("Source") == "PubMed")
     return a.select(
         F.col("article_id").alias("work_id"),
         F.col("Title").alias("title"),
@@ -836,7 +836,7 @@ def _works(spark, sf_dir):
 
 
 def _match_records(spark, sf_dir):
-    a = fx.records(spark, sf_dir).where(F.col("article_id") % 2 == 0)
+    a = fx.records(spark, sf_dir).where(F.col("Source") == "Google Scholar")
     return a.withColumn("Abstract", F.concat(F.substring("Abstract", 1, 120), F.lit("...")))
 
 
