@@ -68,3 +68,47 @@ def test_sample_csv_facts(spark):
     assert df.where(F.col("Year").isNull()).count() == 13
     assert df.where(F.col("PDF_Link").isNotNull()).count() == 25
     assert df.where(F.col("Citations_Scholar").isNotNull()).count() == 25
+
+
+def test_csl_json_file(spark, tmp_path):
+    import json
+
+    from prismark.sources import csl
+
+    items = [
+        {"id": "a", "type": "article-journal", "title": "T1", "container-title": "J", "DOI": "10.1/x",
+         "author": [{"literal": "Group"}, {"family": "Doe", "given": "Jo"}, {"family": "Roe"}, {"given": "X"}],
+         "issued": {"date-parts": [[2015, 3]]}},
+        {"id": "b", "title": "T2", "issued": {"date-parts": [[]]}},
+    ]
+    path = tmp_path / "items.json"
+    path.write_text(json.dumps(items), encoding="utf-8")
+    rows = {r.ID: r for r in csl.read_csl_json(spark, str(path)).collect()}
+    assert rows["a"].Authors == "Group; Doe Jo; Roe" and rows["a"].Year == 2015 and rows["a"].DOI == "10.1/x"
+    assert rows["b"].Authors == "" and rows["b"].Year is None
+
+
+def test_pubmed_xml_file(spark, tmp_path):
+    from prismark.sources import pubmed
+
+    xml = """<PubmedArticleSet>
+<PubmedArticle><MedlineCitation><PMID>123</PMID><Article>
+<Journal><JournalIssue><Volume>5</Volume><Issue>2</Issue><PubDate><Year>2019</Year></PubDate></JournalIssue>
+<Title>Neuro J</Title></Journal><ArticleTitle>A <i>bold</i> title</ArticleTitle>
+<Pagination><MedlinePgn>1-9</MedlinePgn></Pagination><ELocationID EIdType="doi">10.1/e</ELocationID>
+<Abstract><AbstractText Label="A">First.</AbstractText><AbstractText Label="B">Second.</AbstractText></Abstract>
+<AuthorList><Author><LastName>Doe</LastName><ForeName>Jo</ForeName></Author><Author><LastName>Roe</LastName></Author>
+<Author><CollectiveName>G</CollectiveName></Author></AuthorList><Language>eng</Language>
+<PublicationTypeList><PublicationType>Journal Article</PublicationType></PublicationTypeList></Article>
+<MeshHeadingList><MeshHeading><DescriptorName>Stroke</DescriptorName></MeshHeading></MeshHeadingList></MedlineCitation>
+<PubmedData><ArticleIdList><ArticleId IdType="pubmed">123</ArticleId><ArticleId IdType="doi">10.1/a</ArticleId>
+</ArticleIdList></PubmedData></PubmedArticle>
+</PubmedArticleSet>"""
+    path = tmp_path / "a.xml"
+    path.write_text(xml, encoding="utf-8")
+    r = pubmed.read_pubmed_xml(spark, str(path)).first()
+    assert (r.ID, r.ID_Type, r.DOI, r.Year, r.Volume, r.Pages) == ("123", "PMID/DOI", "10.1/a", "2019", "5", "1-9")
+    assert r.Authors == "Doe Jo; Roe" and r.MeSH_Terms == "Stroke" and r.Language == "eng"
+    assert r.URL == "https://pubmed.ncbi.nlm.nih.gov/123/"
+    assert r.Abstract == "First. Second."
+    assert r.Title == "A bold title"  # T12: inline markup kept as text, then tags stripped
