@@ -595,7 +595,7 @@ def export_items(spark, sf_dir):
         it["publicationTitle"].alias("publicationTitle"),
         it["date"].alias("date"),
         it["url"].alias("url"),
-        F.size(creators).alias("n_creators"),
+        F.size(creators).cast("long").alias("n_creators"),
         F.array_join(F.transform(creators, lambda c: F.when(c["name"].isNotNull(), F.concat(F.lit("name:"), c["name"]))
                                  .otherwise(F.concat(F.lit("lastName:"), c["lastName"]))), "|").alias("creators"),
         F.element_at(it["collections"], 1).alias("collection"),
