@@ -22,3 +22,22 @@ def test_plan(spark, name):
     if name not in PYTHON_ALLOWED:
         for node in PYTHON_NODES:
             assert node not in plan, f"{name} runs Python ({node})"
+
+
+def _scan_lines(df):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return [ln for ln in plan.split("\n") if "FileScan parquet" in ln]
+
+
+def test_scans_read_only_needed_columns(spark):
+    # the flagship reads doc_id, text and source; never lang or n_chars
+    for ln in _scan_lines(E.queries()["decades_after_dedup"](spark, SF)):
+        assert "lang" not in ln and "n_chars" not in ln, ln
+    # the co-author graph reads three lineitem columns out of eleven
+    for ln in _scan_lines(E.queries()["coauthor_edges"](spark, SF)):
+        assert "l_extendedprice" not in ln and "l_shipdate" not in ln, ln
+
+
+def test_filter_reaches_the_scan(spark):
+    lines = _scan_lines(E.queries()["documents_of_topic"](spark, SF))
+    assert lines and all("PushedFilters: [IsNotNull(label), EqualTo(label,3)]" in ln for ln in lines), lines
