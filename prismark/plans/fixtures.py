@@ -32,7 +32,8 @@ def spread(df: DataFrame, key: str | None = None) -> DataFrame:
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores, key) if key else df.repartition(cores)
+        n = 4 * cores  # several tasks per core even out documents of very different lengths
+        return df.repartition(n, key) if key else df.repartition(n)
     return df
 
 
