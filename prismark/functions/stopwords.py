@@ -1,18 +1,14 @@
 """Stop-word lists (U4).
 
 The base English list is a parameter.  Its default is the list Spark MLlib
-publishes for ``StopWordsRemover`` (read straight from the mllib jar, so the
-Spark plans and the SQL oracles see the same words without a JVM round
-trip).  The reference used scikit-learn's list, which is not installed here;
-pass it as ``base`` to reproduce its vocabulary exactly.
+publishes for ``StopWordsRemover``, spelled out here so that importing the
+package needs neither a session nor Spark's jar files.  The reference used
+scikit-learn's list, which is not installed here; pass it as ``base`` to
+reproduce its vocabulary exactly.
 """
 
 from __future__ import annotations
 
-import functools
-import glob
-import os
-import zipfile
 from collections.abc import Iterable
 
 # Domain words the reference adds to the English list (abstract analysis).
@@ -22,19 +18,20 @@ SUPPLEMENTARY_FULLTEXT = SUPPLEMENTARY_ABSTRACT + [
     "Introduction", "Background", "Methods", "Results", "Discussion", "Conclusion",
 ]
 
-
-@functools.lru_cache(maxsize=None)
-def spark_default_stop_words(language: str = "english") -> tuple[str, ...]:
-    import pyspark
-
-    jars = glob.glob(os.path.join(os.path.dirname(pyspark.__file__), "jars", "spark-mllib_*.jar"))
-    if jars:
-        with zipfile.ZipFile(jars[0]) as z:
-            data = z.read(f"org/apache/spark/ml/feature/stopwords/{language}.txt").decode("utf-8")
-        return tuple(w for w in data.split("\n") if w)
-    from pyspark.ml.feature import StopWordsRemover  # needs an active session
-
-    return tuple(StopWordsRemover.loadDefaultStopWords(language))
+# The English list published with Spark MLlib's StopWordsRemover.
+ENGLISH_STOP_WORDS = tuple("""
+i me my myself we our ours ourselves you your yours yourself yourselves he him his himself she her
+hers herself it its itself they them their theirs themselves what which who whom this that these
+those am is are was were be been being have has had having do does did doing a an the and but if or
+because as until while of at by for with about against between into through during before after
+above below to from up down in out on off over under again further then once here there when where
+why how all any both each few more most other some such no nor not only own same so than too very s
+t can will just don should now i'll you'll he'll she'll we'll they'll i'd you'd he'd she'd we'd
+they'd i'm you're he's she's it's we're they're i've we've you've they've isn't aren't wasn't
+weren't haven't hasn't hadn't don't doesn't didn't won't wouldn't shan't shouldn't mustn't can't
+couldn't cannot could here's how's let's ought that's there's what's when's where's who's why's
+would
+""".split())
 
 
 def stop_words(
@@ -47,7 +44,7 @@ def stop_words(
     ``lowercase_extra=False`` keeps the reference behaviour where ``ICU`` and
     capitalised extras never match lower-cased tokens (trap T6).
     """
-    words = set(spark_default_stop_words() if base is None else base)
+    words = set(ENGLISH_STOP_WORDS if base is None else base)
     words |= {w.lower() for w in extra} if lowercase_extra else set(extra)
     return sorted(words)
 
