@@ -5,9 +5,12 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from prismark.llm import exact_dedup as dedup
+from prismark.llm import bpe, exact_dedup as dedup, language_id
 from prismark.llm.packing import pack
+from prismark.llm.quality_classifier import classify
+from prismark.llm.quality_rules import quality_rules
 from prismark.llm.runtime import read_table
+from prismark.llm.token_files import read_token_files, write_token_files
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -35,6 +38,34 @@ def op1_pack_documents(spark, sf_dir):
     )
 
 
+@register("op2_token_files")
+def op2_token_files(spark, sf_dir):
+    manifest = write_token_files(read_table(spark, sf_dir, "documents"), byte_bpe(), end_id=0)
+    return read_token_files(manifest).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+@register("op3_bpe_round_trip")
+def op3_bpe_round_trip(spark, sf_dir):
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return bpe.round_trip(read_table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+
+
 @register("op6_exact_dedup", dedup.ORACLE_SQL)
 def op6_exact_dedup(spark, sf_dir):
     return dedup.exact_dedup(read_table(spark, sf_dir, "documents"))
+
+
+@register("op7_quality_rules")
+def op7_quality_rules(spark, sf_dir):
+    return quality_rules(read_table(spark, sf_dir, "documents"))
+
+
+@register("op8_quality_classifier")
+def op8_quality_classifier(spark, sf_dir):
+    return classify(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"), threshold=0.3)
+
+
+@register("op9_language_id")
+def op9_language_id(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents")
+    return language_id.identify(docs, language_id.fit(docs))
