@@ -154,7 +154,7 @@ def write_token_files(
                 if writer is None:
                     store, path = open_store(name)
                     store.create_dir(path.rpartition("/")[0], recursive=True)
-                    sink = store.open_output_stream(path)
+                    sink = store.open_output_stream(path, compression=None)
                     writer = TokenFileWriter(sink, width)
                 for key, ids in zip(keys[at:], encoder.encode(texts.slice(at, 512).to_pylist())):
                     writer.add(key, np.concatenate((ids, end)))
