@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from prismark.llm import bpe, exact_dedup as dedup, language_id
+from prismark.llm import bpe, exact_dedup as dedup, html_extraction, language_id
 from prismark.llm.packing import pack
 from prismark.llm.quality_classifier import classify
 from prismark.llm.quality_rules import quality_rules
@@ -50,6 +50,12 @@ def op3_bpe_round_trip(spark, sf_dir):
     return bpe.round_trip(read_table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
 
 
+@register("op4_html_text")
+def op4_html_text(spark, sf_dir):
+    pages = read_table(spark, sf_dir, "pages")
+    return html_extraction.extract(pages, html_extraction.train_labeller(pages))
+
+
 @register("op6_exact_dedup", dedup.ORACLE_SQL)
 def op6_exact_dedup(spark, sf_dir):
     return dedup.exact_dedup(read_table(spark, sf_dir, "documents"))
