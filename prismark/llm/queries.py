@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from prismark.llm import bpe, exact_dedup as dedup, html_extraction, language_id
+from prismark.llm.jaccard_join import jaccard_components
 from prismark.llm.packing import pack
 from prismark.llm.quality_classifier import classify
 from prismark.llm.quality_rules import quality_rules
@@ -56,6 +57,13 @@ def op4_html_text(spark, sf_dir):
     return html_extraction.extract(pages, html_extraction.train_labeller(pages))
 
 
+@register("op5_jaccard_join")
+def op5_jaccard_join(spark, sf_dir):
+    return jaccard_components(
+        read_table(spark, sf_dir, "documents"), n=3, p=90, q=100, subs=2, skip=1, spare=0.05, weak=2
+    )
+
+
 @register("op6_exact_dedup", dedup.ORACLE_SQL)
 def op6_exact_dedup(spark, sf_dir):
     return dedup.exact_dedup(read_table(spark, sf_dir, "documents"))
