@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from prismark.llm import bpe, exact_dedup as dedup, html_extraction, language_id
+from prismark.llm import bpe, exact_dedup as dedup, html_extraction, language_id, pii
 from prismark.llm.jaccard_join import jaccard_components
 from prismark.llm.packing import pack
 from prismark.llm.quality_classifier import classify
@@ -83,3 +83,8 @@ def op8_quality_classifier(spark, sf_dir):
 def op9_language_id(spark, sf_dir):
     docs = read_table(spark, sf_dir, "documents")
     return language_id.identify(docs, language_id.fit(docs))
+
+
+@register("op10_pii")
+def op10_pii(spark, sf_dir):
+    return pii.report(read_table(spark, sf_dir, "documents"))
