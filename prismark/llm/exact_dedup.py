@@ -26,7 +26,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from prismark.llm.runtime import stored
+from prismark.llm.runtime import small_enough, stored
 
 #: The characters that do not count, deleted before texts are compared.
 BLANKS = " \t\n\x0b\x0c\r"
@@ -77,12 +77,14 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns.
-
-    Rows are found by their ids, so the ids must be unique and not null.
-    """
-    kept = exact_dedup(docs, id_col, text_col).where("kept").select(F.col("doc_id").alias("_kept_id"))
-    return docs.join(kept, docs[id_col] == kept["_kept_id"], "left_semi")
+    """The rows of ``docs`` that stay, with all their columns; rows equal in id and text stay or go together."""
+    gone = exact_dedup(docs, id_col, text_col).where(~F.col("kept")).select(
+        F.col("doc_id").alias("_gone_id"), F.col("text_sha256").alias("_gone_text")
+    )
+    gone = small_enough(stored(gone.distinct(), "exact-gone"))
+    norm = F.translate(F.coalesce(F.col(text_col), F.lit("")), BLANKS, "")
+    same = F.col(id_col).eqNullSafe(F.col("_gone_id")) & (F.sha2(norm.cast("binary"), 256) == F.col("_gone_text"))
+    return docs.join(gone, same, "left_anti")
 
 
 ORACLE_SQL = """

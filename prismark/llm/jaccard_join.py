@@ -34,11 +34,9 @@ import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
 from prismark.llm.components import connected
-from prismark.llm.runtime import stored
+from prismark.llm.runtime import small_enough, stored
 
 M1, M2, M3 = 0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB
-#: Ids of documents whose sets are wanted are broadcast up to this many (8 bytes each), else joined by a shuffle.
-BROADCAST_IDS = 1 << 20
 #: Pairs left per row of the signature table at which they are compared pair by pair.
 PAIRS_PER_ROW = 8
 MOST_LEADERS = 6
@@ -202,10 +200,9 @@ def sketch(docs: DataFrame, n: int, join: PartEnum, id_col: str, text_col: str)
 
 def sets_of(docs: DataFrame, wanted: DataFrame, n: int, id_col: str, text_col: str) -> DataFrame:
     """``rep, grams`` (sorted 64-bit hashes as bytes) of the documents whose id is in ``wanted.rep``, one row an id."""
-    few = wanted.count() <= BROADCAST_IDS
-    ids = wanted.select(F.col("rep").alias("_id"))
+    ids = small_enough(wanted.select(F.col("rep").alias("_id")))
     rows = docs.select(F.col(id_col).alias("rep"), F.col(text_col).alias("text"))
-    rows = rows.join(F.broadcast(ids) if few else ids, F.col("rep") == F.col("_id"), "left_semi")
+    rows = rows.join(ids, F.col("rep") == F.col("_id"), "left_semi")
     kind = rows.schema["rep"].dataType.simpleString()
 
     def run(batches):
@@ -270,6 +267,14 @@ def jaccard_components(
     return answer.select("doc_id", "n_shingles", F.coalesce("component", own).alias("component_id"))
 
 
+def keep_one_of_each_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """``docs`` without the documents that link to one with a smaller id; rows without an id stay."""
+    joined = jaccard_components(docs, id_col=id_col, text_col=text_col, **options)
+    gone = joined.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("_gone_id")).distinct()
+    gone = small_enough(stored(gone, "join-gone"))
+    return docs.join(gone, docs[id_col] == gone["_gone_id"], "left_anti")
+
+
 def _link(docs, table, n, p, q, id_col, text_col) -> DataFrame | None:
     """``node, component`` of the classes that share a signature with another; None if no class does."""
     wanted = stored(table.select("rep").distinct(), "join-wanted")

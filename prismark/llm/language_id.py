@@ -85,6 +85,23 @@ def fit(
     return langs, np.log(n) - np.log(n.sum(axis=0))
 
 
+def predict(texts, langs: list[str], log: np.ndarray) -> tuple[list[str], list[float]]:
+    """Language and posterior of every text."""
+    bits = int(log.shape[0]).bit_length() - 1
+    letter = re.compile(r"[^\W\d_]")
+    pred, score = [], []
+    for text in texts:
+        if not (text and langs and any(m.group().isalpha() for m in letter.finditer(text))):
+            pred.append(UNKNOWN)
+            score.append(0.0)
+            continue
+        sums = log.take(gram_buckets(text, bits), axis=0).sum(axis=0)
+        best = int(np.argmax(sums))
+        pred.append(langs[best])
+        score.append(float(1 / np.exp(sums - sums[best]).sum()))
+    return pred, score
+
+
 def identify(
     docs: DataFrame, model: tuple[list[str], np.ndarray], id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
@@ -92,7 +109,6 @@ def identify(
     from pyspark.sql.pandas.types import to_arrow_schema
 
     langs, table = model
-    bits = int(table.shape[0]).bit_length() - 1
     weights = docs.sparkSession.sparkContext.broadcast(table)
     schema = StructType([
         StructField("doc_id", docs.schema[id_col].dataType), StructField("held_out", BooleanType()),
@@ -103,21 +119,8 @@ def identify(
     def run(batches):
         import pyarrow as pa
 
-        log = weights.value
-        letter = re.compile(r"[^\W\d_]")
         for batch in batches:
-            pred, score = [], []
-            for text in batch.column(2):
-                text = text.as_py()
-                found = text and langs and any(m.group().isalpha() for m in letter.finditer(text))
-                if not found:
-                    pred.append(UNKNOWN)
-                    score.append(0.0)
-                    continue
-                sums = log.take(gram_buckets(text, bits), axis=0).sum(axis=0)
-                best = int(np.argmax(sums))
-                pred.append(langs[best])
-                score.append(float(1 / np.exp(sums - sums[best]).sum()))
+            pred, score = predict((t.as_py() for t in batch.column(2)), langs, weights.value)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).cast(arrow.field(0).type), batch.column(1), pa.array(pred, pa.string()), pa.array(score, pa.float64())],
                 names=arrow.names,
@@ -126,3 +129,19 @@ def identify(
     return docs.select(
         F.col(id_col).alias("doc_id"), held_out(id_col).alias("held_out"), F.col(text_col).alias("text")
     ).mapInArrow(run, schema)
+
+
+def keep_identified(docs: DataFrame, model: tuple[list[str], np.ndarray], min_score: float = 0.0, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose language is known with ``min_score`` or more, with all their columns."""
+    langs, table = model
+    weights = docs.sparkSession.sparkContext.broadcast(table)
+    at = docs.columns.index(text_col)
+
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            pred, score = predict((t.as_py() for t in batch.column(at)), langs, weights.value)
+            yield batch.filter(pa.array([p != UNKNOWN and s >= min_score for p, s in zip(pred, score)], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -27,7 +27,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from prismark.llm.runtime import stored
+from prismark.llm.runtime import small_enough, stored
 
 KINDS = ("email", "ip", "card", "phone")
 LOCAL = "A-Za-z0-9._%+-"
@@ -192,28 +192,37 @@ def discover(
     return fine.groupBy("value").agg(F.max_by("kind", F.struct("score", -F.col("kind"))).alias("kind"))
 
 
-def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, row, base, added``: base spans by start and kind, and the method's spans, of every row."""
-    rows = docs.select(
+def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return docs.select(
         F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")
     ).withColumn("row", F.xxhash64("text"))
-    base = rows.select("doc_id", "row", in_order(base_spans(F.col("text"))).alias("base"))
-    base = stored(base, "pii-base")
+
+
+def added_spans(rows: DataFrame) -> DataFrame:
+    """``_d, _r, added``: the method's spans of the rows (``doc_id, row, text``) that have any."""
     found = stored(occurrences(rows), "pii-occurrences")
     added = (
         found.join(discover(found), "value")
         .groupBy("doc_id", "row")
         .agg(F.collect_set(F.struct("kind", "s", "e")).alias("added"))
     )
-    both = base.join(
-        added.select(F.col("doc_id").alias("_d"), F.col("row").alias("_r"), "added"),
-        F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("row") == F.col("_r")), "left",
-    )
-    free = F.filter(
-        F.coalesce("added", F.array().cast(SPAN)),
-        lambda x: ~F.exists("base", lambda b: (x["s"] < b["e"]) & (b["s"] < x["e"])),
+    return stored(added.select(F.col("doc_id").alias("_d"), F.col("row").alias("_r"), "added"), "pii-added")
+
+
+def _free(base: Column, added: Column) -> Column:
+    """The method's spans that touch no base span."""
+    return F.filter(
+        F.coalesce(added, F.array().cast(SPAN)), lambda x: ~F.exists(base, lambda b: (x["s"] < b["e"]) & (b["s"] < x["e"]))
     )
-    return both.select("doc_id", "row", "base", free.alias("added"))
+
+
+def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``doc_id, row, base, added``: base spans by start and kind, and the method's spans, of every row."""
+    rows = _rows(docs, id_col, text_col)
+    base = rows.select("doc_id", "row", in_order(base_spans(F.col("text"))).alias("base"))
+    same = F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("row") == F.col("_r"))
+    both = base.join(small_enough(added_spans(rows), 1 << 16), same, "left")
+    return both.select("doc_id", "row", "base", _free(F.col("base"), F.col("added")).alias("added"))
 
 
 def report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -234,9 +243,6 @@ def report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
 
 def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with every span replaced by its kind in angle brackets; overlapping spans by the first one's."""
-    spans = find_pii(docs, id_col, text_col).select(
-        F.col("doc_id").alias("_d"), F.col("row").alias("_r"), in_order(F.concat("base", "added")).alias("_spans")
-    ).where(F.size("_spans") > 0).dropDuplicates(["_d", "_r"])
     text = F.col(text_col)
     names = F.array(*(F.lit(f"<{k}>") for k in KINDS))
 
@@ -252,7 +258,9 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
         "_spans", F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step,
         lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))),
     )
-    joined = docs.join(
-        spans, F.col(id_col).eqNullSafe(F.col("_d")) & (F.xxhash64(F.coalesce(text, F.lit(""))) == F.col("_r")), "left"
+    same = F.col(id_col).eqNullSafe(F.col("_d")) & (F.xxhash64(F.coalesce(text, F.lit(""))) == F.col("_r"))
+    joined = docs.withColumn("_base", base_spans(F.coalesce(text, F.lit("")))).join(
+        small_enough(added_spans(_rows(docs, id_col, text_col)), 1 << 16), same, "left"
     )
-    return joined.withColumn(text_col, F.when(F.col("_spans").isNull(), text).otherwise(clean)).select(*docs.columns)
+    spans = joined.withColumn("_spans", in_order(F.concat("_base", _free(F.col("_base"), F.col("added")))))
+    return spans.withColumn(text_col, F.when(F.size("_spans") > 0, clean).otherwise(text)).select(*docs.columns)

@@ -12,7 +12,7 @@ import sys
 import types
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from prismark.session import checkpoint_dir
 
@@ -49,3 +49,12 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+#: Rows of a table of keys that may be broadcast; larger ones are joined by a shuffle.
+BROADCAST_ROWS = 1 << 18
+
+
+def small_enough(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """``df`` (keys and fixed-size values only) marked for broadcast if it is counted to have at most ``rows`` rows."""
+    return F.broadcast(df) if df.count() <= rows else df
