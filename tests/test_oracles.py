@@ -3,10 +3,11 @@
 import pytest
 
 import __spark_entry__ as E
+from prismark.plans import catalog
 from tests.oracle_check import compare
 
 SF = "/root/testdata/sf0.001"
-NAMES = sorted(E.oracle_sql())
+NAMES = sorted(catalog.ORACLE)
 
 
 def test_entry_runs(spark):
@@ -21,5 +22,5 @@ def test_oracle(spark, name):
 
 
 def test_rows_only_queries_run(spark):
-    for name in sorted(set(E.queries()) - set(E.oracle_sql())):
-        assert E.queries()[name](spark, SF).count() >= 0
+    for name in sorted(set(catalog.QUERIES) - set(catalog.ORACLE)):
+        assert catalog.QUERIES[name](spark, SF).count() >= 0
