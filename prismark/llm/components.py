@@ -13,13 +13,18 @@ from pyspark.sql import DataFrame, functions as F
 from prismark.llm.runtime import stored
 
 
+#: Links or labels that one task of a round handles at least.
+ROWS_PER_TASK = 50_000
+
+
 def connected(links: DataFrame) -> DataFrame:
     """``node, component`` (the smallest node reachable) of every end of the links ``a, b``."""
+    tasks = 2 * links.count() // ROWS_PER_TASK + 1
     both = stored(
-        links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a <> b").distinct(),
+        links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a <> b").distinct().coalesce(tasks),
         "component-links",
     )
-    labels = stored(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.min("a")).alias("component")), "component-labels")
+    labels = stored(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.min("a")).alias("component")).coalesce(tasks), "component-labels")
     while True:
         near = both.join(labels.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.min("component").alias("near"))
         lower = labels.join(near, "node").select(
@@ -27,7 +32,7 @@ def connected(links: DataFrame) -> DataFrame:
         )
         up = labels.select(F.col("node").alias("now"), F.col("component").alias("up"))
         moved = stored(
-            lower.join(up, "now", "left").select("node", "was", F.least("now", "up").alias("component")), "component-labels"
+            lower.join(up, "now", "left").select("node", "was", F.least("now", "up").alias("component")).coalesce(tasks), "component-labels"
         )
         labels = moved.select("node", "component")
         if moved.where("was <> component").isEmpty():

@@ -12,6 +12,10 @@ signature: no link is lost.  ``spare`` adds first-level parts; a set may then le
 out its signatures of fewer than ``weak`` elements (which unrelated sets would
 share), as long as these lie in no more parts than were added.
 
+Candidates are first held against a fixed-size sketch: a hash per cell of a fine
+partition of the hash space.  Sets that differ in more cells than they may differ in
+elements cannot link, so this rejects no link.
+
 Equal sets are one class; only classes are joined.  Of the sets that share a
 signature each is first compared with one leader, which joins groups of
 near copies with as many comparisons as they have members.  What then still
@@ -37,9 +41,15 @@ from prismark.llm.components import connected
 from prismark.llm.runtime import small_enough, stored
 
 M1, M2, M3 = 0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB
-#: Pairs left per row of the signature table at which they are compared pair by pair.
-PAIRS_PER_ROW = 8
-MOST_LEADERS = 6
+#: Cells of a class's sketch, 16 bits each.
+CELLS = 128
+#: Sketches that may be broadcast (256 bytes each).
+BROADCAST_SKETCHES = 1 << 16
+#: Members of a signature in one block.
+BLOCK = 512
+#: Open pairs per row of the signature table at which blocks follow the leaders.
+PAIRS_PER_ROW = 2000
+MOST_LEADERS = 4
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -158,15 +168,23 @@ def set_key(grams: np.ndarray) -> bytes:
     return a.tobytes() + b.tobytes()
 
 
+def cell_hashes(grams: np.ndarray) -> bytes:
+    """16 bits for each of ``CELLS`` cells of the hash space."""
+    with np.errstate(over="ignore"):
+        h = mix(grams ^ np.uint64(M1))
+    sums = np.bincount((h >> np.uint64(57)).astype(np.int64), (h & np.uint64(0xFFFF)).astype(np.float64), CELLS)
+    return (sums.astype(np.uint64) & np.uint64(0xFFFF)).astype("<u2").tobytes()
+
+
 def sketch(docs: DataFrame, n: int, join: PartEnum, id_col: str, text_col: str) -> DataFrame:
-    """``doc_id, n_shingles, key, node, sigs`` of every row: size, set key (null: empty), its first half, signatures."""
+    """``doc_id, n_shingles, key, node, cells, sigs`` of every row: size, set key (null: empty), its first half, sketch, signatures."""
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField, StructType
 
     kind = docs.schema[id_col].dataType
     schema = StructType([
         StructField("doc_id", kind), StructField("n_shingles", LongType()), StructField("key", BinaryType()),
-        StructField("node", LongType()), StructField("sigs", ArrayType(LongType(), False)),
+        StructField("node", LongType()), StructField("cells", BinaryType()), StructField("sigs", ArrayType(LongType(), False)),
     ])
     arrow = to_arrow_schema(schema)
 
@@ -177,20 +195,22 @@ def sketch(docs: DataFrame, n: int, join: PartEnum, id_col: str, text_col: str)
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
-                size, key, node, sigs = [], [], [], []
+                size, key, node, cells, sigs = [], [], [], [], []
                 for text in part.column(1):
                     grams = gram_set(text.as_py(), n, powers)
                     k = set_key(grams) if len(grams) else None
                     size.append(len(grams))
                     key.append(k)
                     node.append(k and int.from_bytes(k[:8], "little", signed=True))
+                    cells.append(cell_hashes(grams) if k else None)
                     sigs.append(join.signatures(grams))
                 offsets = np.concatenate(([0], np.cumsum([len(s) for s in sigs]))).astype(np.int32)
                 flat = np.concatenate(sigs) if sigs else np.zeros(0, np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column(0).cast(arrow.field(0).type), pa.array(size, pa.int64()), pa.array(key, pa.binary()),
-                        pa.array(node, pa.int64()), pa.ListArray.from_arrays(offsets, pa.array(flat), type=arrow.field(4).type),
+                        pa.array(node, pa.int64()), pa.array(cells, pa.binary()),
+                        pa.ListArray.from_arrays(offsets, pa.array(flat), type=arrow.field(5).type),
                     ],
                     schema=arrow,
                 )
@@ -218,6 +238,93 @@ def sets_of(docs: DataFrame, wanted: DataFrame, n: int, id_col: str, text_col: s
     return rows.mapInArrow(run, f"rep {kind}, grams binary")
 
 
+def possible(pairs: DataFrame, cells: DataFrame, p: int, q: int) -> DataFrame:
+    """The pairs ``a, b`` whose sketches do not rule out a link; ``cells``: rep, size, cells."""
+    left = cells.select(F.col("rep").alias("a"), F.col("size").alias("sa"), F.col("cells").alias("ca"))
+    right = cells.select(F.col("rep").alias("b"), F.col("size").alias("sb"), F.col("cells").alias("cb"))
+
+    @F.pandas_udf("long")
+    def differ(x, y):
+        import pandas as pd
+
+        if not len(x):
+            return pd.Series([], dtype="int64")
+        x, y = (np.frombuffer(b"".join(c), "<u2").reshape(-1, CELLS) for c in (x, y))
+        return pd.Series((x != y).sum(axis=1))
+
+    left, right = small_enough(left, BROADCAST_SKETCHES), small_enough(right, BROADCAST_SKETCHES)
+    both = pairs.join(left, "a").join(right, "b")
+    return both.where(differ("ca", "cb") * (q + p) <= (F.col("sa") + F.col("sb")) * (q - p)).select("a", "b")
+
+
+def in_blocks(rows: DataFrame, cells: DataFrame, p: int, q: int) -> DataFrame:
+    """Pairs ``a, b`` under one signature, in different components, that sketches allow.
+
+    ``rows``: sig, rep, component, component2 (the leader's), m (members of the
+    signature).  Members outside the leader's component meet all members, block by
+    block; a block pair is one run of sorted rows in some task.
+    """
+    blocks = F.ceil(F.col("m") / BLOCK).cast("int")
+    own = F.pmod(F.xxhash64("rep"), blocks).cast("int")
+    every = F.explode(F.sequence(F.lit(0), blocks - 1))
+    base = rows.select("sig", "rep", "component", "component2", own.alias("own"), every.alias("other"))
+    minor = base.where(F.col("component") != F.col("component2")).select(
+        "sig", F.col("own").alias("i"), F.col("other").alias("j"), F.lit(0).alias("side"), "rep", "component"
+    )
+    member = base.select("sig", F.col("other").alias("i"), F.col("own").alias("j"), F.lit(1).alias("side"), "rep", "component")
+    both = minor.unionByName(member).join(small_enough(cells, BROADCAST_SKETCHES), "rep").select(
+        "sig", "i", "j", "side", "size", "cells", "rep", "component"
+    )
+    kind = rows.schema["rep"].dataType.simpleString()
+
+    def run(batches):
+        import pyarrow as pa
+
+        def candidates(run_of_rows):
+            t = pa.Table.from_batches(run_of_rows)
+            side = t.column("side").to_numpy()
+            n0 = int((side == 0).sum())
+            if not n0:
+                return
+            rep, comp = np.array(t.column("rep").to_pylist(), object), np.array(t.column("component").to_pylist(), object)
+            size = t.column("size").to_numpy()
+            sketch = np.frombuffer(b"".join(t.column("cells").to_pylist()), "<u2").reshape(-1, CELLS)
+            _, comp = np.unique(comp.astype(str), return_inverse=True)
+            for at in range(0, n0, 32):
+                to = min(at + 32, n0)
+                sums = size[at:to, None] + size[None, n0:]
+                near = np.zeros(sums.shape, np.int64)
+                for c in range(0, CELLS, 32):
+                    near += (sketch[at:to, None, c : c + 32] != sketch[None, n0:, c : c + 32]).sum(axis=2)
+                ok = (near * (q + p) <= sums * (q - p)) & (comp[at:to, None] != comp[None, n0:])
+                x, y = np.nonzero(ok)
+                if len(x):
+                    a, b = rep[at + x], rep[n0 + y]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([min(u, v) for u, v in zip(a, b)], t.schema.field("rep").type),
+                         pa.array([max(u, v) for u, v in zip(a, b)], t.schema.field("rep").type)], names=["a", "b"],
+                    )
+
+        held, key = [], None
+        for batch in batches:
+            keys = np.stack([batch.column(k).to_numpy() for k in range(3)], 1)
+            cuts = np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1
+            edges = [0, *cuts.tolist(), len(keys)]
+            for u, v in zip(edges[:-1], edges[1:]):
+                if u == v:
+                    continue
+                if held and key != tuple(keys[u].tolist()):
+                    yield from candidates(held)
+                    held = []
+                key = tuple(keys[u].tolist())
+                held.append(batch.slice(u, v - u))
+        if held:
+            yield from candidates(held)
+
+    dealt = both.repartition("sig", "i", "j").sortWithinPartitions("sig", "i", "j", "side")
+    return dealt.mapInArrow(run, f"a {kind}, b {kind}").distinct()
+
+
 def verified(pairs: DataFrame, sets: DataFrame, p: int, q: int) -> DataFrame:
     """The pairs ``a, b`` whose full sets reach the threshold."""
     left = sets.select(F.col("rep").alias("a"), F.col("grams").alias("ga"))
@@ -245,16 +352,16 @@ def jaccard_components(
     join = PartEnum(p, q, subs, skip, spare, weak)
     rows = stored(sketch(docs, n, join, id_col, text_col), "join-sketch")
     classes = stored(
-        rows.where(F.col("key").isNotNull()).groupBy("node", "key").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("size")),
+        rows.where(F.col("key").isNotNull()).groupBy("node", "key").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("size"), F.first("cells").alias("cells")),
         "join-classes",
     )
     signed = rows.select(F.explode("sigs").alias("sig"), "node")
     shared = signed.groupBy("sig").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi").select("sig")
     table = stored(
-        signed.join(shared, "sig").distinct().join(classes.where(F.col("rep").isNotNull()), "node").select("sig", "rep", "size").distinct(),
+        signed.join(shared, "sig").distinct().join(classes.where(F.col("rep").isNotNull()).drop("cells"), "node").select("sig", "rep", "size").distinct(),
         "join-signatures",
     )
-    labels = _link(docs, table, n, p, q, id_col, text_col)
+    labels = _link(docs, table, classes, n, p, q, id_col, text_col)
     answer = rows.select("doc_id", "n_shingles", "node", "key").join(
         classes.select(F.col("node").alias("_n"), F.col("key").alias("_k"), "rep"),
         (F.col("node") == F.col("_n")) & (F.col("key") == F.col("_k")), "left",
@@ -275,12 +382,15 @@ def keep_one_of_each_group(docs: DataFrame, id_col: str = "doc_id", text_col: st
     return docs.join(gone, docs[id_col] == gone["_gone_id"], "left_anti")
 
 
-def _link(docs, table, n, p, q, id_col, text_col) -> DataFrame | None:
+def _link(docs, table, classes, n, p, q, id_col, text_col) -> DataFrame | None:
     """``node, component`` of the classes that share a signature with another; None if no class does."""
     wanted = stored(table.select("rep").distinct(), "join-wanted")
     if wanted.isEmpty():
         return None
-    sets = stored(sets_of(docs, wanted, n, id_col, text_col).groupBy("rep").agg(F.first("grams").alias("grams")), "join-sets")
+    cells = stored(
+        classes.join(small_enough(wanted), "rep", "left_semi").groupBy("rep").agg(F.first("size").alias("size"), F.first("cells").alias("cells")),
+        "join-cells",
+    )
     fits = (q * F.least("size", "size2") >= p * F.greatest("size", "size2"))
     labels, edges = None, None
     for turn in itertools.count():
@@ -294,27 +404,29 @@ def _link(docs, table, n, p, q, id_col, text_col) -> DataFrame | None:
             F.min("component").alias("_lo"), F.max("component").alias("_hi"),
             F.min(F.struct(F.xxhash64(F.col("rep"), F.lit(turn)).alias("h"), "rep", "size", "component")).alias("_lead"),
         ).where("_lo < _hi").select("sig", "_lead")
+        lead = open_sigs.select(
+            "sig", F.col("_lead.rep").alias("rep2"), F.col("_lead.size").alias("size2"), F.col("_lead.component").alias("component2")
+        )
+        left = left.join(lead, "sig")
+        last = False
         if turn:
-            left = stored(left.join(open_sigs.select("sig"), "sig", "left_semi"), "join-open")
-            per = left.groupBy("sig", "component").agg(F.count(F.lit(1)).alias("m")).groupBy("sig").agg(
-                F.sum("m").alias("m"), F.sum(F.col("m") * F.col("m")).alias("mm")
+            left = stored(left, "join-open")
+            per = left.groupBy("sig").agg(
+                F.count(F.lit(1)).alias("m"), F.count(F.when(F.col("component") != F.col("component2"), 1)).alias("out")
             )
-            got = per.agg(F.sum((F.col("m") * F.col("m") - F.col("mm")) / 2).alias("pairs"), F.sum("m").alias("rows")).first()
+            got = per.agg(F.sum(F.col("m") * F.col("out")).alias("pairs"), F.sum("m").alias("rows")).first()
             if not got["pairs"]:
                 return labels
             last = got["pairs"] <= PAIRS_PER_ROW * got["rows"] or turn >= MOST_LEADERS
-        else:
-            last = False
         if last:
-            right = left.select("sig", F.col("rep").alias("rep2"), F.col("size").alias("size2"), F.col("component").alias("component2"))
-            pairs = left.join(right, "sig").where((F.col("component") < F.col("component2")) & fits)
+            pairs = in_blocks(left.join(per.select("sig", "m"), "sig"), cells, p, q)
         else:
-            lead = open_sigs.select(
-                "sig", F.col("_lead.rep").alias("rep2"), F.col("_lead.size").alias("size2"), F.col("_lead.component").alias("component2")
-            )
-            pairs = left.join(lead, "sig").where((F.col("component") != F.col("component2")) & fits)
-        pairs = pairs.select(F.col("rep").alias("a"), F.col("rep2").alias("b")).distinct()
-        new = stored(verified(pairs, sets, p, q), "join-links")
+            pairs = left.where((F.col("component") != F.col("component2")) & fits)
+            pairs = possible(pairs.select(F.col("rep").alias("a"), F.col("rep2").alias("b")).distinct(), cells, p, q)
+        pairs = stored(pairs, "join-candidates")
+        ends = stored(pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct(), "join-ends")
+        sets = sets_of(docs, ends, n, id_col, text_col).groupBy("rep").agg(F.first("grams").alias("grams"))
+        new = stored(verified(pairs, stored(sets, "join-sets"), p, q), "join-links")
         edges = new if edges is None else edges.unionByName(new)
         labels = connected(edges)
         if last:
