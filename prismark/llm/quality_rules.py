@@ -61,14 +61,18 @@ def _params_from_sums(d: int, noise: np.ndarray):
     return params
 
 
-@F.pandas_udf("double")
-def _distance(x: pd.Series, m: pd.Series, w: pd.Series) -> pd.Series:
-    """Squared Mahalanobis distance."""
-    if not len(x):
-        return pd.Series([], dtype=float)
-    diff = np.stack(x.to_numpy()) - np.stack(m.to_numpy())
-    inverse = np.stack(w.to_numpy()).reshape(len(diff), diff.shape[1], diff.shape[1])
-    return pd.Series(np.einsum("ni,nij,nj->n", diff, inverse, diff))
+def _distance(x: str, m: str, w: str):
+    """Squared Mahalanobis distance, as a column."""
+
+    @F.pandas_udf("double")
+    def distance(x: pd.Series, m: pd.Series, w: pd.Series) -> pd.Series:
+        if not len(x):
+            return pd.Series([], dtype=float)
+        diff = np.stack(x.to_numpy()) - np.stack(m.to_numpy())
+        inverse = np.stack(w.to_numpy()).reshape(len(diff), diff.shape[1], diff.shape[1])
+        return pd.Series(np.einsum("ni,nij,nj->n", diff, inverse, diff))
+
+    return distance(x, m, w)
 
 
 def _assign_groups(rows: DataFrame, min_rows: int) -> DataFrame:
