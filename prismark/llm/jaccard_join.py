@@ -12,9 +12,10 @@ signature: no link is lost.  ``spare`` adds first-level parts; a set may then le
 out its signatures of fewer than ``weak`` elements (which unrelated sets would
 share), as long as these lie in no more parts than were added.
 
-Candidates are first held against a fixed-size sketch: a hash per cell of a fine
-partition of the hash space.  Sets that differ in more cells than they may differ in
-elements cannot link, so this rejects no link.
+Candidates are first held against a fixed-size sketch: a hash and a count per cell
+of a fine partition of the hash space.  Sets differ in at least one element per cell
+with different hashes, and in at least as many as its counts differ; pairs for which
+this is more than they may differ in cannot link, so this rejects no link.
 
 Equal sets are one class; only classes are joined.  Of the sets that share a
 signature each is first compared with one leader, which joins groups of
@@ -41,10 +42,10 @@ from prismark.llm.components import connected
 from prismark.llm.runtime import small_enough, stored
 
 M1, M2, M3 = 0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB
-#: Cells of a class's sketch, 16 bits each.
+#: Cells of a class's sketch, a byte of hash and a byte of count each.
 CELLS = 128
-#: Sketches that may be broadcast (256 bytes each).
-BROADCAST_SKETCHES = 1 << 16
+#: Sketches that may be broadcast (256 bytes each, 64 MB in all).
+BROADCAST_SKETCHES = 1 << 18
 #: Members of a signature in one block.
 BLOCK = 512
 #: Open pairs per row of the signature table at which blocks follow the leaders.
@@ -169,11 +170,19 @@ def set_key(grams: np.ndarray) -> bytes:
 
 
 def cell_hashes(grams: np.ndarray) -> bytes:
-    """16 bits for each of ``CELLS`` cells of the hash space."""
+    """For each of ``CELLS`` cells of the hash space a byte of hash, then for each a byte of count (255: that or more)."""
     with np.errstate(over="ignore"):
         h = mix(grams ^ np.uint64(M1))
-    sums = np.bincount((h >> np.uint64(57)).astype(np.int64), (h & np.uint64(0xFFFF)).astype(np.float64), CELLS)
-    return (sums.astype(np.uint64) & np.uint64(0xFFFF)).astype("<u2").tobytes()
+    cell = (h >> np.uint64(57)).astype(np.int64)
+    sums = np.bincount(cell, (h & np.uint64(0xFF)).astype(np.float64), CELLS).astype(np.uint64) & np.uint64(0xFF)
+    count = np.minimum(np.bincount(cell, minlength=CELLS), 255)
+    return sums.astype(np.uint8).tobytes() + count.astype(np.uint8).tobytes()
+
+
+def least_distance(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """A lower bound of the elements in which sets differ, from rows of sketches."""
+    apart = np.abs(x[..., CELLS:].astype(np.int16) - y[..., CELLS:])
+    return np.maximum(apart, x[..., :CELLS] != y[..., :CELLS]).sum(axis=-1, dtype=np.int64)
 
 
 def sketch(docs: DataFrame, n: int, join: PartEnum, id_col: str, text_col: str) -> DataFrame:
@@ -249,8 +258,8 @@ def possible(pairs: DataFrame, cells: DataFrame, p: int, q: int) -> DataFrame:
 
         if not len(x):
             return pd.Series([], dtype="int64")
-        x, y = (np.frombuffer(b"".join(c), "<u2").reshape(-1, CELLS) for c in (x, y))
-        return pd.Series((x != y).sum(axis=1))
+        x, y = (np.frombuffer(b"".join(c), np.uint8).reshape(-1, 2 * CELLS) for c in (x, y))
+        return pd.Series(least_distance(x, y))
 
     left, right = small_enough(left, BROADCAST_SKETCHES), small_enough(right, BROADCAST_SKETCHES)
     both = pairs.join(left, "a").join(right, "b")
@@ -272,9 +281,12 @@ def in_blocks(rows: DataFrame, cells: DataFrame, p: int, q: int) -> DataFrame:
         "sig", F.col("own").alias("i"), F.col("other").alias("j"), F.lit(0).alias("side"), "rep", "component"
     )
     member = base.select("sig", F.col("other").alias("i"), F.col("own").alias("j"), F.lit(1).alias("side"), "rep", "component")
-    both = minor.unionByName(member).join(small_enough(cells, BROADCAST_SKETCHES), "rep").select(
-        "sig", "i", "j", "side", "size", "cells", "rep", "component"
-    )
+    both, key = minor.unionByName(member), ("sig", "i", "j")
+    if cells.count() <= BROADCAST_SKETCHES:  # sketches are looked up where the rows have been dealt to
+        both = both.repartition(*key).join(F.broadcast(cells), "rep")
+    else:
+        both = both.join(cells, "rep").repartition(*key)
+    both = both.select(*key, "side", "size", "cells", "rep", "component")
     kind = rows.schema["rep"].dataType.simpleString()
 
     def run(batches):
@@ -288,15 +300,13 @@ def in_blocks(rows: DataFrame, cells: DataFrame, p: int, q: int) -> DataFrame:
                 return
             rep, comp = np.array(t.column("rep").to_pylist(), object), np.array(t.column("component").to_pylist(), object)
             size = t.column("size").to_numpy()
-            sketch = np.frombuffer(b"".join(t.column("cells").to_pylist()), "<u2").reshape(-1, CELLS)
+            sketch = np.frombuffer(b"".join(t.column("cells").to_pylist()), np.uint8).reshape(-1, 2 * CELLS)
             _, comp = np.unique(comp.astype(str), return_inverse=True)
             for at in range(0, n0, 32):
                 to = min(at + 32, n0)
                 sums = size[at:to, None] + size[None, n0:]
-                near = np.zeros(sums.shape, np.int64)
-                for c in range(0, CELLS, 32):
-                    near += (sketch[at:to, None, c : c + 32] != sketch[None, n0:, c : c + 32]).sum(axis=2)
-                ok = (near * (q + p) <= sums * (q - p)) & (comp[at:to, None] != comp[None, n0:])
+                apart = least_distance(sketch[at:to, None], sketch[None, n0:])
+                ok = (apart * (q + p) <= sums * (q - p)) & (comp[at:to, None] != comp[None, n0:])
                 x, y = np.nonzero(ok)
                 if len(x):
                     a, b = rep[at + x], rep[n0 + y]
@@ -321,8 +331,7 @@ def in_blocks(rows: DataFrame, cells: DataFrame, p: int, q: int) -> DataFrame:
         if held:
             yield from candidates(held)
 
-    dealt = both.repartition("sig", "i", "j").sortWithinPartitions("sig", "i", "j", "side")
-    return dealt.mapInArrow(run, f"a {kind}, b {kind}").distinct()
+    return both.sortWithinPartitions(*key, "side").mapInArrow(run, f"a {kind}, b {kind}").distinct()
 
 
 def verified(pairs: DataFrame, sets: DataFrame, p: int, q: int) -> DataFrame:
