@@ -17,6 +17,7 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from prismark.operators.dedup import KEY, first_wins, with_title_key
@@ -25,11 +26,15 @@ from prismark.schema import RECORD_SCHEMA
 from prismark.sources.records import conform
 
 
-def _accepted_keys(spark: SparkSession, out_dir: str) -> DataFrame | None:
+def _accepted_keys(spark: SparkSession, out_dir: str, batch_id: int) -> DataFrame | None:
+    """Keys written by earlier batches; a batch that is replayed does not see its own rows."""
     try:
-        return spark.read.parquet(out_dir).select(KEY)
-    except Exception:  # no batch written yet
-        return None
+        written = spark.read.parquet(out_dir)
+    except AnalysisException as missing:
+        if missing.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return None  # no batch written yet
+    return written.where(F.col("batch") < batch_id).select(KEY)
 
 
 def process_batch(
@@ -45,7 +50,7 @@ def process_batch(
     recs = recs.withColumn("_prio", F.when(F.col("Source") == primary_source, 0).otherwise(1))
     recs = recs.withColumn("_order", F.struct("_prio", F.monotonically_increasing_id().alias("_i")))
     recs = first_wins(recs, KEY, "_order").drop("_prio", "_order")
-    seen = _accepted_keys(spark, out_dir)
+    seen = _accepted_keys(spark, out_dir, batch_id)
     if seen is not None:
         recs = recs.join(seen, KEY, "left_anti")
     if scorer is not None:

@@ -37,3 +37,16 @@ def test_screen_stream(spark, tmp_path):
     assert out["Short one"][1:3] == (False, "No Abstract")
     assert out["New title"] == ("Google Scholar", False, "No reason provided", 1)
     assert len(out) == 3
+
+
+def test_replayed_batch_keeps_its_rows(spark, tmp_path):
+    from prismark.streaming.screening import process_batch
+
+    out = str(tmp_path / "out")
+    batch = spark.createDataFrame([("PubMed", "First title", "x" * 40), ("PubMed", "Second", "short")], "Source string, Title string, Abstract string")
+    for _ in range(2):
+        process_batch(batch, 0, out, "any")
+        assert spark.read.parquet(out).count() == 2
+    process_batch(batch, 1, out, "any")
+    process_batch(batch, 0, out, "any")
+    assert spark.read.parquet(out).count() == 2
