@@ -103,7 +103,7 @@ def modularity(edges: DataFrame, labels: DataFrame) -> DataFrame:
     return per.agg(F.round(F.sum("q"), 6).alias("modularity"))
 
 
-def communities(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
+def communities(edges: DataFrame, nodes: DataFrame | None = None) -> DataFrame:
     """``(node, community)`` by rounds of star merges on modularity gain (unweighted).
 
     Gain of merging c and d: ``e_cd / m - D_c * D_d / (2 m^2)`` where ``e_cd``
@@ -115,16 +115,21 @@ def communities(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
     non-hub wait for a later round.  A community id is a node name in it.
 
     This merges whole stars per round (a dense graph needs one round, not one
-    per pair); the result can differ from one-pair-at-a-time greedy merging and
+    per pair) and runs until no merge gains (the best pair always chooses each
+    other, so every round merges); the result can differ from one-pair-at-a-time greedy merging and
     is compared by modularity (N6).  Inputs and each round's labels are
-    checkpointed (reliable, shared folder).
+    checkpointed (reliable, shared folder).  ``nodes`` (a one-column table) adds
+    nodes without edges, each a community of its own.
     """
     # The input is computed once and checkpointed: every round reads it again.
     und = cut_lineage(edges.select("a", "b"))
     deg = cut_lineage(_degrees(und))
     m = F.lit(und.count())
-    labels = cut_lineage(deg.select("node", F.col("node").alias("community")))
-    for _ in range(max_rounds):
+    every = deg.select("node")
+    if nodes is not None:
+        every = every.unionByName(nodes.select(F.col(nodes.columns[0]).alias("node"))).distinct()
+    labels = cut_lineage(every.select("node", F.col("node").alias("community")))
+    while True:
         la = labels.withColumnRenamed("node", "a").withColumnRenamed("community", "ca")
         lb = labels.withColumnRenamed("node", "b").withColumnRenamed("community", "cb")
         ce = und.join(la, "a").join(lb, "b").where(F.col("ca") != F.col("cb"))
@@ -140,7 +145,7 @@ def communities(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
         best = top_k_per_group(gains, ["c"], [F.desc("gain"), F.asc("d")], 1).where(F.col("gain") > 0).select("c", "d")
         best = cut_lineage(best)
         if best.isEmpty():
-            break
+            return labels
         choosers = best.select(F.col("c").alias("h"))
         mutual_low = best.alias("x").join(
             best.alias("y"), (F.col("x.c") == F.col("y.d")) & (F.col("x.d") == F.col("y.c")) & (F.col("x.c") < F.col("x.d"))
@@ -153,7 +158,6 @@ def communities(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
         labels = cut_lineage(
             labels.join(moves, "community", "left").select("node", F.coalesce("merged", "community").alias("community"))
         )
-    return labels
 
 
 def community_members(labels: DataFrame) -> DataFrame:

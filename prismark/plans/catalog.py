@@ -689,8 +689,8 @@ def top_author_concentration(spark, sf_dir):
 def communities_top30(spark, sf_dir):
     """N5 + N7 on the top-30 induced subgraph (iterative; rows-only check)."""
     p = _positions(spark, sf_dir)
-    sub = gr.induced_subgraph(gr.coauthor_edges(p), gr.top_nodes(gr.coauthor_nodes(p), 30))
-    return gr.community_members(gr.communities(sub))
+    top = gr.top_nodes(gr.coauthor_nodes(p), 30)
+    return gr.community_members(gr.communities(gr.induced_subgraph(gr.coauthor_edges(p), top), top.select("author")))
 
 
 @register("coauthor_edges_articles", with_articles(
@@ -829,7 +829,7 @@ def _works(spark, sf_dir):
         F.col("article_id").alias("work_id"),
         F.col("Title").alias("title"),
         F.concat(F.lit("10.5555/work."), F.col("article_id").cast("string")).alias("DOI"),
-        F.concat(F.lit("<jats:p>"), F.substring("Abstract", 1, 300), F.lit("</jats:p>")).alias("abstract"),
+        F.concat(F.lit("<jats:p>"), F.col("Abstract"), F.lit("</jats:p>")).alias("abstract"),
         F.trim("Journal").alias("container_title"),
         F.col("Year").alias("year"),
     )
@@ -837,13 +837,13 @@ def _works(spark, sf_dir):
 
 def _match_records(spark, sf_dir):
     a = fx.records(spark, sf_dir).where(F.col("Source") == "Google Scholar")
-    return a.withColumn("Abstract", F.concat(F.substring("Abstract", 1, 120), F.lit("...")))
+    return a.withColumn("Abstract", F.concat("Abstract", F.lit("...")))
 
 
 @register("title_match")
 def title_match(spark, sf_dir):
-    """Best work per record with ratio > 80 (exact candidates); rows-only check,
-    brute-force parity is in tests/test_enrich.py."""
+    """Best retrieved work per record with ratio > 80; rows-only check,
+    brute-force parity is in tests/test_graph_cluster.py."""
     return en.match_by_title(_match_records(spark, sf_dir), _works(spark, sf_dir))
 
 
@@ -871,7 +871,7 @@ from prismark.sources import scholar as src_scholar  # noqa: E402
     ", r as (select article_id, cast(floor(article_id / 10) as bigint) as page_id, cast(article_id % 10 as int) as pos, "
     "Title, case when article_id % 7 <> 0 then 'https://scholar.example.org/' || cast(article_id as varchar) end as link, "
     "replace(Authors, ';', ',') as Authors, trim(Journal) || coalesce(', ' || cast(Year as varchar), '') as Journal, "
-    "substr(coalesce(Abstract, ''), 1, 200) as snip from articles) "
+    "coalesce(Abstract, '') as snip from articles) "
     "select page_id, pos, 'Google Scholar' as Source, Title, link as URL, case when link is not null then 'URL' end as ID_Type, "
     "link as ID, case when link is null then 'Citation/Book' end as Publication_Type, Authors, Journal, "
     "nullif(regexp_extract(Journal, '\\b(19|20)\\d{2}\\b', 0), '') as Year, nullif(snip, '') as Abstract, "

@@ -46,9 +46,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 ARTICLES_EXPRS = [
     "doc_id as article_id",
     "case when cast(substr(source, 4) as int) % 2 = 0 then 'PubMed' else 'Google Scholar' end as Source",
-    "substr(split_part(text, chr(10), 1), 1, 80) as Title",
+    "split_part(text, chr(10), 1) as Title",
     """case when doc_id % 19 = 0 then null when doc_id % 23 = 0 then 'short'
-   else substr(text, 1, 1500) || ' ' || case cast(doc_id % 9 as int) when 0 then 'a randomized trial'
+   else text || ' ' || case cast(doc_id % 9 as int) when 0 then 'a randomized trial'
      when 1 then 'systematic review of stroke' when 2 then 'qualitative interview' when 3 then 'prospective cohort, tbi'
      when 4 then 'cross-sectional survey' when 5 then 'case-control of sah' when 6 then 'chart review palliative'
      when 7 then 'pilot of glioma and stroke' else 'infarct' end end as Abstract""",
@@ -135,7 +135,7 @@ def scholar_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.replace(F.col("Authors"), F.lit(";"), F.lit(",")), F.lit(" - "), F.trim("Journal"),
         F.coalesce(F.concat(F.lit(", "), F.col("Year").cast("string")), F.lit("")), F.lit(" - example.org"),
     )
-    snippet = F.substring(F.coalesce(F.col("Abstract"), F.lit("")), 1, 200)
+    snippet = F.coalesce(F.col("Abstract"), F.lit(""))
     cited = F.when(aid % 2 == 0, F.concat(F.lit('<a href="/cites">Cited by '), (aid % 50).cast("string"), F.lit("</a>")))
     pdf = F.when(aid % 3 == 0, F.concat(F.lit('<div class="gs_or_ggsm"><a href="https://pdf.example.org/'),
                                          aid.cast("string"), F.lit('.pdf">[PDF]</a></div>')))
@@ -172,7 +172,7 @@ def pubmed_xml(spark: SparkSession, sf_dir: str) -> DataFrame:
     sections = F.when(ab.isNull(), F.lit("")).otherwise(F.concat(
         F.lit("<Abstract><AbstractText Label=\"BACKGROUND\">"), xml_escape(F.substring(ab, 1, 100)), F.lit("</AbstractText>"),
         F.when(F.length(ab) > 100, F.concat(F.lit("<AbstractText Label=\"RESULTS\">"),
-                                             xml_escape(F.substring(ab, 101, 100000)), F.lit("</AbstractText>")))
+                                             xml_escape(F.expr("substring(Abstract, 101)")), F.lit("</AbstractText>")))
         .otherwise(F.lit("")),
         F.lit("</Abstract>")))
     year = F.coalesce(F.concat(F.lit("<PubDate><Year>"), F.col("Year").cast("string"), F.lit("</Year></PubDate>")), F.lit(""))

@@ -25,7 +25,7 @@ def local_session(cpus: int | str = "*", partitions: int = 8, app: str = "prisma
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .config("spark.driver.memory", os.environ.get("PRISMARK_DRIVER_MEMORY", "16g"))
+        .config("spark.driver.memory", os.environ.get("PRISMARK_DRIVER_MEMORY", "8g"))
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
     )
@@ -49,7 +49,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if named:
         sc.setCheckpointDir(named)
         return sc.getCheckpointDir() or named
-    if not sc.master.startswith("local"):
+    if sc.master != "local" and not sc.master.startswith("local["):
         raise RuntimeError(
             "spark.checkpoint.dir is not set; iterative operators need a shared checkpoint folder"
         )

@@ -2,6 +2,8 @@
 
 import itertools
 
+import regex
+
 from pyspark.sql import functions as F
 
 from prismark.functions.similarity import indel_ratio, lcs_length
@@ -40,6 +42,8 @@ def test_stats_and_modularity(spark):
     lab = spark.createDataFrame([(n, 0 if n in "abc" else 1) for n in "abcdef"], "node string, community int")
     assert gr.modularity(e2, lab).first().modularity == 0.5
     comm = {r.node: r.community for r in gr.communities(e2).collect()}
+    alone = spark.createDataFrame([("a",), ("z",)], "author string")
+    assert {r.node: r.community for r in gr.communities(e2, alone).collect()} == comm | {"z": "z"}
     assert len({comm[n] for n in "abc"}) == 1 and len({comm[n] for n in "def"}) == 1 and comm["a"] != comm["d"]
 
 
@@ -51,7 +55,7 @@ def test_lcs_and_ratio():
 
 def test_title_match_equals_brute_force(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select(
-        "doc_id", F.substring(F.split_part("text", F.lit("\n"), F.lit(1)), 1, 80).alias("t"),
+        "doc_id", F.split_part("text", F.lit("\n"), F.lit(1)).alias("t"),
         (F.substring("source", 4, 10).cast("int") % 2 == 0).alias("primary")).toPandas()
     recs = docs[~docs.primary][["doc_id", "t"]]
     works = docs[docs.primary][["doc_id", "t"]]
@@ -61,6 +65,9 @@ def test_title_match_equals_brute_force(spark):
             continue
         best = None
         for wid, wt in zip(works.doc_id, works.t):
+            x, y = (set(regex.findall(r"[\p{L}\p{N}_]+", t.lower())) for t in (rt, wt))
+            if not x or not y or 100 * len(x & y) < 60 * len(x | y):
+                continue
             r = indel_ratio(rt.lower(), wt.lower())
             if r > 80 and (best is None or r > best[1] or (r == best[1] and wid < best[0])):
                 best = (wid, r)
