@@ -28,7 +28,7 @@ def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document of each group that links by 5-word shingles at a Jaccard similarity of 0.8 or more."""
-    return jaccard_join.keep_one_of_each_group(docs, n=5, p=80, q=100)
+    return jaccard_join.keep_one_of_each_group(docs, n=5, p=80, q=100, lean=True)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

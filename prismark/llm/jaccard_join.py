@@ -185,8 +185,8 @@ def least_distance(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return np.maximum(apart, x[..., :CELLS] != y[..., :CELLS]).sum(axis=-1, dtype=np.int64)
 
 
-def sketch(docs: DataFrame, n: int, join: PartEnum, id_col: str, text_col: str) -> DataFrame:
-    """``doc_id, n_shingles, key, node, cells, sigs`` of every row: size, set key (null: empty), its first half, sketch, signatures."""
+def sketch(docs: DataFrame, n: int, join: PartEnum | None, id_col: str, text_col: str) -> DataFrame:
+    """``doc_id, n_shingles, key, node, cells, sigs`` of every row: size, set key (null: empty), its first half, sketch, signatures (none without ``join``)."""
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField, StructType
 
@@ -212,7 +212,7 @@ def sketch(docs: DataFrame, n: int, join: PartEnum, id_col: str, text_col: str)
                     key.append(k)
                     node.append(k and int.from_bytes(k[:8], "little", signed=True))
                     cells.append(cell_hashes(grams) if k else None)
-                    sigs.append(join.signatures(grams))
+                    sigs.append(join.signatures(grams) if join else np.zeros(0, np.int64))
                 offsets = np.concatenate(([0], np.cumsum([len(s) for s in sigs]))).astype(np.int32)
                 flat = np.concatenate(sigs) if sigs else np.zeros(0, np.int64)
                 yield pa.RecordBatch.from_arrays(
@@ -355,17 +355,25 @@ def verified(pairs: DataFrame, sets: DataFrame, p: int, q: int) -> DataFrame:
 
 def jaccard_components(
     docs: DataFrame, n: int = 5, p: int = 80, q: int = 100, subs: int = 2, skip: int = 1, spare: float = 0.15, weak: int = 1,
-    id_col: str = "doc_id", text_col: str = "text",
+    id_col: str = "doc_id", text_col: str = "text", lean: bool = False,
 ) -> DataFrame:
-    """``doc_id, n_shingles, component_id`` of every row of ``docs``."""
+    """``doc_id, n_shingles, component_id`` of every row of ``docs``.
+
+    ``lean`` trades time for disk where few texts are equal and the threshold is low:
+    signatures are made anew for both passes over them instead of being stored, and
+    the first pass counts them instead of comparing their sets.  The result is the same.
+    """
     join = PartEnum(p, q, subs, skip, spare, weak)
-    rows = stored(sketch(docs, n, join, id_col, text_col), "join-sketch")
+    rows = stored(sketch(docs, n, None if lean else join, id_col, text_col), "join-sketch")
     classes = stored(
         rows.where(F.col("key").isNotNull()).groupBy("node", "key").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("size"), F.first("cells").alias("cells")),
         "join-classes",
     )
-    signed = rows.select(F.explode("sigs").alias("sig"), "node")
-    shared = signed.groupBy("sig").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi").select("sig")
+    signed = (sketch(docs, n, join, id_col, text_col) if lean else rows).select(F.explode("sigs").alias("sig"), "node")
+    if lean:
+        shared = signed.groupBy("sig").agg(F.count(F.lit(1)).alias("held")).where("held > 1").select("sig")
+    else:
+        shared = signed.groupBy("sig").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi").select("sig")
     table = stored(
         signed.join(shared, "sig").distinct().join(classes.where(F.col("rep").isNotNull()).drop("cells"), "node").select("sig", "rep", "size").distinct(),
         "join-signatures",
@@ -420,6 +428,7 @@ def _link(docs, table, classes, n, p, q, id_col, text_col) -> DataFrame | None:
         last = False
         if turn:
             left = stored(left, "join-open")
+            table = left.select("sig", "rep", "size")  # what is closed stays closed
             per = left.groupBy("sig").agg(
                 F.count(F.lit(1)).alias("m"), F.count(F.when(F.col("component") != F.col("component2"), 1)).alias("out")
             )
@@ -434,8 +443,9 @@ def _link(docs, table, classes, n, p, q, id_col, text_col) -> DataFrame | None:
             pairs = possible(pairs.select(F.col("rep").alias("a"), F.col("rep2").alias("b")).distinct(), cells, p, q)
         pairs = stored(pairs, "join-candidates")
         ends = stored(pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct(), "join-ends")
+        # one exchange of the sets serves both sides of the pairs
         sets = sets_of(docs, ends, n, id_col, text_col).groupBy("rep").agg(F.first("grams").alias("grams"))
-        new = stored(verified(pairs, stored(sets, "join-sets"), p, q), "join-links")
+        new = stored(verified(pairs, sets, p, q), "join-links")
         edges = new if edges is None else edges.unionByName(new)
         labels = connected(edges)
         if last:
