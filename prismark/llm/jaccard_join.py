@@ -360,8 +360,9 @@ def jaccard_components(
     """``doc_id, n_shingles, component_id`` of every row of ``docs``.
 
     ``lean`` trades time for disk where few texts are equal and the threshold is low:
-    signatures are made anew for both passes over them instead of being stored, and
-    the first pass counts them instead of comparing their sets.  The result is the same.
+    signatures are made anew for both passes over them instead of being stored, the
+    first pass counts them instead of comparing their sets, and the sets of candidates
+    are not stored either.  The result is the same.
     """
     join = PartEnum(p, q, subs, skip, spare, weak)
     rows = stored(sketch(docs, n, None if lean else join, id_col, text_col), "join-sketch")
@@ -378,7 +379,7 @@ def jaccard_components(
         signed.join(shared, "sig").distinct().join(classes.where(F.col("rep").isNotNull()).drop("cells"), "node").select("sig", "rep", "size").distinct(),
         "join-signatures",
     )
-    labels = _link(docs, table, classes, n, p, q, id_col, text_col)
+    labels = _link(docs, table, classes, n, p, q, id_col, text_col, lean)
     answer = rows.select("doc_id", "n_shingles", "node", "key").join(
         classes.select(F.col("node").alias("_n"), F.col("key").alias("_k"), "rep"),
         (F.col("node") == F.col("_n")) & (F.col("key") == F.col("_k")), "left",
@@ -399,7 +400,7 @@ def keep_one_of_each_group(docs: DataFrame, id_col: str = "doc_id", text_col: st
     return docs.join(gone, docs[id_col] == gone["_gone_id"], "left_anti")
 
 
-def _link(docs, table, classes, n, p, q, id_col, text_col) -> DataFrame | None:
+def _link(docs, table, classes, n, p, q, id_col, text_col, lean) -> DataFrame | None:
     """``node, component`` of the classes that share a signature with another; None if no class does."""
     wanted = stored(table.select("rep").distinct(), "join-wanted")
     if wanted.isEmpty():
@@ -443,8 +444,9 @@ def _link(docs, table, classes, n, p, q, id_col, text_col) -> DataFrame | None:
             pairs = possible(pairs.select(F.col("rep").alias("a"), F.col("rep2").alias("b")).distinct(), cells, p, q)
         pairs = stored(pairs, "join-candidates")
         ends = stored(pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct(), "join-ends")
-        # one exchange of the sets serves both sides of the pairs
         sets = sets_of(docs, ends, n, id_col, text_col).groupBy("rep").agg(F.first("grams").alias("grams"))
+        if not lean:  # else one exchange of the sets serves both sides of the pairs
+            sets = stored(sets, "join-sets")
         new = stored(verified(pairs, sets, p, q), "join-links")
         edges = new if edges is None else edges.unionByName(new)
         labels = connected(edges)
