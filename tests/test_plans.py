@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as E
+from prismark.plans import catalog
 
 SF = "/root/testdata/sf0.001"
 PYTHON_NODES = ("ArrowEvalPython", "BatchEvalPython", "MapInPandas", "FlatMapCoGroupsInPandas", "FlatMapGroupsInPandas")
@@ -10,11 +11,12 @@ PAIR_ALL = ("CartesianProduct", "BroadcastNestedLoopJoin")
 # S5 result pages, P6 user scorer, X2 title ratio (J4/J5), M9 block kernel (and M10 on top of it)
 PYTHON_ALLOWED = {"scholar_results", "scored_screening", "title_match", "enrich_records", "knn_embeddings",
                   "density_clusters"}
+# the corpus operators have their own style rules and their own tests in tests/llm
 # queries whose construction runs Spark jobs (iterative operators, MLlib fits) are checked by their tests
 SKIP = {"communities_top30", "kmeans_clusters", "choose_k", "pca_embeddings", "density_clusters", "knn_embeddings"}
 
 
-@pytest.mark.parametrize("name", sorted(set(E.queries()) - SKIP))
+@pytest.mark.parametrize("name", sorted(set(catalog.QUERIES) - SKIP))
 def test_plan(spark, name):
     plan = E.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
     for node in PAIR_ALL:
