@@ -7,15 +7,20 @@ split by the same pattern that extracts the matches.  Matches that fail their
 check (octets up to 255, Luhn, number of digits) are dropped.
 
 *Method.*  Everything that looks like an identifier (a number with separators,
-an address with an at sign, a word with a digit) is an occurrence with the word
-before and after it.  Occurrences that are base entities are the seeds.  A lexical
-pattern is a neighbouring word with the occurrence's shape (each digit 9, each
-run of letters a).  On the graph of patterns and instances a pattern's
-confidence for a kind is the scored share of its instances, and an instance's
-score is the noisy-or of its confident patterns; the two are computed in turn
-for ``rounds`` rounds.  Instances that ``min_patterns`` confident patterns support with
-``min_score`` or more are personal data of that kind wherever they occur outside base
-spans.  Confidences and scores are partial sums per task before any row moves.
+an address with an at sign, a word with a digit) is an occurrence with the words
+before and after it, up to the next occurrence.  Occurrences that are base
+entities are the seeds.  A lexical pattern is the one to ``WINDOW`` words next to
+the occurrence on one side; what the occurrence itself looks like is no part of
+it, so that values of other formats share patterns with the seeds.  On the graph
+of patterns and instances a pattern's confidence for a kind is the scored share
+of its instances, and an instance's score is the noisy-or of its most confident
+pattern on either side (windows of one side hold each other and are no separate
+evidence); the two are computed in turn for ``rounds`` rounds.  Instances that
+``min_patterns`` confident patterns support with ``min_score`` or more are
+personal data of that kind, outside base spans: wherever they occur if at least
+half of their occurrences stand in confident patterns, otherwise (a common number
+that is an identifier here and there) only in these.  Confidences and scores are
+partial sums per task before any row moves.
 
 Defined cases: null and empty texts have no spans; texts of any length are
 searched whole; spans of different kinds may overlap; repeated rows have equal
@@ -47,6 +52,8 @@ MAY_HOLD = {
     "phone": r"\+[0-9]",
 }
 SPAN = "array<struct<kind:int,s:int,e:int>>"
+#: Words of the widest lexical pattern.
+WINDOW = 3
 #: What looks like an identifier: an address, a number with separators, a word with a digit.
 OCCURRENCE = (
     rf"(?<![{LOCAL}])[{LOCAL}]++@[A-Za-z0-9.-]*[A-Za-z0-9]"
@@ -140,31 +147,53 @@ def kind_of(value: Column) -> Column:
 def occurrences(rows: DataFrame) -> DataFrame:
     """``doc_id, row, s, e, value, patterns`` of everything that looks like an identifier; ``rows``: doc_id, row, text."""
     text = F.col("text")
-    before = F.split(text, OCCURRENCE, -1)
-    none = F.array().cast("array<struct<s:int,value:string,after:string>>")
+    none = F.array().cast("array<struct<s:int,value:string>>")
     found = F.when(
         text.rlike("[0-9@]"),
-        _walk(text, OCCURRENCE, lambda m, at, after: F.array(F.struct(
-            at.alias("s"), m.alias("value"), F.lower(F.regexp_extract(after, r"^\s*(\S+)", 1)).alias("after"))), none),
+        _walk(text, OCCURRENCE, lambda m, at, after: F.array(F.struct(at.alias("s"), m.alias("value"))), none),
     ).otherwise(none)
-    gaps = F.when(F.size("found") > 0, F.transform(before, lambda g: F.lower(F.regexp_extract(g, r"(\S+)\s*$", 1))))
+    words = F.transform(F.split(text, OCCURRENCE, -1), lambda g: F.filter(F.split(F.lower(g), r"\s+"), lambda w: w != ""))
+    ends = F.transform(words, lambda w: F.struct(
+        F.slice(w, F.lit(1), F.lit(WINDOW)).alias("first"),
+        F.slice(w, F.greatest(F.size(w) - (WINDOW - 1), F.lit(1)), F.lit(WINDOW)).alias("last"),
+    ))
+    n = F.size("found")
+    sides = F.arrays_zip(
+        F.col("found").alias("f"), F.slice("gaps", F.lit(1), n)["last"].alias("left"), F.slice("gaps", F.lit(2), n)["first"].alias("right")
+    )
     each = (
-        rows.withColumn("found", found).where(F.size("found") > 0).withColumn("gaps", gaps)
-        .select("doc_id", "row", F.posexplode(F.arrays_zip(F.col("found").alias("f"), F.slice("gaps", F.lit(1), F.size("found")).alias("left"))))
-        .select("doc_id", "row", F.col("col.f.s").alias("s"), F.col("col.f.value").alias("value"),
-                F.col("col.left").alias("left"), F.col("col.f.after").alias("right"))
+        rows.withColumn("found", found).where(n > 0).withColumn("gaps", ends)
+        .select("doc_id", "row", F.explode(sides).alias("x"))
+        .select("doc_id", "row", F.col("x.f.s").alias("s"), F.col("x.f.value").alias("value"), "x.left", "x.right")
     )
-    shape = F.regexp_replace(F.regexp_replace("value", r"\p{L}+", "a"), "[0-9]", "9")
-    sides = F.array(F.concat(F.lit("l "), "left", F.lit(" "), shape), F.concat(F.lit("r "), "right", F.lit(" "), shape))
+    widths = range(1, WINDOW + 1)
+    left = [F.when(F.size("left") >= k, F.concat_ws(" ", F.lit(f"l{k}"), F.slice("left", -k, k))) for k in widths]
+    right = [F.when(F.size("right") >= k, F.concat_ws(" ", F.lit(f"r{k}"), F.slice("right", 1, k))) for k in widths]
     return each.select(
-        "doc_id", "row", "s", (F.col("s") + F.length("value")).alias("e"), "value", sides.alias("patterns")
+        "doc_id", "row", "s", (F.col("s") + F.length("value")).alias("e"), "value", F.array_compact(F.array(*left, *right)).alias("patterns")
+    )
+
+
+def _support(edges: DataFrame, trusted: DataFrame) -> DataFrame:
+    """``value, kind, score, patterns, inside``: score, number of trusted patterns, and occurrences known to stand in one."""
+
+    def best(side: str) -> Column:
+        return F.coalesce(F.max(F.when(F.col("window").startswith(side), F.col("trust"))), F.lit(0.0))
+
+    # an occurrence has one pattern of each side and width, so the sum over one of them counts no occurrence twice
+    by_window = (
+        edges.join(trusted, "pattern").groupBy("value", "kind", F.substring("pattern", 1, 2).alias("window"))
+        .agg(F.max("trust").alias("trust"), F.sum("n").alias("inside"), F.count(F.lit(1)).alias("patterns"))
+    )
+    return by_window.groupBy("value", "kind").agg(
+        (1 - (1 - best("l")) * (1 - best("r"))).alias("score"), F.sum("patterns").alias("patterns"), F.max("inside").alias("inside")
     )
 
 
 def discover(
     found: DataFrame, rounds: int = 3, confident: float = 0.8, min_score: float = 0.9, min_patterns: int = 2, min_seeds: int = 3,
-) -> DataFrame:
-    """``value, kind`` of instances that are no seeds but that confident patterns support."""
+) -> tuple[DataFrame, DataFrame]:
+    """``value, kind, everywhere`` of instances that are no seeds but that confident patterns support, and these patterns (``pattern, kind``)."""
     edges = stored(
         found.select(F.explode("patterns").alias("pattern"), "value").groupBy("pattern", "value").agg(F.count(F.lit(1)).alias("n")),
         "pii-edges",
@@ -180,16 +209,15 @@ def discover(
     for _ in range(rounds):
         held = edges.join(scores, "value").groupBy("pattern", "kind").agg(F.sum(F.col("n") * F.col("score")).alias("held"))
         trust = held.join(total, "pattern").select("pattern", "kind", (F.col("held") / (F.col("total") + 1)).alias("trust"))
-        support = (
-            edges.join(seeds.select("value"), "value", "left_anti").join(trust.where(F.col("trust") >= confident), "pattern")
-            .groupBy("value", "kind")
-            .agg(F.sum(F.log(1 - F.least("trust", F.lit(0.999)))).alias("miss"), F.count(F.lit(1)).alias("patterns"))
-            .withColumn("score", 1 - F.exp("miss"))
-        )
-        support = stored(support.select("value", "kind", "score", "patterns"), "pii-scores")
-        scores = seed_score.unionByName(support.drop("patterns"))
+        trusted = stored(trust.where(F.col("trust") >= confident), "pii-trusted")
+        support = _support(edges.join(seeds.select("value"), "value", "left_anti"), trusted)
+        support = stored(support, "pii-scores")
+        scores = seed_score.unionByName(support.select("value", "kind", "score"))
     fine = support.where((F.col("score") >= min_score) & (F.col("patterns") >= min_patterns))
-    return fine.groupBy("value").agg(F.max_by("kind", F.struct("score", -F.col("kind"))).alias("kind"))
+    best = fine.groupBy("value").agg(F.max_by(F.struct("kind", "inside"), F.struct("score", -F.col("kind"))).alias("best"))
+    times = found.groupBy("value").agg(F.count(F.lit(1)).alias("times"))
+    values = best.join(times, "value").select("value", "best.kind", (2 * F.col("best.inside") >= F.col("times")).alias("everywhere"))
+    return values, trusted.select("pattern", "kind")
 
 
 def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -201,8 +229,12 @@ def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def added_spans(rows: DataFrame) -> DataFrame:
     """``_d, _r, added``: the method's spans of the rows (``doc_id, row, text``) that have any."""
     found = stored(occurrences(rows), "pii-occurrences")
+    values, patterns = discover(found)
+    hits = found.join(values, "value")
+    within = hits.where(~F.col("everywhere")).withColumn("pattern", F.explode("patterns")).join(patterns, ["pattern", "kind"], "left_semi")
+    span = ["doc_id", "row", "kind", "s", "e"]
     added = (
-        found.join(discover(found), "value")
+        hits.where("everywhere").select(span).unionByName(within.select(span))
         .groupBy("doc_id", "row")
         .agg(F.collect_set(F.struct("kind", "s", "e")).alias("added"))
     )

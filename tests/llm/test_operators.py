@@ -183,6 +183,25 @@ def test_pii_contexts_discover_unseen_identifiers(spark):
     assert got[36] == (1, "card:12:28") and got[37] == (0, "") and got[0] == (0, "card:12:28")
 
 
+def test_pii_contexts_discover_formats_without_base_pattern(spark):
+    texts = [f"you can call me on +1 (555) 010-{k:04d} after the meeting" for k in range(12)]
+    texts += [f"write to the address user{k}@mail.example.com for any questions" for k in range(12)]
+    planted = {
+        len(texts): ("you can call me on ", "0171 555 88 99", " after the meeting", "phone"),
+        len(texts) + 1: ("you can call me on ", "555-0199", " after the meeting", "phone"),
+        len(texts) + 2: ("write to the address ", "jane.roe7@intranet", " for any questions", "email"),
+    }
+    texts += [a + v + b for a, v, b, _ in planted.values()]
+    other = len(texts)
+    texts += ["the desk has 0171 555 88 99 written down", "there were 2048 pages on 4096 sheets"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: (r.n_added, r.spans) for r in pii.report(df).collect()}
+    for k, (a, v, b, kind) in planted.items():
+        assert got[k] == (1, f"{kind}:{len(a)}:{len(a) + len(v)}")
+    assert got[other] == (1, "phone:13:27") and got[other + 1] == (0, "")
+    assert all(got[k][0] == 0 for k in range(24))
+
+
 def test_language_id_held_out_accuracy(docs, odd):
     model = language_id.fit(docs)
     got = language_id.identify(docs, model).where("held_out").join(docs.select("doc_id", "lang"), "doc_id").collect()
