@@ -15,12 +15,16 @@ it, so that values of other formats share patterns with the seeds.  On the graph
 of patterns and instances a pattern's confidence for a kind is the scored share
 of its instances, and an instance's score is the noisy-or of its most confident
 pattern on either side (windows of one side hold each other and are no separate
-evidence); the two are computed in turn for ``rounds`` rounds.  Instances that
-``min_patterns`` confident patterns support with ``min_score`` or more are
-personal data of that kind, outside base spans: wherever they occur if at least
-half of their occurrences stand in confident patterns, otherwise (a common number
-that is an identifier here and there) only in these.  Confidences and scores are
-partial sums per task before any row moves.
+evidence).  Instances that ``min_patterns`` confident patterns support with
+``min_score`` or more are accepted with the score and kind they have then, and
+count like seeds from the next round on; the confident patterns are selected anew
+in every round, from all patterns that ``min_support`` seeds and accepted
+instances share, until a round accepts none.  Kinds and scores stay as accepted,
+so confidences only grow and the rounds end.  Accepted instances are personal
+data outside base spans: wherever they occur if at least half of their
+occurrences stand in confident patterns, otherwise (a common number that is an
+identifier here and there) only in these.  Confidences and scores are partial
+sums per task before any row moves.
 
 Defined cases: null and empty texts have no spans; texts of any length are
 searched whole; spans of different kinds may overlap; repeated rows have equal
@@ -32,7 +36,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from prismark.llm.runtime import small_enough, stored
+from prismark.llm.runtime import shared_path, small_enough, stored
 
 KINDS = ("email", "ip", "card", "phone")
 LOCAL = "A-Za-z0-9._%+-"
@@ -191,33 +195,43 @@ def _support(edges: DataFrame, trusted: DataFrame) -> DataFrame:
 
 
 def discover(
-    found: DataFrame, rounds: int = 3, confident: float = 0.8, min_score: float = 0.9, min_patterns: int = 2, min_seeds: int = 3,
+    found: DataFrame, confident: float = 0.8, min_score: float = 0.9, min_patterns: int = 2, min_support: int = 3,
 ) -> tuple[DataFrame, DataFrame]:
     """``value, kind, everywhere`` of instances that are no seeds but that confident patterns support, and these patterns (``pattern, kind``)."""
+    spark = found.sparkSession
     edges = stored(
         found.select(F.explode("patterns").alias("pattern"), "value").groupBy("pattern", "value").agg(F.count(F.lit(1)).alias("n")),
         "pii-edges",
     )
-    known = edges.select("value").distinct().withColumn("kind", kind_of(F.col("value")))
-    seeds = stored(known.where(F.col("kind").isNotNull()), "pii-seeds")
-    # only patterns that some seed has can ever be confident
-    seeded = edges.join(seeds, "value").groupBy("pattern").agg(F.count(F.lit(1)).alias("seeds")).where(F.col("seeds") >= min_seeds)
-    edges = stored(edges.join(seeded.select("pattern"), "pattern", "left_semi"), "pii-graph")
-    total = edges.groupBy("pattern").agg(F.sum("n").alias("total"))
-    seed_score = seeds.withColumn("score", F.lit(1.0))
-    scores = seed_score
-    for _ in range(rounds):
-        held = edges.join(scores, "value").groupBy("pattern", "kind").agg(F.sum(F.col("n") * F.col("score")).alias("held"))
-        trust = held.join(total, "pattern").select("pattern", "kind", (F.col("held") / (F.col("total") + 1)).alias("trust"))
+    every = edges.select("value").distinct().withColumn("kind", kind_of(F.col("value")))
+    seeds = stored(every.where(F.col("kind").isNotNull()).withColumn("score", F.lit(1.0)), "pii-seeds")
+    # a pattern of fewer instances cannot have the support in any round
+    total = edges.groupBy("pattern").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("values"))
+    total = stored(total.where(F.col("values") >= min_support).drop("values"), "pii-totals")
+    edges = stored(edges.join(total.select("pattern"), "pattern", "left_semi"), "pii-graph")
+    accepted_path = shared_path(spark, "pii-accepted")
+    seeds.limit(0).write.parquet(accepted_path)
+    while True:
+        accepted = spark.read.schema(seeds.schema).parquet(accepted_path)
+        known = seeds.unionByName(accepted)
+        held = edges.join(known, "value").groupBy("pattern", "kind").agg(
+            F.sum(F.col("n") * F.col("score")).alias("held"), F.count(F.lit(1)).alias("support")
+        )
+        trust = held.where(F.col("support") >= min_support).join(total, "pattern").select(
+            "pattern", "kind", (F.col("held") / (F.col("total") + 1)).alias("trust")
+        )
         trusted = stored(trust.where(F.col("trust") >= confident), "pii-trusted")
-        support = _support(edges.join(seeds.select("value"), "value", "left_anti"), trusted)
-        support = stored(support, "pii-scores")
-        scores = seed_score.unionByName(support.select("value", "kind", "score"))
-    fine = support.where((F.col("score") >= min_score) & (F.col("patterns") >= min_patterns))
-    best = fine.groupBy("value").agg(F.max_by(F.struct("kind", "inside"), F.struct("score", -F.col("kind"))).alias("best"))
+        support = _support(edges.join(known.select("value"), "value", "left_anti"), trusted)
+        fine = support.where((F.col("score") >= min_score) & (F.col("patterns") >= min_patterns))
+        best = fine.groupBy("value").agg(F.max_by(F.struct("kind", "score"), F.struct("score", -F.col("kind"))).alias("best"))
+        new = stored(best.select("value", "best.kind", "best.score"), "pii-new")
+        if new.isEmpty():
+            break
+        new.write.mode("append").parquet(accepted_path)
+    inside = _support(edges.join(accepted.select("value"), "value", "left_semi"), trusted).select("value", "kind", "inside")
     times = found.groupBy("value").agg(F.count(F.lit(1)).alias("times"))
-    values = best.join(times, "value").select("value", "best.kind", (2 * F.col("best.inside") >= F.col("times")).alias("everywhere"))
-    return values, trusted.select("pattern", "kind")
+    values = accepted.join(inside, ["value", "kind"]).join(times, "value")
+    return values.select("value", "kind", (2 * F.col("inside") >= F.col("times")).alias("everywhere")), trusted.select("pattern", "kind")
 
 
 def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:

@@ -202,6 +202,21 @@ def test_pii_contexts_discover_formats_without_base_pattern(spark):
     assert all(got[k][0] == 0 for k in range(24))
 
 
+def test_pii_contexts_are_learned_from_accepted_instances(spark):
+    hops = 5
+    contexts = [(f"one{c} two{c} three{c} ", f" four{c} five{c} six{c}") for c in "abcdef"]
+    values = [[f"+1 (555) 010-{k:04d}" if c == 0 else f"0{c}71 555 88 {k}{c}" for k in range(4)] for c in range(hops + 1)]
+    texts = [a + v + b for c, (a, b) in enumerate(contexts) for v in values[c] * 12]
+    unseen = len(texts) - 4 * 12 * hops
+    texts += [a + v + b for c, (a, b) in enumerate(contexts[:-1]) for v in values[c + 1]]
+    texts += ["no context like onea 19-04-77 sixa before", "other 0371 555 77 00 words"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.n_added for r in pii.report(df).collect()}
+    assert [got[k] for k in range(unseen)] == [0] * unseen
+    assert [got[k] for k in range(unseen, len(texts) - 2)] == [1] * (len(texts) - 2 - unseen)
+    assert got[len(texts) - 2] == got[len(texts) - 1] == 0
+
+
 def test_language_id_held_out_accuracy(docs, odd):
     model = language_id.fit(docs)
     got = language_id.identify(docs, model).where("held_out").join(docs.select("doc_id", "lang"), "doc_id").collect()
