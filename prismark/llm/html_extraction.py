@@ -15,8 +15,9 @@ rebuilt with other containers (and reader comments, notices and sidebars
 around its own texts), so that the labeller does not hang on one site's tags.
 
 Defined cases: null and empty pages, and pages without main text, give an
-empty text; unclosed tags end with their parent; a page of any length is read
-whole; pages with equal content give equal texts; an empty table gives no rows;
+empty text; unclosed tags end with their parent; scripts, styles and other raw
+elements reach to their own end tag, whatever is in them; the first tag or text
+that cannot be in a head ends it; a page of any length is read whole; pages with equal content give equal texts; an empty table gives no rows;
 other columns are not read.
 """
 
@@ -37,14 +38,22 @@ INLINE = frozenset(
 )
 # HTML elements that never have an end tag, and elements whose content is not shown.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-HIDDEN = frozenset("script style noscript template svg math iframe object head title select textarea button canvas".split())
+HIDDEN = frozenset("script style noscript template svg math iframe object title select textarea button canvas".split())
+# HTML elements without text that leave a head open.
+IN_HEAD = frozenset("html head meta link base basefont bgsound".split())
 # Names by which training blocks are told.
 MAIN_NAMES = ("article", "main", "post", "content", "entry", "story")
 OTHER_NAMES = (
     "nav", "header", "footer", "aside", "form", "menu", "ad", "ads", "advert", "sidebar", "cookie", "notice", "banner",
     "comments", "comment", "related", "share", "social", "promo", "breadcrumb", "subscribe", "newsletter", "widget",
 )
-TOKENS = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)|([^<]+|<)", re.S)
+# The content of raw elements is no markup: it reaches to their own end tag.
+TOKENS = re.compile(
+    r"<!--(?:-?>|.*?(?:--!?>|\Z))|<[!?][^>]*(?:>|\Z)"
+    r"|<(?P<raw>(?i:script|style|textarea|title|iframe))(?=[\s/>])[^>]*(?<!/)>.*?(?:</(?i:(?P=raw))(?=[\s/>])[^>]*(?:>|\Z)|\Z)"
+    r"|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)|([^<]+|<)",
+    re.S,
+)
 NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 WORDS = re.compile(r"[^\W_]+")
 
@@ -58,7 +67,7 @@ def leaf_blocks(page: str) -> list[tuple[tuple[str, ...], str, float]]:
     stack: list[tuple[str, tuple[str, ...]]] = []
     parts: list[str] = []
     linked, in_link, path = 0, 0, ()
-    hidden = None
+    hidden, in_head = None, False
 
     def close_block():
         nonlocal parts, linked
@@ -69,11 +78,23 @@ def leaf_blocks(page: str) -> list[tuple[tuple[str, ...], str, float]]:
             parts, linked = [], 0
 
     for m in TOKENS.finditer(page):
-        end, tag, rest, text = m.groups()
+        raw, end, tag, rest, text = m.groups()
         if hidden:
             if tag and end and tag.lower() == hidden:
                 hidden = None
             continue
+        if raw:
+            close_block()
+            in_link = 0
+            continue
+        if in_head:
+            name = (tag or "").lower()
+            if end and name not in ("body", "html", "br"):
+                in_head = name != "head"
+                continue
+            if name in IN_HEAD and not end or not tag and not (text or "").strip():
+                continue
+            in_head = name in HIDDEN
         if text is not None:
             parts.append(text)
             if in_link:
@@ -95,6 +116,8 @@ def leaf_blocks(page: str) -> list[tuple[tuple[str, ...], str, float]]:
                 if stack[k][0] == tag:
                     del stack[k:]
                     break
+        elif tag == "head":
+            in_head = True
         elif tag in HIDDEN:
             if not rest.rstrip().endswith("/"):
                 hidden = tag

@@ -272,6 +272,25 @@ def test_html_blocks_and_labeller(spark):
     assert right >= 0.95 * len(rows)
 
 
+@pytest.mark.parametrize("page", [
+    "<head><title>T</title></head><p>One</p><script>for(i=0;i<n;i++){go()}</script><article>Two</article><script>x</script><p>Three</p>",
+    "<head></head><p>One<script>a = '<!--';</script><article>Two</article><p>Three",
+    "<p>One</p><STYLE>a<b{}</Style ><p>Two</p><textarea><p>no</textarea><p>Three</p>",
+    "<html><head><meta charset=utf-8><title>a <b</title><link href=x><body><p>One</p><p>Two</p><p>Three</p></body></html>",
+    "<html><head><title>T</title><noscript><img src=x>no</noscript><style>p<q</style><script src=x /><p>One</p><p>Two</p><p>Three</p>",
+    "<head><title>T</title>\n<!-- c -->\nOne<div>Two</div>Three",
+    "<head><meta a></head><body><p>One<p>Two<!--><p>Three<!-- no",
+    "<header>One</header><heading>Two</heading><scripted>Three</scripted>",
+])
+def test_html_raw_elements_and_open_heads(page):
+    assert [b[1] for b in html.leaf_blocks(page)] == ["One", "Two", "Three"]
+
+
+def test_html_head_elements_stay_hidden():
+    for page in ("<head><title>T</title><template><p>no</p></template><script>x</script></head>", "<head></head>", "<p><script>One<p>Two"):
+        assert html.leaf_blocks(page) == []
+
+
 def test_empty_tables(spark, empty):
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert pack(empty, BYTE_BPE).count() == 0
