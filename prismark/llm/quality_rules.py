@@ -12,13 +12,16 @@ noise floor is added to the variances, so a statistic that hardly varies in a
 group does not reject rows for tiny differences.  Squared distances are scaled
 to the median that a normal distribution would have, and by n / (n +
 ``short_words``) for a text of n words, whose shares are the noisier the fewer
-words it has; a row is rejected beyond ``cutoff``.
+words it has; a row is rejected beyond ``cutoff``.  In a pool of n rows, fewer
+than ``min_rows``, they are also scaled by n / ``min_rows``, as its estimate is
+the less certain the fewer rows it has.
 
 Defined cases: null text has no words and fails the base rules; null languages
 and sources are groups of their own; groups with fewer than ``min_rows`` rows
-are pooled per language, and what is then still too small over all languages; a
-pool that is too small rejects nothing; long texts count whole; repeated rows
-get equal verdicts; an empty table gives no rows; other columns are not read.
+are pooled per language; what is then still too small is compared with the whole
+language, large sources included, languages that are too small are pooled, and if
+that is not enough compared with the whole table, however small it is; long texts
+count whole; repeated rows get equal verdicts; an empty table gives no rows; other columns are not read.
 """
 
 from __future__ import annotations
@@ -76,23 +79,28 @@ def _distance(x: str, m: str, w: str):
 
 
 def _assign_groups(rows: DataFrame, min_rows: int) -> DataFrame:
-    """``lang, source, g``: the pool each language and source belongs to (null: none)."""
+    """``lang, source, g, fits``: the pool that judges each language and source, and the pools that its rows are part of."""
     sizes = rows.groupBy("lang", "source").agg(F.count(F.lit(1)).alias("n"))
-    key = F.to_json(F.struct("lang", "source"))
-    big = sizes.where(F.col("n") >= min_rows).select("lang", "source", key.alias("g"))
-    small = sizes.where(F.col("n") < min_rows)
-    by_lang = small.groupBy(F.col("lang").alias("l")).agg(F.sum("n").alias("nl"))
-    placed = small.join(by_lang, F.col("lang").eqNullSafe(F.col("l")))
-    rest = placed.agg(F.sum(F.when(F.col("nl") < min_rows, F.col("n")))).scalar()
-    pool = (
-        F.when(F.col("nl") >= min_rows, F.to_json(F.struct("lang")))
-        .when(F.coalesce(rest, F.lit(0)) >= min_rows, F.lit("rest"))
+    small = F.col("n") < min_rows
+    by_lang = sizes.groupBy(F.col("lang").alias("l")).agg(
+        F.sum("n").alias("all_rows"), F.sum(F.when(small, F.col("n")).otherwise(0)).alias("small_rows")
     )
-    return big.unionByName(placed.select("lang", "source", pool.alias("g")))
+    placed = sizes.join(by_lang, F.col("lang").eqNullSafe(F.col("l")))
+    rest = F.coalesce(placed.agg(F.sum(F.when(F.col("all_rows") < min_rows, F.col("n")))).scalar(), F.lit(0))
+    own = (
+        F.when(~small, F.concat(F.lit("source "), F.to_json(F.struct("lang", "source"))))
+        .when(F.col("small_rows") >= min_rows, F.concat(F.lit("small "), F.to_json(F.struct("lang"))))
+        .when((F.col("all_rows") < min_rows) & (rest >= min_rows), F.lit("rest"))
+    )
+    # a whole language and the whole table are estimated only if some rows are judged by them
+    left = (F.col("all_rows") >= min_rows) & F.col("small_rows").between(1, min_rows - 1)
+    language = F.when(left, F.concat(F.lit("lang "), F.to_json(F.struct("lang"))))
+    table = F.when(rest.between(1, min_rows - 1), F.lit("table"))
+    return placed.select("lang", "source", F.coalesce(own, language, table).alias("g"), F.array_compact(F.array(own, language, table)).alias("fits"))
 
 
 def outlier_params(rows: DataFrame, d: int, noise: np.ndarray, share: float, steps: int) -> DataFrame:
-    """``g, m, w, scale``: robust centre, inverse covariance and median distance of every pool; ``rows``: g, x."""
+    """``g, m, w, scale, size``: robust centre, inverse covariance, median distance and rows of every pool; ``rows``: g, x."""
     x = F.col("x")
     quart = rows.groupBy("g").agg(*(F.percentile_approx(x[i], [0.25, 0.5, 0.75], 1000).alias(f"q{i}") for i in range(d)))
     var = [F.pow((F.col(f"q{i}")[2] - F.col(f"q{i}")[0]) / 1.349, 2) + float(noise[i] ** 2) for i in range(d)]
@@ -112,7 +120,8 @@ def outlier_params(rows: DataFrame, d: int, noise: np.ndarray, share: float, ste
         )
         params = sums.select("g", from_sums("n", "s", "p").alias("_p")).select("g", "_p.m", "_p.w")
     params = stored(params, "outlier-params")
-    scale = rows.join(params, "g").groupBy("g").agg(F.percentile_approx(_distance("x", "m", "w"), 0.5, 1000).alias("scale"))
+    far = rows.join(params, "g").select("g", _distance("x", "m", "w").alias("d2"))
+    scale = far.groupBy("g").agg(F.percentile_approx("d2", 0.5, 1000).alias("scale"), F.count(F.lit(1)).alias("size"))
     return params.join(scale, "g")
 
 
@@ -134,24 +143,24 @@ def quality_rules(
         "rule-stats",
     )
     passed = stats.where(~F.col("base_failed"))
-    pools = _assign_groups(passed, min_rows).where(F.col("g").isNotNull())
-    pools = pools.select(F.col("lang").alias("_l"), F.col("source").alias("_s"), "g")
+    pools = _assign_groups(passed, min_rows)
+    pools = pools.select(F.col("lang").alias("_l"), F.col("source").alias("_s"), "g", "fits")
     rows = stored(
         stats.join(
             pools, stats["lang"].eqNullSafe(pools["_l"]) & stats["source"].eqNullSafe(pools["_s"]), "left"
         ).drop("_l", "_s", "lang", "source"),
         "rule-rows",
     )
-    fitted = rows.where(~F.col("base_failed") & F.col("g").isNotNull()).select("g", "x")
+    fitted = rows.where(~F.col("base_failed")).select(F.explode("fits").alias("g"), "x")
     params = stored(outlier_params(fitted, d, floor, share, steps), "rule-params")
-    compared = rows.where(~F.col("base_failed") & F.col("g").isNotNull()).join(params, "g")
+    compared = rows.where(~F.col("base_failed")).join(params, "g")
     typical = chi2_median(d)
     scaled = F.col("d2") * typical / F.greatest(F.col("scale"), F.lit(typical * 0.05))
-    scaled = scaled * F.col("n_words") / (F.col("n_words") + short_words)
+    scaled = scaled * F.col("n_words") / (F.col("n_words") + short_words) * F.least(F.col("size") / min_rows, F.lit(1.0))
     compared = compared.withColumn("d2", _distance("x", "m", "w")).withColumn("distance", scaled)
     counts = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
     judged = compared.select(*counts, "distance", (F.col("distance") <= cutoff).alias("kept"))
-    others = rows.where(F.col("base_failed") | F.col("g").isNull()).select(
+    others = rows.where("base_failed").select(
         *counts, F.lit(None).cast("double").alias("distance"), (~F.col("base_failed")).alias("kept")
     )
     return judged.unionByName(others)

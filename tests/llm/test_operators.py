@@ -249,6 +249,29 @@ def test_quality_rules_counts_and_outliers(spark, odd):
     assert sum(r.kept for r in good) >= 0.98 * len(good) and sum(r.kept for r in bad) <= 0.2 * len(bad)
 
 
+def test_quality_rules_judge_rows_of_small_groups(spark):
+    sf = "/root/testdata/sf0.01"
+    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    rows = docs.join(labels, "doc_id").where("lang = 'en' and text is not null").select("doc_id", "text", "quality").orderBy("doc_id").collect()
+    rows = [r for r in rows if len(r.text.split()) >= 20 and 100 * brute.repeated_words(r.text) <= 30 * len(r.text.split())]
+    good, bad = ([r for r in rows if r.quality == k] for k in (1, 0))
+    bad = bad[:6]
+    # one large source and a small one, a language that is small altogether, and a table of fewer than 100 rows
+    large = [(r.doc_id, r.text, "en", "large") for r in good[:120]]
+    small = [(r.doc_id, r.text, "en", "small") for r in good[120:125] + bad]
+    other = [(r.doc_id, r.text, "xx", "small") for r in good[125:130] + bad]
+    tiny = [(r.doc_id, r.text, "en", "large") for r in good[:70] + bad]
+    assert len(good) >= 130 and len(bad) == 6
+    for table, place in ((large + small, "small"), (large + other, "small"), (tiny, "large")):
+        df = spark.createDataFrame(table, "doc_id long, text string, lang string, source string")
+        got = {r.doc_id: r for r in quality_rules.quality_rules(df).collect()}
+        judged = [got[k] for k, _, _, source in table if source == place]
+        assert all(r.distance is not None for r in judged)
+        kept = {r.doc_id for r in judged if r.kept}
+        assert not kept & {r.doc_id for r in bad}
+        assert len(kept) >= 0.95 * (len(judged) - len(bad))
+
+
 def test_html_blocks_and_labeller(spark):
     page = (
         "<header><div>Site</div></header><div class='menu'><ul><li><a href=x>Home</a><li><a>About</a></ul></div><main><h1>Title</h1>"
