@@ -17,8 +17,8 @@ from prismark.llm.runtime import read_table, stored
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents without a recognisable language."""
-    return language_id.keep_identified(docs, language_id.fit(docs))
+    """Drop documents without a recognisable language: without letters, pages of signs, noise, languages that are not learned."""
+    return language_id.keep_identified(docs, language_id.fit(docs), max_unlikely=1.4, min_letters=0.1)
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

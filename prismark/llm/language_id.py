@@ -85,21 +85,25 @@ def fit(
     return langs, np.log(n) - np.log(n.sum(axis=0))
 
 
-def predict(texts, langs: list[str], log: np.ndarray) -> tuple[list[str], list[float]]:
-    """Language and posterior of every text."""
+def predict(texts, langs: list[str], log: np.ndarray) -> tuple[list[str], list[float], list[float]]:
+    """Language and posterior of every text, and by how many nats an n-gram it is less likely than text of its language."""
     bits = int(log.shape[0]).bit_length() - 1
     letter = re.compile(r"[^\W\d_]")
-    pred, score = [], []
+    expected = (np.exp(log) * log).sum(axis=0)
+    pred, score, unlikely = [], [], []
     for text in texts:
         if not (text and langs and any(m.group().isalpha() for m in letter.finditer(text))):
             pred.append(UNKNOWN)
             score.append(0.0)
+            unlikely.append(0.0)
             continue
-        sums = log.take(gram_buckets(text, bits), axis=0).sum(axis=0)
+        grams = gram_buckets(text, bits)
+        sums = log.take(grams, axis=0).sum(axis=0)
         best = int(np.argmax(sums))
         pred.append(langs[best])
         score.append(float(1 / np.exp(sums - sums[best]).sum()))
-    return pred, score
+        unlikely.append(float(expected[best] - sums[best] / len(grams)))
+    return pred, score, unlikely
 
 
 def identify(
@@ -120,7 +124,7 @@ def identify(
         import pyarrow as pa
 
         for batch in batches:
-            pred, score = predict((t.as_py() for t in batch.column(2)), langs, weights.value)
+            pred, score, _ = predict((t.as_py() for t in batch.column(2)), langs, weights.value)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).cast(arrow.field(0).type), batch.column(1), pa.array(pred, pa.string()), pa.array(score, pa.float64())],
                 names=arrow.names,
@@ -131,8 +135,23 @@ def identify(
     ).mapInArrow(run, schema)
 
 
-def keep_identified(docs: DataFrame, model: tuple[list[str], np.ndarray], min_score: float = 0.0, text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose language is known with ``min_score`` or more, with all their columns."""
+def letter_share(text: str) -> float:
+    """Share of letters in the characters that are no white space."""
+    return sum(map(str.isalpha, text)) / max(1, sum(map(len, text.split())))
+
+
+def keep_identified(
+    docs: DataFrame, model: tuple[list[str], np.ndarray], min_score: float = 0.0, text_col: str = "text",
+    max_unlikely: float = float("inf"), min_letters: float = 0.0,
+) -> DataFrame:
+    """The rows of ``docs`` whose language is known with ``min_score`` or more, with all their columns.
+
+    The posterior only compares the learned languages and is near 1 for any long
+    text.  Noise and other languages are told by the likelihood: a text of n
+    characters is dropped if it is less likely than text of its language by more
+    than ``max_unlikely + 6 / sqrt(n)`` nats an n-gram (short texts vary more), and
+    one of signs if less than ``min_letters`` of it are letters.
+    """
     langs, table = model
     weights = docs.sparkSession.sparkContext.broadcast(table)
     at = docs.columns.index(text_col)
@@ -141,7 +160,11 @@ def keep_identified(docs: DataFrame, model: tuple[list[str], np.ndarray], min_sc
         import pyarrow as pa
 
         for batch in batches:
-            pred, score = predict((t.as_py() for t in batch.column(at)), langs, weights.value)
-            yield batch.filter(pa.array([p != UNKNOWN and s >= min_score for p, s in zip(pred, score)], pa.bool_()))
+            texts = batch.column(at).to_pylist()
+            keep = [
+                p != UNKNOWN and s >= min_score and u <= max_unlikely + 6 / len(t) ** 0.5 and letter_share(t) >= min_letters
+                for t, p, s, u in zip(texts, *predict(texts, langs, weights.value))
+            ]
+            yield batch.filter(pa.array(keep, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

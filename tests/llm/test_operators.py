@@ -226,6 +226,23 @@ def test_language_id_held_out_accuracy(docs, odd):
     assert {r.doc_id for r in language_id.keep_identified(odd, model).collect()} == set(texts_of(odd)) - und
 
 
+def test_pipeline_language_stage_drops_noise(spark, docs):
+    import corpus_pipeline
+
+    rng = np.random.default_rng(1)
+    noise = ["".join(rng.choice(list(signs), n)) for signs in ("abcdefghijklmnopqrstuvwxyz    ", "ABCDEFGHabcdefghijklmnopqrstuvwxyz0123456789+/") for n in (60, 300, 3000)]
+    noise += ["".join(rng.choice(list("%$#!*&()  "), n)) + "a" for n in (60, 300, 3000)]
+    noise += ["Это обычный русский текст, который никто здесь не учил узнавать. " * 3]
+    noise += ["Tämä on tavallinen suomenkielinen teksti, jota kukaan ei ole opetellut tunnistamaan. " * 3]
+    clean = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    planted = spark.createDataFrame([(-k - 1, t) for k, t in enumerate(noise)], "doc_id long, text string")
+    both = clean.unionByName(planted, allowMissingColumns=True)
+    got = corpus_pipeline.language(spark, both, "")
+    assert got.columns == clean.columns
+    kept = {r.doc_id for r in got.select("doc_id").collect()}
+    assert kept == {k for k, t in texts_of(clean).items() if any(c.isalpha() for c in t or "")}
+
+
 def test_quality_classifier_held_out(spark):
     sf = "/root/testdata/sf0.01"
     docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
