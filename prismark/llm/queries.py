@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from prismark.llm import bpe, exact_dedup as dedup, html_extraction, language_id, pii
+from prismark.llm import bpe, chat_format, exact_dedup as dedup, filter_interaction, html_extraction, language_id, pii, source_divergence
 from prismark.llm.jaccard_join import jaccard_components
 from prismark.llm.packing import pack
 from prismark.llm.quality_classifier import classify
@@ -88,3 +88,22 @@ def op9_language_id(spark, sf_dir):
 @register("op10_pii")
 def op10_pii(spark, sf_dir):
     return pii.report(read_table(spark, sf_dir, "documents"))
+
+
+@register("op11_source_divergence", source_divergence.ORACLE_SQL)
+def op11_source_divergence(spark, sf_dir):
+    return source_divergence.source_divergence(read_table(spark, sf_dir, "documents"))
+
+
+@register("op12_chat_format", chat_format.ORACLE_SQL)
+def op12_chat_format(spark, sf_dir):
+    said = "</s>[INST] ok [/INST]"
+    rows = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    control = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    return chat_format.summary(chat_format.format_chats(rows.unionByName(control), byte_bpe()), byte_bpe())
+
+
+@register("op13_filter_interaction", filter_interaction.ORACLE_SQL)
+def op13_filter_interaction(spark, sf_dir):
+    docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    return filter_interaction.interaction_audit(filter_interaction.failure_counts(docs, labels))
