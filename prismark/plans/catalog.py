@@ -840,16 +840,60 @@ def _match_records(spark, sf_dir):
     return a.withColumn("Abstract", F.concat("Abstract", F.lit("...")))
 
 
-@register("title_match")
+# Pairs that can reach the ratio: equal lower-cased titles, or lengths in the band and a Levenshtein distance (with all
+# non-ASCII characters made one, which cannot raise it) no larger than the insertions and deletions that the ratio allows.
+# The LCS of these few is found by a recursive CTE: k[l] is where the shortest prefix of one title ends that has a common
+# subsequence of length l with the characters of the other read so far.
+_MATCH_CTES = (
+    "recs as (select article_id, lower(Title) as t from records where Source = 'Google Scholar' and length(lower(Title)) >= 10),\n"
+    "works as (select article_id as work_id, lower(Title) as t, '10.5555/work.' || cast(article_id as varchar) as DOI, "
+    "'<jats:p>' || Abstract || '</jats:p>' as abstract, trim(Journal) as container_title, Year as year "
+    "from records where Source = 'PubMed'),\n"
+    "rt as (select distinct t, regexp_replace(t, '[^\\x00-\\x7F]', '~', 'g') as p from recs),\n"
+    "wt as (select t, min(work_id) as work_id, regexp_replace(t, '[^\\x00-\\x7F]', '~', 'g') as p from works where t is not null group by t),\n"
+    "cand as (select rt.t as a, wt.t as b, work_id, length(rt.t) + length(wt.t) as s from rt join wt on rt.t <> wt.t "
+    "and 1000 * abs(length(rt.t) - length(wt.t)) <= 195 * (length(rt.t) + length(wt.t)) "
+    "and 1000 * levenshtein(rt.p, wt.p) <= 195 * (length(rt.t) + length(wt.t))),\n"
+    "z(a, b, i, k) as (select a, b, 0, []::bigint[] from cand union all "
+    "select a, b, i + 1, list_filter(list_transform(range(1, len(k) + 2), lambda l: least(k[l], "
+    "case when instr(substr(a, case when l = 1 then 1 else k[l - 1] + 1 end), substr(b, i + 1, 1)) > 0 "
+    "then instr(substr(a, case when l = 1 then 1 else k[l - 1] + 1 end), substr(b, i + 1, 1)) "
+    "+ case when l = 1 then 0 else k[l - 1] end end)), lambda x: x is not null) from z where i < length(b)),\n"
+    "scored as (select cand.a, work_id, 200 * len(k) as x, s from z join cand on cand.a = z.a and cand.b = z.b where i = length(z.b)),\n"
+    "ratios as (select a, work_id, x // s + case when 2 * (x % s) > s or (2 * (x % s) = s and (x // s) % 2 = 1) then 1 else 0 end as ratio "
+    "from scored union all select rt.t, work_id, 100 from rt join wt on rt.t = wt.t),\n"
+    "best as (select a, work_id, cast(ratio as integer) as ratio from ratios where ratio > 80 "
+    "qualify row_number() over (partition by a order by ratio desc, work_id) = 1),\n"
+    "matches as (select article_id, work_id, ratio from recs join best on best.a = recs.t)\n"
+)
+
+
+def _with_matches(body: str) -> str:
+    return "with recursive " + with_records("").removeprefix("with ").rstrip() + ",\n" + _MATCH_CTES + body
+
+
+@register("title_match", _with_matches("select * from matches"))
 def title_match(spark, sf_dir):
-    """Best retrieved work per record with ratio > 80; rows-only check,
-    brute-force parity is in tests/test_graph_cluster.py."""
+    """Best work per record with ratio > 80, over all works."""
     return en.match_by_title(_match_records(spark, sf_dir), _works(spark, sf_dir))
 
 
-@register("enrich_records")
+def _blank_sql(x: str) -> str:
+    return f"({x} is null or trim({x}) = '' or lower(trim({x})) = 'nan')"
+
+
+@register("enrich_records", _with_matches(
+    "select r.article_id, case when fill and ID_Type = 'URL' then 'DOI' else ID_Type end as ID_Type, "
+    "case when fill and ID_Type = 'URL' then w.DOI else r.ID end as ID, case when fill then w.DOI else r.DOI end as DOI, "
+    "case when w.work_id is not null and not " + _blank_sql("w.abstract") + " "
+    "then trim(regexp_replace(w.abstract, '<[^>]+>', '', 'g')) else r.Abstract || '...' end as Abstract, "
+    "case when w.work_id is not null and " + _blank_sql("r.Journal") + " then w.container_title else r.Journal end as Journal, "
+    "case when w.work_id is not null and r.Year is null then cast(w.year as varchar) else cast(r.Year as varchar) end as Year "
+    "from (select records.*, matches.work_id, " + _blank_sql("DOI") + " and matches.work_id is not null as fill "
+    "from records left join matches using (article_id) where Source = 'Google Scholar') r left join works w on w.work_id = r.work_id"
+))
 def enrich_records(spark, sf_dir):
-    """J5 over the J4 matches; rows-only check."""
+    """J5 over the J4 matches."""
     recs = _match_records(spark, sf_dir)
     works = _works(spark, sf_dir)
     m = en.match_by_title(recs, works)

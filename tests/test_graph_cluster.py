@@ -1,12 +1,11 @@
 """N2, N3, N5, N6 hand cases; clustering properties; J4 against brute force."""
 
 import itertools
-
-import regex
+import random
 
 from pyspark.sql import functions as F
 
-from prismark.functions.similarity import indel_ratio, lcs_length
+from prismark.functions.similarity import PackedTitles, TitleBlock, indel_ratio, lcs_length
 from prismark.operators import cluster as cl
 from prismark.operators import enrich as en
 from prismark.operators import graph as gr
@@ -65,9 +64,6 @@ def test_title_match_equals_brute_force(spark):
             continue
         best = None
         for wid, wt in zip(works.doc_id, works.t):
-            x, y = (set(regex.findall(r"[\p{L}\p{N}_]+", t.lower())) for t in (rt, wt))
-            if not x or not y or 100 * len(x & y) < 60 * len(x | y):
-                continue
             r = indel_ratio(rt.lower(), wt.lower())
             if r > 80 and (best is None or r > best[1] or (r == best[1] and wid < best[0])):
                 best = (wid, r)
@@ -79,6 +75,44 @@ def test_title_match_equals_brute_force(spark):
     assert got == want and len(want) > 0
 
 
+def test_title_match_finds_what_no_common_word_shows(spark):
+    works = [
+        (1, "neural networks for strokes"), (2, "Neural Networks for Strokes"), (3, "abcdefghijklmnopqrst"), (4, None), (5, ""),
+        (6, "x" * 3000), (7, "日本語の題名についての研究報告"), (8, "a title that nobody has"), (9, "short"), (10, "  neural nets"),
+    ]
+    records = [
+        (1, "neurol netwerks fur strikes"), (2, "NEURAL NETWORKS FOR STROKES"), (3, "abxcdefgyhijklzmnopqrst"), (4, None), (5, "neural"),
+        (6, "x" * 2990 + "y" * 700), (7, "日本語の題名についてのご研究報告"), (8, "quite another thing"), (9, "shortshort"), (10, "😀" * 12),
+        *((100 + k, "neural networks for strokes") for k in range(40)),
+    ]
+    want = {}
+    for rid, rt in records:
+        if rt and len(rt) >= 10:
+            found = [(-indel_ratio(rt.lower(), wt.lower()), wid) for wid, wt in works if wt is not None]
+            ratio, wid = min(found)
+            if -ratio > 80:
+                want[rid] = (wid, -ratio)
+    assert {1, 2, 3, 6, 7, 100, 139} <= set(want)
+    r_df = spark.createDataFrame(records, "article_id long, Title string")
+    w_df = spark.createDataFrame(works, "work_id long, title string")
+    got = {r.article_id: (r.work_id, r.ratio) for r in en.match_by_title(r_df, w_df).collect()}
+    assert got == want
+    assert en.match_by_title(r_df.limit(0), w_df).collect() == en.match_by_title(r_df, w_df.limit(0)).collect() == []
+
+
+def test_title_blocks_equal_single_comparisons():
+    rnd = random.Random(5)
+    titles = ["".join(rnd.choice("abc d") for _ in range(rnd.choice([0, 1, 5, 40, 41, 45]))) for _ in range(300)]
+    titles += [t[:20] + "x" + t[20:] for t in titles[:80]]
+    assert PackedTitles(titles).lcs("abc dabcd").tolist() == [lcs_length(t, "abc dabcd") for t in titles]
+    block = TitleBlock(titles, list(range(len(titles))), pack_chars=200)
+    for other in titles[::7]:
+        for least in (0, 60, 80, 95):
+            scores = [indel_ratio(t, other) for t in titles]
+            top = max(scores)
+            assert block.best(other, least) == ((scores.index(top), top) if top > least else None)
+
+
 def test_silhouette_and_nearest(spark):
     pts = [(0, [0.0, 0.0], 0), (1, [0.0, 1.0], 0), (2, [10.0, 10.0], 1), (3, [10.0, 11.0], 1)]
     df = spark.createDataFrame(pts, "id long, v array<double>, label int")
