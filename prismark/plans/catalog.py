@@ -1159,6 +1159,15 @@ def density_clusters_q(spark, sf_dir):
     return nbr.density_clusters(nbr.knn(e, "vec_id", "embedding", k=10), 4, 2)
 
 
+from prismark.operators import hierarchy as hier  # noqa: E402
+
+
+@register("density_hierarchy")
+def density_hierarchy_q(spark, sf_dir):
+    """M10 with the hierarchy (min_cluster_size=4, min_samples=2, excess of mass); brute-force parity is in tests/test_hierarchy.py."""
+    return hier.density_hierarchy(fx.table(spark, sf_dir, "embeddings"), "vec_id", "embedding", 4, 2)
+
+
 # --- O5, P6, X3: centroid coordinates, a user scorer, tags stripped from pages ---------
 
 @register("top_centroid_dims", _EMB_CTES + (

@@ -13,7 +13,8 @@ PYTHON_ALLOWED = {"scholar_results", "scored_screening", "title_match", "enrich_
                   "density_clusters"}
 # the corpus operators have their own style rules and their own tests in tests/llm
 # queries whose construction runs Spark jobs (iterative operators, MLlib fits) are checked by their tests
-SKIP = {"communities_top30", "kmeans_clusters", "choose_k", "pca_embeddings", "density_clusters", "knn_embeddings"}
+SKIP = {"communities_top30", "kmeans_clusters", "choose_k", "pca_embeddings", "density_clusters", "knn_embeddings",
+        "density_hierarchy"}
 
 
 @pytest.mark.parametrize("name", sorted(set(catalog.QUERIES) - SKIP))
