@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from prismark.llm.runtime import stored
+from prismark.llm.runtime import discard, stored
 
 
 #: Links or labels that one task of a round handles at least.
@@ -24,7 +24,7 @@ def connected(links: DataFrame) -> DataFrame:
         links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a <> b").distinct().coalesce(tasks),
         "component-links",
     )
-    labels = stored(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.min("a")).alias("component")).coalesce(tasks), "component-labels")
+    labels = held = stored(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.min("a")).alias("component")).coalesce(tasks), "component-labels")
     while True:
         near = both.join(labels.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.min("component").alias("near"))
         lower = labels.join(near, "node").select(
@@ -34,6 +34,8 @@ def connected(links: DataFrame) -> DataFrame:
         moved = stored(
             lower.join(up, "now", "left").select("node", "was", F.least("now", "up").alias("component")).coalesce(tasks), "component-labels"
         )
-        labels = moved.select("node", "component")
+        discard(held)
+        held, labels = moved, moved.select("node", "component")
         if moved.where("was <> component").isEmpty():
+            discard(both)
             return labels

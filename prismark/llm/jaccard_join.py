@@ -12,17 +12,21 @@ signature: no link is lost.  ``spare`` adds first-level parts; a set may then le
 out its signatures of fewer than ``weak`` elements (which unrelated sets would
 share), as long as these lie in no more parts than were added.
 
-Candidates are first held against a fixed-size sketch: a hash and a count per cell
-of a fine partition of the hash space.  Sets differ in at least one element per cell
-with different hashes, and in at least as many as its counts differ; pairs for which
-this is more than they may differ in cannot link, so this rejects no link.
+Candidates are first held against a sketch: a hash per cell of a fine partition of
+the hash space, which has more cells for larger sets.  Sets differ in at least one
+element per cell with different hashes; pairs for which this is more than they may
+differ in cannot link, so this rejects no link.
 
 Equal sets are one class; only classes are joined.  Of the sets that share a
 signature each is first compared with one leader, which joins groups of
 near copies with as many comparisons as they have members.  What then still
-lies in different components under one signature is compared with further
-leaders, and finally pair by pair, so the result is exact; only pairs in
-different components are made.  All comparisons are by full sets.
+lies in different components under one signature meets in blocks: each set outside
+the leader's component proposes, for each other component, its nearest sets by
+sketch, a few at first and four times as many in every further round.  Proposals are
+compared by full sets, components merge, and rounds go on until no proposal was
+held back, so the result is exact and the number of proposals stays in proportion to
+the members of a signature where one of the nearest sets links.  Tables that a later
+one replaces are deleted.
 
 Defined cases: null and empty texts have an empty set and are linked with
 nothing (their component is their own id); a text with fewer than n words is
@@ -39,18 +43,19 @@ import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
 from prismark.llm.components import connected
-from prismark.llm.runtime import small_enough, stored
+from prismark.llm.runtime import discard, small_enough, stored
 
 M1, M2, M3 = 0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB
-#: Cells of a class's sketch, a byte of hash and a byte of count each.
-CELLS = 128
-#: Sketches that may be broadcast (256 bytes each, 64 MB in all).
-BROADCAST_SKETCHES = 1 << 18
+#: Cells of a sketch at least, a byte of hash each; doubled until there is one for three elements.
+CELLS = 512
+#: Bytes of sketches that may be broadcast.
+BROADCAST_BYTES = 1 << 27
 #: Members of a signature in one block.
 BLOCK = 512
-#: Open pairs per row of the signature table at which blocks follow the leaders.
-PAIRS_PER_ROW = 2000
-MOST_LEADERS = 4
+#: Rounds of leaders before blocks.
+LEADERS = 2
+#: Sets of another component that a member proposes in the first round of blocks.
+PROPOSALS = 4
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -170,19 +175,39 @@ def set_key(grams: np.ndarray) -> bytes:
 
 
 def cell_hashes(grams: np.ndarray) -> bytes:
-    """For each of ``CELLS`` cells of the hash space a byte of hash, then for each a byte of count (255: that or more)."""
+    """A byte of hash for each cell of the hash space; the cells are a power of two times ``CELLS``."""
+    cells = CELLS
+    while 3 * cells < len(grams):
+        cells *= 2
     with np.errstate(over="ignore"):
         h = mix(grams ^ np.uint64(M1))
-    cell = (h >> np.uint64(57)).astype(np.int64)
-    sums = np.bincount(cell, (h & np.uint64(0xFF)).astype(np.float64), CELLS).astype(np.uint64) & np.uint64(0xFF)
-    count = np.minimum(np.bincount(cell, minlength=CELLS), 255)
-    return sums.astype(np.uint8).tobytes() + count.astype(np.uint8).tobytes()
+    cell = ((h >> np.uint64(32)) * np.uint64(cells) >> np.uint64(32)).astype(np.int64)
+    sums = np.bincount(cell, (h & np.uint64(0xFF)).astype(np.float64), cells).astype(np.uint64) & np.uint64(0xFF)
+    return sums.astype(np.uint8).tobytes()
+
+
+def folded(sketch: bytes, cells: int) -> np.ndarray:
+    """The sketch over fewer cells: hashes of neighbouring cells add up."""
+    return np.frombuffer(sketch, np.uint8).reshape(cells, -1).sum(axis=1, dtype=np.uint8)
+
+
+def coarse(sketches) -> np.ndarray:
+    """Sketches as rows of ``CELLS`` cells."""
+    out = np.empty((len(sketches), CELLS), np.uint8)
+    for k, s in enumerate(sketches):
+        out[k] = np.frombuffer(s, np.uint8) if len(s) == CELLS else folded(s, CELLS)
+    return out
 
 
 def least_distance(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     """A lower bound of the elements in which sets differ, from rows of sketches."""
-    apart = np.abs(x[..., CELLS:].astype(np.int16) - y[..., CELLS:])
-    return np.maximum(apart, x[..., :CELLS] != y[..., :CELLS]).sum(axis=-1, dtype=np.int64)
+    return np.count_nonzero(x != y, axis=-1)
+
+
+def finer_distance(x: bytes, y: bytes) -> int:
+    """The same bound from two whole sketches, over as many cells as both have."""
+    cells = min(len(x), len(y))
+    return int(least_distance(folded(x, cells), folded(y, cells)))
 
 
 def sketch(docs: DataFrame, n: int, join: PartEnum | None, id_col: str, text_col: str) -> DataFrame:
@@ -258,20 +283,30 @@ def possible(pairs: DataFrame, cells: DataFrame, p: int, q: int) -> DataFrame:
 
         if not len(x):
             return pd.Series([], dtype="int64")
-        x, y = (np.frombuffer(b"".join(c), np.uint8).reshape(-1, 2 * CELLS) for c in (x, y))
-        return pd.Series(least_distance(x, y))
-
-    left, right = small_enough(left, BROADCAST_SKETCHES), small_enough(right, BROADCAST_SKETCHES)
+        apart = least_distance(coarse(x), coarse(y))
+        for k, (u, v) in enumerate(zip(x, y)):
+            if len(u) > CELLS and len(v) > CELLS:
+                apart[k] = finer_distance(u, v)
+        return pd.Series(apart)
+
+    if sketch_bytes(cells) <= BROADCAST_BYTES:
+        left, right = F.broadcast(left), F.broadcast(right)
     both = pairs.join(left, "a").join(right, "b")
     return both.where(differ("ca", "cb") * (q + p) <= (F.col("sa") + F.col("sb")) * (q - p)).select("a", "b")
 
 
-def in_blocks(rows: DataFrame, cells: DataFrame, p: int, q: int) -> DataFrame:
+def sketch_bytes(cells: DataFrame) -> int:
+    return cells.agg(F.coalesce(F.sum(F.length("cells")), F.lit(0))).first()[0]
+
+
+def in_blocks(rows: DataFrame, cells: DataFrame, p: int, q: int, limit: int) -> DataFrame:
     """Pairs ``a, b`` under one signature, in different components, that sketches allow.
 
     ``rows``: sig, rep, component, component2 (the leader's), m (members of the
     signature).  Members outside the leader's component meet all members, block by
-    block; a block pair is one run of sorted rows in some task.
+    block; a block pair is one run of sorted rows in some task.  A member proposes
+    the ``limit`` nearest of each other component; ``more`` marks proposals of which
+    others were held back.
     """
     blocks = F.ceil(F.col("m") / BLOCK).cast("int")
     own = F.pmod(F.xxhash64("rep"), blocks).cast("int")
@@ -282,7 +317,7 @@ def in_blocks(rows: DataFrame, cells: DataFrame, p: int, q: int) -> DataFrame:
     )
     member = base.select("sig", F.col("other").alias("i"), F.col("own").alias("j"), F.lit(1).alias("side"), "rep", "component")
     both, key = minor.unionByName(member), ("sig", "i", "j")
-    if cells.count() <= BROADCAST_SKETCHES:  # sketches are looked up where the rows have been dealt to
+    if sketch_bytes(cells) <= BROADCAST_BYTES:  # sketches are looked up where the rows have been dealt to
         both = both.repartition(*key).join(F.broadcast(cells), "rep")
     else:
         both = both.join(cells, "rep").repartition(*key)
@@ -300,19 +335,32 @@ def in_blocks(rows: DataFrame, cells: DataFrame, p: int, q: int) -> DataFrame:
                 return
             rep, comp = np.array(t.column("rep").to_pylist(), object), np.array(t.column("component").to_pylist(), object)
             size = t.column("size").to_numpy()
-            sketch = np.frombuffer(b"".join(t.column("cells").to_pylist()), np.uint8).reshape(-1, 2 * CELLS)
+            whole = t.column("cells").to_pylist()
+            sketch, fine = coarse(whole), np.fromiter(map(len, whole), np.int64, len(whole)) > CELLS
             _, comp = np.unique(comp.astype(str), return_inverse=True)
+            kind = t.schema.field("rep").type
             for at in range(0, n0, 32):
                 to = min(at + 32, n0)
                 sums = size[at:to, None] + size[None, n0:]
                 apart = least_distance(sketch[at:to, None], sketch[None, n0:])
                 ok = (apart * (q + p) <= sums * (q - p)) & (comp[at:to, None] != comp[None, n0:])
                 x, y = np.nonzero(ok)
+                for k in np.flatnonzero(fine[at + x] & fine[n0 + y]).tolist():
+                    apart[x[k], y[k]] = finer_distance(whole[at + x[k]], whole[n0 + y[k]])
+                ok = apart[x, y] * (q + p) <= sums[x, y] * (q - p)
+                x, y = x[ok], y[ok]
                 if len(x):
-                    a, b = rep[at + x], rep[n0 + y]
+                    to_comp = comp[n0 + y]
+                    order = np.lexsort((y, apart[x, y], to_comp, x))
+                    x, y, to_comp = x[order], y[order], to_comp[order]
+                    first = np.flatnonzero(np.concatenate(([True], (x[1:] != x[:-1]) | (to_comp[1:] != to_comp[:-1]))))
+                    count = np.diff(np.append(first, len(x)))
+                    rank = np.arange(len(x)) - np.repeat(first, count)
+                    near, more = rank < limit, np.repeat(count > limit, count)
+                    a, b = rep[at + x[near]], rep[n0 + y[near]]
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([min(u, v) for u, v in zip(a, b)], t.schema.field("rep").type),
-                         pa.array([max(u, v) for u, v in zip(a, b)], t.schema.field("rep").type)], names=["a", "b"],
+                        [pa.array([min(u, v) for u, v in zip(a, b)], kind), pa.array([max(u, v) for u, v in zip(a, b)], kind), pa.array(more[near])],
+                        names=["a", "b", "more"],
                     )
 
         held, key = [], None
@@ -331,7 +379,9 @@ def in_blocks(rows: DataFrame, cells: DataFrame, p: int, q: int) -> DataFrame:
         if held:
             yield from candidates(held)
 
-    return both.sortWithinPartitions(*key, "side").mapInArrow(run, f"a {kind}, b {kind}").distinct()
+    return both.sortWithinPartitions(*key, "side").mapInArrow(run, f"a {kind}, b {kind}, more boolean").groupBy("a", "b").agg(
+        F.max("more").alias("more")
+    )
 
 
 def verified(pairs: DataFrame, sets: DataFrame, p: int, q: int) -> DataFrame:
@@ -410,7 +460,7 @@ def _link(docs, table, classes, n, p, q, id_col, text_col, lean) -> DataFrame |
         "join-cells",
     )
     fits = (q * F.least("size", "size2") >= p * F.greatest("size", "size2"))
-    labels, edges = None, None
+    labels, edges, tried, opened, limit = None, None, None, None, PROPOSALS
     for turn in itertools.count():
         if labels is None:
             left = table.withColumn("component", F.col("rep"))
@@ -419,36 +469,40 @@ def _link(docs, table, classes, n, p, q, id_col, text_col, lean) -> DataFrame |
                 "component", F.coalesce("component", "rep")
             )
         open_sigs = left.groupBy("sig").agg(
-            F.min("component").alias("_lo"), F.max("component").alias("_hi"),
+            F.min("component").alias("_lo"), F.max("component").alias("_hi"), F.count(F.lit(1)).alias("m"),
             F.min(F.struct(F.xxhash64(F.col("rep"), F.lit(turn)).alias("h"), "rep", "size", "component")).alias("_lead"),
-        ).where("_lo < _hi").select("sig", "_lead")
+        ).where("_lo < _hi").select("sig", "m", "_lead")
         lead = open_sigs.select(
-            "sig", F.col("_lead.rep").alias("rep2"), F.col("_lead.size").alias("size2"), F.col("_lead.component").alias("component2")
+            "sig", "m", F.col("_lead.rep").alias("rep2"), F.col("_lead.size").alias("size2"), F.col("_lead.component").alias("component2")
         )
         left = left.join(lead, "sig")
-        last = False
+        blocks = turn >= LEADERS
         if turn:
             left = stored(left, "join-open")
-            table = left.select("sig", "rep", "size")  # what is closed stays closed
-            per = left.groupBy("sig").agg(
-                F.count(F.lit(1)).alias("m"), F.count(F.when(F.col("component") != F.col("component2"), 1)).alias("out")
-            )
-            got = per.agg(F.sum(F.col("m") * F.col("out")).alias("pairs"), F.sum("m").alias("rows")).first()
-            if not got["pairs"]:
+            if opened is not None:
+                discard(opened)
+            opened, table = left, left.select("sig", "rep", "size")  # what is closed stays closed
+            if left.isEmpty():
                 return labels
-            last = got["pairs"] <= PAIRS_PER_ROW * got["rows"] or turn >= MOST_LEADERS
-        if last:
-            pairs = in_blocks(left.join(per.select("sig", "m"), "sig"), cells, p, q)
+        if blocks:
+            found = stored(in_blocks(left, cells, p, q, limit), "join-candidates")
+            held_back = not found.where("more").isEmpty()
+            pairs = found.select("a", "b")
+            limit *= 4
         else:
             pairs = left.where((F.col("component") != F.col("component2")) & fits)
-            pairs = possible(pairs.select(F.col("rep").alias("a"), F.col("rep2").alias("b")).distinct(), cells, p, q)
-        pairs = stored(pairs, "join-candidates")
+            pairs = pairs.select(F.least("rep", "rep2").alias("a"), F.greatest("rep", "rep2").alias("b")).distinct()
+            pairs = found = stored(possible(pairs, cells, p, q), "join-candidates")
+        if tried is not None:
+            pairs = pairs.join(tried, ["a", "b"], "left_anti")
         ends = stored(pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct(), "join-ends")
         sets = sets_of(docs, ends, n, id_col, text_col).groupBy("rep").agg(F.first("grams").alias("grams"))
         if not lean:  # else one exchange of the sets serves both sides of the pairs
             sets = stored(sets, "join-sets")
         new = stored(verified(pairs, sets, p, q), "join-links")
+        discard(ends, *(() if lean else (sets,)))
+        tried = found.select("a", "b") if tried is None else tried.unionByName(found.select("a", "b"))
         edges = new if edges is None else edges.unionByName(new)
         labels = connected(edges)
-        if last:
+        if blocks and not held_back:
             return labels

@@ -200,3 +200,43 @@ def test_potential_of_other_numbers_of_filters(spark):
         for f in "XYZ":
             own = [r for r in rows if r.filter_order[r.step - 1] == f]
             assert {r.shapley for r in own} == {sum(r.removed for r in own)}
+
+
+# --- operator 5: many members of one signature ------------------------------------------------
+
+
+def test_members_of_one_signature_that_do_not_link_make_few_candidates(spark, monkeypatch):
+    """5,000 different texts share one passage: proposals stay in proportion to them, and the few links are found."""
+    from prismark.llm import jaccard_join as jj
+
+    made = []
+
+    def counted(df, name, stored=jj.stored):
+        out = stored(df, name)
+        if name == "join-candidates":
+            made.append(out.count())
+        return out
+
+    monkeypatch.setattr(jj, "stored", counted)
+    shared = " ".join(f"s{k}" for k in range(8))
+    rows = [(k, shared + " " + " ".join(f"w{k}x{j}" for j in range(30))) for k in range(5000)]
+    rows += [(10_000 + k, rows[7 * k][1] + " tail") for k in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    got = {r.doc_id: r.component_id for r in jj.jaccard_components(df, n=3, p=80, q=100).collect()}
+    assert got == {i: 7 * (i - 10_000) if i >= 10_000 else i for i in got} and len(got) == 5040
+    assert sum(made) <= 5040
+
+
+def test_sketches_bound_the_distance_at_every_size():
+    from prismark.llm import jaccard_join as jj
+
+    rnd = np.random.default_rng(3)
+    for size, other in ((40, 50), (1500, 1600), (1600, 9000), (20_000, 21_000)):
+        base = rnd.integers(0, 1 << 63, max(size, other) + 300, np.uint64)
+        x, y = np.unique(base[:size]), np.unique(base[300 : 300 + other])
+        apart = len(np.setxor1d(x, y))
+        a, b = jj.cell_hashes(x), jj.cell_hashes(y)
+        rough = int(jj.least_distance(jj.coarse([a]), jj.coarse([b]))[0])
+        assert rough <= jj.finer_distance(a, b) <= apart
+        if size > 1500:
+            assert jj.finer_distance(a, b) > min(apart, len(x)) // 4
