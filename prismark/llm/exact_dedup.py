@@ -82,9 +82,11 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         F.col("doc_id").alias("_gone_id"), F.col("text_sha256").alias("_gone_text")
     )
     gone = small_enough(stored(gone.distinct(), "exact-gone"))
-    norm = F.translate(F.coalesce(F.col(text_col), F.lit("")), BLANKS, "")
-    same = F.col(id_col).eqNullSafe(F.col("_gone_id")) & (F.sha2(norm.cast("binary"), 256) == F.col("_gone_text"))
-    return docs.join(gone, same, "left_anti")
+    held = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc"))  # no name of the input can clash
+    row = F.col("doc")
+    norm = F.translate(F.coalesce(row[text_col], F.lit("")), BLANKS, "")
+    same = row[id_col].eqNullSafe(F.col("_gone_id")) & (F.sha2(norm.cast("binary"), 256) == F.col("_gone_text"))
+    return held.join(gone, same, "left_anti").select("doc.*")
 
 
 ORACLE_SQL = """

@@ -289,7 +289,8 @@ def report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
 
 def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with every span replaced by its kind in angle brackets; overlapping spans by the first one's."""
-    text = F.col(text_col)
+    held = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc"))  # no name of the input can clash
+    text = F.col("doc")[text_col]
     names = F.array(*(F.lit(f"<{k}>") for k in KINDS))
 
     def step(acc: Column, x: Column) -> Column:
@@ -304,9 +305,10 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
         "_spans", F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step,
         lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))),
     )
-    same = F.col(id_col).eqNullSafe(F.col("_d")) & (F.xxhash64(F.coalesce(text, F.lit(""))) == F.col("_r"))
-    joined = docs.withColumn("_base", base_spans(F.coalesce(text, F.lit("")))).join(
+    same = F.col("doc")[id_col].eqNullSafe(F.col("_d")) & (F.xxhash64(F.coalesce(text, F.lit(""))) == F.col("_r"))
+    joined = held.withColumn("_base", base_spans(F.coalesce(text, F.lit("")))).join(
         small_enough(added_spans(_rows(docs, id_col, text_col)), 1 << 16), same, "left"
     )
     spans = joined.withColumn("_spans", in_order(F.concat("_base", _free(F.col("_base"), F.col("added")))))
-    return spans.withColumn(text_col, F.when(F.size("_spans") > 0, clean).otherwise(text)).select(*docs.columns)
+    clear = F.when(F.size("_spans") > 0, clean).otherwise(text)
+    return spans.select(*((clear if c == text_col else F.col("doc")[c]).alias(c) for c in docs.columns))

@@ -72,7 +72,7 @@ class BatchEncoder:
         """Which texts have no two neighbouring white-space characters (never true for one that has)."""
         import pyarrow.compute as pc
 
-        odd = pc.match_substring_regex(texts, "[\\x00\\t\\x0b-\\r\\x1c-\\x1f\\x85\\xa0\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}]")
+        odd = pc.match_substring_regex(texts, "[\\x{fffe}\\x{ffff}\\x00\\t\\x0b-\\r\\x1c-\\x1f\\x85\\xa0\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}]")
         for two in ("  ", " \n", "\n ", "\n\n"):
             odd = pc.or_(odd, pc.match_substring(texts, two))
         return pc.invert(odd)
@@ -84,7 +84,7 @@ class BatchEncoder:
         arr = pa.array(texts, pa.large_string())
         plain = self._plain(arr)
         marked = pc.replace_substring(pc.replace_substring(arr, "\n", "\0\n\0"), " ", "\0 ")
-        # a text that cannot be cut stays one piece; no plain text is equal to it
+        # a text that cannot be cut stays one piece; no plain text is equal to it, as none holds U+FFFE or U+FFFF
         pieces = pc.split_pattern(pc.if_else(plain, marked, pc.replace_substring(arr, "\0", "￾￿")), "\0")
         whole = {}
         for k in np.flatnonzero(~plain.to_numpy(zero_copy_only=False)).tolist():

@@ -240,3 +240,31 @@ def test_sketches_bound_the_distance_at_every_size():
         assert rough <= jj.finer_distance(a, b) <= apart
         if size > 1500:
             assert jj.finer_distance(a, b) > min(apart, len(x)) // 4
+
+
+# --- operators 1 to 3: texts that stand for themselves ------------------------------------------
+
+
+def test_a_text_like_the_mark_of_an_uncut_one_keeps_its_ids():
+    from tokenizers import Tokenizer
+
+    from prismark.llm.tokens import library_encoder
+
+    plain = Tokenizer.from_file(BYTE_BPE)
+    plain.encode_special_tokens = True
+    texts = ["a\0b", "a\ufffe\uffffb", "\ufffe\uffff", "x \ufffe y", "\0", "a b"]
+    got = library_encoder(BYTE_BPE).encode(texts)
+    assert [g.tolist() for g in got] == [plain.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_stages_keep_columns_whose_names_clash(spark):
+    from prismark.llm import exact_dedup, pii
+
+    names = ["doc_id", "text", "added", "_base", "_spans", "_d", "_r", "_gone_id", "_gone_text", "doc", "n.o"]
+    rows = [(1, "write to a@b.c or 1.2.3.4", *range(9)), (2, " write to a@b.c  or 1.2.3.4", *range(9)), (3, None, *range(9)), (4, "none", *range(9))]
+    df = spark.createDataFrame(rows, "`" + "` int, `".join(names).replace("`text` int", "`text` string") + "` int")
+    assert df.columns == names and df.schema["text"].dataType.simpleString() == "string"
+    got = {r[0]: tuple(r) for r in pii.redact(df).collect()}
+    assert got == {1: (1, "write to <email> or <ip>", *range(9)), 2: (2, " write to <email>  or <ip>", *range(9)), 3: rows[2], 4: rows[3]}
+    first = exact_dedup.keep_first(df)
+    assert first.columns == names and {tuple(r) for r in first.collect()} == {rows[1], rows[2], rows[3]}
