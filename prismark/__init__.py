@@ -11,5 +11,5 @@ try:
     from pyspark import cloudpickle as _cp
 
     _cp.register_pickle_by_value(sys.modules[__name__])
-except Exception:  # older cloudpickle: ship the package with --py-files instead
+except (ImportError, AttributeError):  # older cloudpickle: ship the package with --py-files instead
     pass

@@ -7,6 +7,7 @@ is a column expression or a join.  A user's scorer is any Python callable
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterator, Mapping
 
 import pandas as pd
@@ -20,7 +21,8 @@ NO_ABSTRACT = "No Abstract"
 NO_ABSTRACT_INCLUDE = "No abstract available - Included for manual check"
 NO_REASON = "No reason provided"
 FORMAT_ERROR = "LLM Error (Format): "
-PARSE_ERROR = "LLM Connection Error: invalid JSON"
+SCORER_ERROR = "LLM Connection Error"
+PARSE_ERROR = SCORER_ERROR + ": invalid JSON"
 INCLUDED = "Included"
 EXCLUDED = "Excluded"
 # Decision words accepted from a reviewer.
@@ -98,15 +100,25 @@ def score_with(
 ) -> DataFrame:
     """Apply a user scorer to every prompt in Arrow batches (``mapInPandas``).
 
-    ``partitions`` bounds how many scorer calls run at once (rate limit).
+    ``partitions`` bounds how many scorer calls run at once (rate limit).  A call
+    that raises gives its row a verdict of exclusion with the error as the reason;
+    the other rows and the job go on.
     """
     src = df.repartition(partitions) if partitions else df
     # A new StructType: ``schema.add`` would mutate the input's cached schema.
     schema = T.StructType([*src.schema.fields, T.StructField(out_col, T.StringType())])
 
+    def verdict(prompt) -> str | None:
+        if not isinstance(prompt, str):
+            return None
+        try:
+            return scorer(prompt)
+        except Exception as error:  # whatever a user's scorer raises belongs to this row
+            return json.dumps({"included": False, "reason": f"{SCORER_ERROR}: {error}"})
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            pdf[out_col] = [scorer(p) if isinstance(p, str) else None for p in pdf[prompt_col]]
+            pdf[out_col] = [verdict(p) for p in pdf[prompt_col]]
             yield pdf
 
     return src.mapInPandas(run, schema)

@@ -8,8 +8,9 @@ memory), screened, and written to its own ``batch=<id>`` folder with
 overwrite.  Replaying a batch after a failure rewrites the same folder, so
 the sink is idempotent; the checkpoint folder records progress.
 
-Within a batch the primary source wins, as in ``merge_sources``; across
-batches the first arrival of a title is kept.
+Within a batch the primary source wins and its rows are all kept, as in
+``merge_sources``; across batches the first arrival of a title is kept, and rows
+of the primary source without a title key always.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from collections.abc import Callable
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from prismark.operators.dedup import KEY, first_wins, with_title_key
+from prismark.operators.dedup import KEY, dedup_against, first_wins, with_title_key
 from prismark.operators.screen import parse_verdict, screen, screening_prompt, score_with
 from prismark.schema import RECORD_SCHEMA
 from prismark.sources.records import conform
@@ -34,7 +35,7 @@ def _accepted_keys(spark: SparkSession, out_dir: str, batch_id: int) -> DataFram
         if missing.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             raise
         return None  # no batch written yet
-    return written.where(F.col("batch") < batch_id).select(KEY)
+    return written.where((F.col("batch") < batch_id) & (F.col(KEY) != "")).select(KEY)
 
 
 def process_batch(
@@ -46,10 +47,11 @@ def process_batch(
     primary_source: str = "PubMed",
 ) -> None:
     spark = batch.sparkSession
-    recs = with_title_key(conform(batch)).where(F.col(KEY) != "")
-    recs = recs.withColumn("_prio", F.when(F.col("Source") == primary_source, 0).otherwise(1))
-    recs = recs.withColumn("_order", F.struct("_prio", F.monotonically_increasing_id().alias("_i")))
-    recs = first_wins(recs, KEY, "_order").drop("_prio", "_order")
+    recs = with_title_key(conform(batch))
+    primary = recs.where(F.col("Source").eqNullSafe(primary_source))  # kept whole, also without a title
+    others = recs.where(~F.col("Source").eqNullSafe(primary_source) & (F.col(KEY) != ""))
+    others = first_wins(others.withColumn("_order", F.monotonically_increasing_id()), KEY, "_order").drop("_order")
+    recs = primary.unionByName(dedup_against(primary, others))
     seen = _accepted_keys(spark, out_dir, batch_id)
     if seen is not None:
         recs = recs.join(seen, KEY, "left_anti")

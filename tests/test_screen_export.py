@@ -78,3 +78,15 @@ def test_fallback_if_blank(spark):
 
     df = spark.createDataFrame([(" ", "b"), ("a", "b"), (None, "b")], "x string, y string")
     assert [r.r for r in df.select(fallback_if_blank("x", "y").alias("r")).collect()] == ["b", "a", "b"]
+
+
+def test_a_scorer_that_raises_excludes_its_row_only(spark):
+    def scorer(prompt):
+        if "bad" in prompt:
+            raise ValueError('no "reply"')
+        return '{"included": true, "reason": "ok"}'
+
+    df = spark.createDataFrame([(1, "good"), (2, "bad one"), (3, None)], "id long, prompt string")
+    scored = sc.score_with(df, scorer)
+    got = {r.id: tuple(r.v) for r in scored.where("id < 3").select("id", sc.parse_verdict("raw_verdict").alias("v")).collect()}
+    assert got == {1: (True, "ok"), 2: (False, 'LLM Connection Error: no "reply"')}

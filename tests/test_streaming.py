@@ -50,3 +50,16 @@ def test_replayed_batch_keeps_its_rows(spark, tmp_path):
     process_batch(batch, 1, out, "any")
     process_batch(batch, 0, out, "any")
     assert spark.read.parquet(out).count() == 2
+
+
+def test_primary_rows_are_kept_whole_within_a_batch(spark, tmp_path):
+    from prismark.streaming.screening import process_batch
+
+    out = str(tmp_path / "out")
+    rows = [("PubMed", "Same", "a"), ("PubMed", "same!", "b"), ("PubMed", "", "c"), ("PubMed", None, "d"),
+            ("Google Scholar", "SAME", "e"), ("Google Scholar", "", "f"), ("Google Scholar", "Other", "g"), (None, "Third", "h")]
+    process_batch(spark.createDataFrame(rows, "Source string, Title string, Abstract string"), 0, out, "any")
+    assert sorted(r.Abstract for r in spark.read.parquet(out).collect()) == ["a", "b", "c", "d", "g", "h"]
+    later = spark.createDataFrame([("PubMed", "SAME", "late"), ("PubMed", "", "no title")], "Source string, Title string, Abstract string")
+    process_batch(later, 1, out, "any")
+    assert [r.Abstract for r in spark.read.parquet(out).where("batch = 1").collect()] == ["no title"]
