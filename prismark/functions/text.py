@@ -1,8 +1,10 @@
 """Scalar text functions as native column expressions.
 
 Python's ``\\s``, ``\\w``, ``\\b`` and ``\\d`` are Unicode-aware; Java's are
-ASCII unless the pattern carries ``(?U)``, so every pattern here that uses a
-class says ``(?U)``.  Nothing in this module leaves the JVM.
+ASCII unless the pattern carries ``(?U)``, which counts marks as word characters
+and U+001C to U+001F as none of white space.  The text rules therefore spell
+Python's classes out (``WORD``, ``SPACE``); other patterns that use a class say
+``(?U)``.  Nothing in this module leaves the JVM.
 """
 
 from __future__ import annotations
@@ -13,6 +15,12 @@ from pyspark.sql import Column, functions as F
 
 NBSP = "\u00a0"
 
+# Members of Python's \w and \s, for use inside a character class (valid in Java and RE2).
+WORD = r"\p{L}\p{N}_"
+SPACE = r"\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+#: No word character before, none after.
+STARTS_WORD, ENDS_WORD = f"(?<![{WORD}])", f"(?![{WORD}])"
+
 # Line breaks recognised by Python's str.splitlines().
 _LINE_BREAKS = "\\r\\n|[\\n\\r\\x0b\\x0c\\x1c-\\x1e\\x85\\u2028\\u2029]"
 
@@ -82,27 +90,30 @@ def body_extraction(x: Column | str) -> Column:
 
 def dehyphenate(x: Column | str) -> Column:
     """Join words split over a line end, then every newline becomes a space."""
-    return F.regexp_replace(F.regexp_replace(_c(x), r"(?U)-\n(\w+)", "$1"), "\n", " ")
+    return F.regexp_replace(F.regexp_replace(_c(x), rf"-\n([{WORD}]+)", "$1"), "\n", " ")
+
 
 
-CITATION = r"(?U)\[\s*\d+(?:\s*[-,]\s*\d+)*\s*\]"
-CITATION_EN_DASH = r"(?U)\[\s*\d+(?:\s*[-,–]\s*\d+)*\s*\]"
+
+def citation_pattern(dashes: str = "-") -> str:
+    """Numbers in square brackets, listed with commas or joined by one of ``dashes``."""
+    return rf"\[[{SPACE}]*\p{{Nd}}+(?:[{SPACE}]*[{dashes},][{SPACE}]*\p{{Nd}}+)*[{SPACE}]*\]"
 
 
 def strip_citations(x: Column | str, en_dash: bool = False) -> Column:
     """Remove ``[1]``, ``[3, 4-6]``; ``en_dash=True`` also removes ``[12–14]``."""
-    return F.regexp_replace(_c(x), CITATION_EN_DASH if en_dash else CITATION, "")
+    return F.regexp_replace(_c(x), citation_pattern("-–" if en_dash else "-"), "")
 
 
 def strip_urls(x: Column | str) -> Column:
     """X8."""
-    return F.regexp_replace(_c(x), r"(?U)https?://\S+|www\.\S+", "")
+    return F.regexp_replace(_c(x), rf"https?://[^{SPACE}]+|www\.[^{SPACE}]+", "")
 
 
 def strip_dois(x: Column | str) -> Column:
     """``doi: ...`` (any case), then bare ``10.xxxx/...``."""
-    t = F.regexp_replace(_c(x), r"(?iU)\bdoi:\s*\S+", "")
-    return F.regexp_replace(t, r"(?U)\b10\.\d{4,9}/\S+\b", "")
+    t = F.regexp_replace(_c(x), rf"{STARTS_WORD}(?i:doi):[{SPACE}]*[^{SPACE}]+", "")
+    return F.regexp_replace(t, rf"{STARTS_WORD}10\.\p{{Nd}}{{4,9}}/[^{SPACE}]*[{WORD}]", "")
 
 
 def clean_text(x: Column | str, en_dash: bool = False) -> Column:
@@ -112,17 +123,17 @@ def clean_text(x: Column | str, en_dash: bool = False) -> Column:
 
 def tokenize(x: Column | str) -> Column:
     """X11: word tokens and single punctuation marks (a simple rule, not Treebank)."""
-    return F.regexp_extract_all(_c(x), F.lit(r"(?U)\w+|[^\w\s]"), 0)
+    return F.regexp_extract_all(_c(x), F.lit(rf"[{WORD}]+|[^{WORD}{SPACE}]"), 0)
 
 
 def remove_stop_words(x: Column | str, stop_words: Iterable[str]) -> Column:
     """Lower, split on white space, drop exact stop words, rejoin with a space."""
     stop = sorted(set(stop_words))
-    words = F.split(F.lower(_c(x)), r"(?U)\s+")
+    words = F.split(F.lower(_c(x)), f"[{SPACE}]+")
     return F.array_join(F.filter(words, lambda w: (w != "") & ~w.isin(*stop)), " ")
 
 
-TERM_PATTERN = r"(?U)\b[a-z]{3,}\b"
+TERM_PATTERN = rf"{STARTS_WORD}[a-z]{{3,}}+{ENDS_WORD}"
 
 
 def term_tokens(x: Column | str) -> Column:
@@ -153,13 +164,3 @@ def ngrams(tokens: Column, lo: int = 1, hi: int = 3) -> Column:
             acc = F.zip_with(acc, F.slice(tokens, k + 1, m), lambda x, y: F.concat(x, F.lit(" "), y))
         parts.append(acc)
     return F.flatten(F.array(*parts))
-
-
-def ascii_text(x: Column | str) -> Column:
-    """Every non-printable-ASCII character becomes a space (oracle-parity view)."""
-    return F.regexp_replace(_c(x), r"[^ -~]", " ")
-
-
-def ascii_lines(x: Column | str) -> Column:
-    """Like :func:`ascii_text` but keeps line breaks."""
-    return F.regexp_replace(_c(x), r"[^\n -~]", " ")

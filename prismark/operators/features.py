@@ -15,10 +15,10 @@ from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from prismark.functions.text import drop_tokens, ngrams, term_tokens
+from prismark.functions.text import WORD, drop_tokens, ngrams, term_tokens
 from prismark.operators.ranking import top_k_per_group
 
-WORD_PATTERN = r"(?U)\b\w\w+\b"  # default token rule of the count vectoriser behind c-TF-IDF
+WORD_PATTERN = f"[{WORD}]{{2,}}"  # default token rule of the count vectoriser behind c-TF-IDF
 
 
 def _count(df: DataFrame) -> Column:
@@ -153,7 +153,7 @@ def topic_terms(ctfidf: DataFrame, n: int = 10) -> DataFrame:
     return top_k_per_group(ctfidf, ["topic"], [F.desc("score"), F.asc("term")], n, "rank")
 
 
-WORDCLOUD_PATTERN = r"(?U)\w[\w']*"
+WORDCLOUD_PATTERN = f"[{WORD}][{WORD}']*"
 
 
 def wordcloud_terms(

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from prismark.functions.text import tokenize
+from prismark.functions.text import ENDS_WORD, STARTS_WORD, tokenize
 
 
 def lemmatize(docs: DataFrame, id_col: str, text_col: str, lexicon: DataFrame, out_col: str = "lemmatized") -> DataFrame:
@@ -30,7 +30,7 @@ def lemmatize(docs: DataFrame, id_col: str, text_col: str, lexicon: DataFrame, o
 def plural_lexicon(docs: DataFrame, text_col: str) -> DataFrame:
     """A lexicon derived from a corpus: ``xs -> x`` for lower-case words whose stem also occurs."""
     words = docs.select(F.explode(F.regexp_extract_all(F.coalesce(F.col(text_col), F.lit("")),
-                                                       F.lit(r"(?U)\b[a-z]+\b"), 0)).alias("w")).distinct()
+                                                       F.lit(f"{STARTS_WORD}[a-z]++{ENDS_WORD}"), 0)).alias("w")).distinct()
     plural = words.where((F.length("w") > 3) & F.col("w").endswith("s")).select(
         F.col("w").alias("token"), F.expr("substring(w, 1, length(w) - 1)").alias("lemma"))
     return plural.join(words.select(F.col("w").alias("lemma")), "lemma", "left_semi")

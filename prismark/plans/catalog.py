@@ -278,21 +278,21 @@ def body_extraction_q(spark, sf_dir):
     return d.select("doc_id", tx.body_extraction("text").alias("body"))
 
 
-_ASCII_LINES_SQL = "regexp_replace(text, '[^\\n -~]', ' ', 'g')"
+# DuckDB's \\w, \\s and \\b are ASCII, so the classes are spelled out; it has no look-behind: a whole word is a run of word characters.
+_W, _S = tx.WORD, tx.SPACE
 
 
 @register("clean_text", (
-    "with d as (select doc_id, " + _ASCII_LINES_SQL + " as t from documents), "
-    "a as (select doc_id, replace(regexp_replace(t, '-\\n(\\w+)', '\\1', 'g'), chr(10), ' ') as t from d), "
-    "b as (select doc_id, regexp_replace(t, '\\[\\s*\\d+(?:\\s*[-,]\\s*\\d+)*\\s*\\]', '', 'g') as t from a), "
-    "c as (select doc_id, regexp_replace(t, 'https?://\\S+|www\\.\\S+', '', 'g') as t from b), "
-    "e as (select doc_id, regexp_replace(regexp_replace(t, '(?i)\\bdoi:\\s*\\S+', '', 'g'), "
-    "'\\b10\\.\\d{4,9}/\\S+\\b', '', 'g') as t from c) "
+    f"with a as (select doc_id, replace(regexp_replace(text, '-\\n([{_W}]+)', '\\1', 'g'), chr(10), ' ') as t from documents), "
+    f"b as (select doc_id, regexp_replace(t, '{tx.citation_pattern()}', '', 'g') as t from a), "
+    f"c as (select doc_id, regexp_replace(t, 'https?://[^{_S}]+|www\\.[^{_S}]+', '', 'g') as t from b), "
+    f"e as (select doc_id, regexp_replace(regexp_replace(t, '(^|[^{_W}])(?i:doi):[{_S}]*[^{_S}]+', '\\1', 'g'), "
+    f"'(^|[^{_W}])10\\.\\p{{Nd}}{{4,9}}/[^{_S}]*[{_W}]', '\\1', 'g') as t from c) "
     "select doc_id, t as cleaned from e"
 ))
 def clean_text_q(spark, sf_dir):
     d = fx.table(spark, sf_dir, "documents")
-    return d.select("doc_id", tx.clean_text(tx.ascii_lines("text")).alias("cleaned"))
+    return d.select("doc_id", tx.clean_text("text").alias("cleaned"))
 
 
 FULLTEXT_STOP = stop_words(extra=SUPPLEMENTARY_FULLTEXT)
@@ -300,21 +300,21 @@ ABSTRACT_STOP = stop_words()
 
 
 @register("stop_word_removal", (
-    "select doc_id, array_to_string(list_filter(string_split_regex(lower(" + _ASCII_LINES_SQL + "), '\\s+'), "
+    "select doc_id, array_to_string(list_filter(string_split_regex(lower(text), '[" + _S + "]+'), "
     "lambda w: w <> '' and not list_contains(" + sql_list(FULLTEXT_STOP) + ", w)), ' ') as filtered from documents"
 ))
 def stop_word_removal(spark, sf_dir):
     d = fx.table(spark, sf_dir, "documents")
-    return d.select("doc_id", tx.remove_stop_words(tx.ascii_lines("text"), FULLTEXT_STOP).alias("filtered"))
+    return d.select("doc_id", tx.remove_stop_words("text", FULLTEXT_STOP).alias("filtered"))
 
 
 # --- M1-M3, O1, O4: TF-IDF over the whole document table ----------------------------
 
 _TFIDF_CTES = (
-    "with d as (select doc_id, regexp_replace(text, '[^ -~]', ' ', 'g') as text from documents), "
+    "with d as (select doc_id, text from documents), "
     "nd as (select count(*) as n from d), "
-    "toks as (select doc_id, list_filter(regexp_extract_all(lower(text), '\\b[a-z]{3,}\\b'), "
-    "lambda t: not list_contains(" + sql_list(ABSTRACT_STOP) + ", t)) as t from d), "
+    "toks as (select doc_id, list_filter(regexp_extract_all(lower(text), '[" + _W + "]+'), "
+    "lambda t: regexp_full_match(t, '[a-z]{3,}') and not list_contains(" + sql_list(ABSTRACT_STOP) + ", t)) as t from d), "
     "grams as (select doc_id, unnest(list_concat(t, "
     "list_transform(range(1, len(t)), lambda i: t[i] || ' ' || t[i + 1]), "
     "list_transform(range(1, len(t) - 1), lambda i: t[i] || ' ' || t[i + 1] || ' ' || t[i + 2]))) as term from toks), "
@@ -328,7 +328,7 @@ _TFIDF_CTES = (
 
 
 def _tfidf(spark, sf_dir):
-    d = fx.ascii_documents(spark, sf_dir)
+    d = fx.table(spark, sf_dir, "documents")
     return ft.tfidf(d, "doc_id", "text", ABSTRACT_STOP, max_features=200, min_df=2, max_df=0.8)
 
 
@@ -378,8 +378,8 @@ def top_terms_per_cluster_q(spark, sf_dir):
 # --- M11 / M13: class-based TF-IDF over topics --------------------------------------
 
 _CTFIDF_CTES = (
-    "with d as (select cast(doc_id % 3 as bigint) as topic, regexp_replace(text, '[^ -~]', ' ', 'g') as text from documents), "
-    "w as (select topic, unnest(regexp_extract_all(lower(text), '\\b\\w\\w+\\b')) as term from d), "
+    "with d as (select cast(doc_id % 3 as bigint) as topic, text from documents), "
+    "w as (select topic, unnest(regexp_extract_all(lower(text), '[" + _W + "]{2,}')) as term from d), "
     "c as (select topic, term, count(*) as cnt from w group by 1, 2), "
     "tt as (select topic, sum(cnt) as topic_words from c group by 1), "
     "a as (select floor(avg(topic_words)) as avg_words from tt), "
@@ -394,7 +394,7 @@ _CTFIDF_CTES = (
           + ", r as (select *, row_number() over (partition by topic order by score desc, term) as rank from s) "
           "select topic, term, cnt, round(score, 6) as score, rank from r where rank <= 10")
 def class_tfidf_top_terms(spark, sf_dir):
-    d = fx.ascii_documents(spark, sf_dir).withColumn("topic", (F.col("doc_id") % 3).cast("long"))
+    d = fx.table(spark, sf_dir, "documents").withColumn("topic", (F.col("doc_id") % 3).cast("long"))
     scores = ft.class_tfidf(d, "text", "topic")
     out = ft.topic_terms(scores, 10)
     return out.select("topic", "term", "cnt", F.round("score", 6).alias("score"), F.col("rank").cast("long"))
@@ -403,8 +403,8 @@ def class_tfidf_top_terms(spark, sf_dir):
 # --- X16: word-cloud frequencies per cluster ------------------------------------------
 
 @register("wordcloud_terms", (
-    "with d as (select cast(doc_id % 3 as bigint) as cluster, regexp_replace(text, '[^ -~]', ' ', 'g') as text from documents), "
-    "w as (select cluster, lower(regexp_replace(unnest(regexp_extract_all(text, '\\w[\\w'']*')), '''s$', '')) as word from d), "
+    "with d as (select cast(doc_id % 3 as bigint) as cluster, text from documents), "
+    "w as (select cluster, lower(regexp_replace(unnest(regexp_extract_all(text, '[" + _W + "][" + _W + "'']*')), '''s$', '')) as word from d), "
     "c as (select cluster, word, count(*) as n from w where not list_contains("
     + sql_list([x.lower() for x in ABSTRACT_STOP]) + ", word) and not regexp_full_match(word, '[0-9]+') and word <> '' "
     "group by 1, 2), "
@@ -412,7 +412,7 @@ def class_tfidf_top_terms(spark, sf_dir):
     "select cluster, word, n, rank, round(n / max(n) over (partition by cluster), 6) as weight from r where rank <= 30"
 ))
 def wordcloud_terms_q(spark, sf_dir):
-    d = fx.ascii_documents(spark, sf_dir).withColumn("cluster", (F.col("doc_id") % 3).cast("long"))
+    d = fx.table(spark, sf_dir, "documents").withColumn("cluster", (F.col("doc_id") % 3).cast("long"))
     out = ft.wordcloud_terms(d, "cluster", "text", ABSTRACT_STOP, 30)
     return out.select("cluster", "word", "n", F.col("rank").cast("long"), F.round("weight", 6).alias("weight"))
 
@@ -787,7 +787,7 @@ def documents_of_topic_q(spark, sf_dir):
 
 
 def _ctfidf_docs(spark, sf_dir):
-    d = fx.ascii_documents(spark, sf_dir).withColumn("topic", (F.col("doc_id") % 3).cast("long"))
+    d = fx.table(spark, sf_dir, "documents").withColumn("topic", (F.col("doc_id") % 3).cast("long"))
     return d, ft.class_tfidf(d, "text", "topic")
 
 
@@ -1009,35 +1009,47 @@ SEARCH_ALL_OF = [["stroke", "brain injur*", "subarachnoid hemorrhage", "tbi"], [
 SEARCH_NONE_OF = ["pilot"]
 
 
-def _ascii_articles(spark, sf_dir):
-    a = fx.articles(spark, sf_dir)
-    return a.select("article_id", tx.ascii_text("Title").alias("Title"), tx.ascii_text("Abstract").alias("Abstract"))
-
-
 def _search_sql(body: str) -> str:
     def pat(terms):
         parts = []
         for t in terms:
             words = [w for w in t.rstrip("*").split()]
-            parts.append("\\s+".join(words) + ("\\w*" if t.endswith("*") else ""))
-        return "'(?i)\\b(?:" + "|".join(parts) + ")\\b'"
+            parts.append(f"[{_S}]+".join(words) + (f"[{_W}]*" if t.endswith("*") else ""))
+        return f"'(?i)(?:^|[^{_W}])(?:" + "|".join(parts) + f")(?:$|[^{_W}])'"
 
     conds = " and ".join(f"regexp_matches(txt, {pat(g)})" for g in SEARCH_ALL_OF)
     return with_articles(
-        ", a as (select article_id, concat_ws(' ', coalesce(regexp_replace(Title, '[^ -~]', ' ', 'g'), ''), "
-        "coalesce(regexp_replace(Abstract, '[^ -~]', ' ', 'g'), '')) as txt from articles), "
+        ", a as (select article_id, Journal, concat_ws(' ', coalesce(Title, ''), coalesce(Abstract, '')) as txt from articles), "
         f"hits as (select article_id from a where {conds} and not regexp_matches(txt, {pat(SEARCH_NONE_OF)})) " + body
     )
 
 
 @register("boolean_search", _search_sql("select article_id from hits"))
 def boolean_search_q(spark, sf_dir):
-    return srch.boolean_search(_ascii_articles(spark, sf_dir), SEARCH_ALL_OF, SEARCH_NONE_OF).select("article_id")
+    return srch.boolean_search(fx.articles(spark, sf_dir), SEARCH_ALL_OF, SEARCH_NONE_OF).select("article_id")
+
+
+SEARCH_MIXED = [["stroke", srch.Heading("Journal of src1"), srch.Heading("Trials*")], ["cohort", "trial*"]]
+
+
+@register("search_with_headings", with_articles(
+    ", a as (select article_id, concat_ws(' ', coalesce(Title, ''), coalesce(Abstract, '')) as txt, "
+    "lower(trim(Journal)) as journal, doc_n from (select *, article_id % 4 as doc_n from articles)) "
+    f"select article_id from a where (regexp_matches(txt, '(?i)(?:^|[^{_W}])stroke(?:$|[^{_W}])') "
+    "or journal = 'journal of src1' or doc_n = 0) "
+    f"and regexp_matches(txt, '(?i)(?:^|[^{_W}])(?:cohort|trial[{_W}]*)(?:$|[^{_W}])')"
+))
+def search_with_headings(spark, sf_dir):
+    """P1 with an OR-group of words and subject headings (``Trials, Clinical`` for every fourth article, and its journal)."""
+    a = fx.articles(spark, sf_dir).withColumn("MeSH_Terms", F.concat_ws(
+        "; ", F.when(F.col("article_id") % 4 == 0, "Trials, Clinical"), F.trim("Journal")
+    ))
+    return srch.boolean_search(a, SEARCH_MIXED).select("article_id")
 
 
 @register("count_matches", _search_sql("select count(*) as hits from hits"))
 def count_matches_q(spark, sf_dir):
-    return srch.count_matches(_ascii_articles(spark, sf_dir), SEARCH_ALL_OF, SEARCH_NONE_OF)
+    return srch.count_matches(fx.articles(spark, sf_dir), SEARCH_ALL_OF, SEARCH_NONE_OF)
 
 
 # --- X17-X19: synthesis prompts and replies ------------------------------------------
@@ -1119,18 +1131,18 @@ from prismark.operators import lemma as lm  # noqa: E402
 
 
 @register("lemmatize", (
-    "with d as (select doc_id, regexp_replace(text, '[^ -~]', ' ', 'g') as text from documents), "
-    "w as (select distinct unnest(regexp_extract_all(text, '\\b[a-z]+\\b')) as w from d), "
+    "with d as (select doc_id, text from documents), "
+    "w as (select w from (select distinct unnest(regexp_extract_all(text, '[" + _W + "]+')) as w from d) where regexp_full_match(w, '[a-z]+')), "
     "lex as (select w as token, substr(w, 1, length(w) - 1) as lemma from w where length(w) > 3 and suffix(w, 's') "
     "and substr(w, 1, length(w) - 1) in (select w from w)), "
-    "t as (select doc_id, unnest(regexp_extract_all(text, '\\w+|[^\\w\\s]')) as tok, "
-    "unnest(range(1, len(regexp_extract_all(text, '\\w+|[^\\w\\s]')) + 1)) as p from d), "
+    "t as (select doc_id, unnest(regexp_extract_all(text, '[" + _W + "]+|[^" + _W + _S + "]')) as tok, "
+    "unnest(range(1, len(regexp_extract_all(text, '[" + _W + "]+|[^" + _W + _S + "]')) + 1)) as p from d), "
     "l as (select doc_id, p, coalesce(lex.lemma, t.tok) as w from t left join lex on lex.token = t.tok) "
     "select d.doc_id, coalesce(string_agg(l.w, ' ' order by l.p), '') as lemmatized from d left join l using (doc_id) "
     "group by d.doc_id"
 ))
 def lemmatize_q(spark, sf_dir):
-    d = fx.ascii_documents(spark, sf_dir)
+    d = fx.table(spark, sf_dir, "documents")
     return lm.lemmatize(d, "doc_id", "text", lm.plural_lexicon(d, "text"))
 
 

@@ -9,8 +9,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from prismark.functions.text import ascii_text
-
 TABLES = (
     "region nation customer supplier part orders lineitem events documents "
     "embeddings pages benchmark labels conversations"
@@ -79,12 +77,6 @@ def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return articles_of(table(spark, sf_dir, "documents"))
 
 
-def ascii_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``documents`` with every non-ASCII character made a space (T2 parity view)."""
-    d = table(spark, sf_dir, "documents")
-    return d.select("doc_id", ascii_text("text").alias("text"), "lang", "source")
-
-
 # Identifier fields added to articles so the DOI rules have work.
 RECORD_ID_EXPRS = [
     "case when Source = 'PubMed' then 'PMID' else 'URL' end as ID_Type",

@@ -1,9 +1,13 @@
 """Scalar text rules: FIXTURES hand cases for X1, X3-X10, X13-X15 and traps T2, T11."""
 
+import re
+
 from pyspark.sql import functions as F
 
 from prismark.functions import text as tx
 from prismark.functions.classify import classify_study_type, tag_populations
+from prismark.operators.features import WORD_PATTERN, WORDCLOUD_PATTERN
+from prismark.operators.search import Heading, boolean_search
 
 
 def one(spark, expr, value, schema="x string"):
@@ -56,6 +60,56 @@ def test_term_tokens(spark):
     assert one(spark, tx.term_tokens("x"), "ICU care, in 2020: café ab abc") == ["icu", "care", "abc"]
 
 
+def test_classes_follow_python(spark):
+    """The rules against Python's ``re`` on texts with letters, marks, digits and white space of many kinds."""
+    texts = [
+        "caf\u00e9 na\u00efve \u0130stanbul 10.1234/\u00e9t\u00e9. \u0664\u0662 [\u0661, 2] x\u00b2",
+        "e\u0301te\u0301 cur-\n\u00e9e a\u1680b\u2003c\u3000d\x1ce\x1ff\u200bg",
+        "xdoi: 10.1/a Doi:\u00a010.12345/b\u00e9-, (10.9999/...) a10.1234/q \u4e2d\u6587abc abc\u4e2d\u6587 abc",
+        "see http\u00e9 https://x.y/\u00e9\u2028z www.\u00fc.de! the\u3000The d'\u00e9t\u00e9's", "", "\u00e9",
+    ]
+    stop = ["the", "a"]
+
+    def cleaned(t):
+        t = re.sub(r"-\n(\w+)", r"\1", t).replace("\n", " ")
+        t = re.sub(r"\[\s*\d+(?:\s*[-,]\s*\d+)*\s*\]", "", t)
+        t = re.sub(r"https?://\S+|www\.\S+", "", t)
+        return re.sub(r"\b10\.\d{4,9}/\S+\b", "", re.sub(r"\bdoi:\s*\S+", "", t, flags=re.I))
+
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, x string")
+    got = df.orderBy("i").select(
+        tx.clean_text("x").alias("c"), tx.tokenize("x").alias("t"), tx.term_tokens("x").alias("w"),
+        tx.remove_stop_words("x", stop).alias("s"), F.regexp_extract_all("x", F.lit(WORD_PATTERN), 0).alias("v"),
+        F.regexp_extract_all("x", F.lit(WORDCLOUD_PATTERN), 0).alias("k"),
+    ).collect()
+    for t, r in zip(texts, got):
+        assert r["c"] == cleaned(t)
+        assert r["t"] == re.findall(r"\w+|[^\w\s]", t)
+        assert r["w"] == re.findall(r"\b[a-z]{3,}\b", t.lower())
+        assert r["s"] == " ".join(w for w in t.lower().split() if w not in stop)
+        assert r["v"] == re.findall(r"\b\w\w+\b", t)
+        assert r["k"] == re.findall(r"\w[\w']*", t)
+
+
+def test_search_mixes_words_and_headings(spark):
+    rows = [
+        (1, "A stroke trial", None, "Neurology; Brain Injuries"), (2, "Caf\u00e9s", "stroke\u00e9s", "stroke"),
+        (3, None, "trials of care", " neurology ; Other"), (4, "pilot of trials", "", "Neurology"), (5, None, None, None),
+    ]
+    df = spark.createDataFrame(rows, "id int, Title string, Abstract string, MeSH_Terms string")
+
+    def ids(*a, **k):
+        return sorted(r["id"] for r in boolean_search(df, *a, **k).collect())
+
+    assert ids([["stroke", Heading("neurology")]]) == [1, 3, 4]
+    assert ids([["stroke", Heading("neurology")], ["trial*"]], ["pilot"]) == [1, 3]
+    assert ids([[Heading("Brain*")]]) == [1]
+    assert ids([["trial*"]], [Heading("neurology")]) == []
+    assert ids([["trial*"]], mesh_all_of=["Neurology"]) == [1, 3, 4]
+    assert ids([[]]) == []
+    assert ids([]) == [1, 2, 3, 4, 5]
+
+
 def test_study_type(spark):
     assert one(spark, classify_study_type("x"), "an infarct case") == "RCT"  # T8
     assert one(spark, classify_study_type("x"), "pilot randomised") == "RCT"
