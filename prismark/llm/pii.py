@@ -56,6 +56,8 @@ MAY_HOLD = {
     "phone": r"\+[0-9]",
 }
 SPAN = "array<struct<kind:int,s:int,e:int>>"
+#: Code points of the pieces in which a text is looked up.
+PIECE = 4096
 #: Words of the widest lexical pattern.
 WINDOW = 3
 #: What looks like an identifier: an address, a number with separators, a word with a digit.
@@ -93,31 +95,56 @@ def passes(kind: str, match: Column) -> Column:
     return F.when(n.between(12, 19), _luhn(_digits(match))).otherwise(False)
 
 
-def _walk(text: Column, pattern: str, item, start) -> Column:
-    """Fold over the matches: ``item(match, start, gap after)`` gives an array that is appended."""
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    gaps = F.split(text, pattern, -1)
-    steps = F.arrays_zip(found.alias("m"), F.slice(gaps, F.lit(2), F.size(found)).alias("after"))
-    first = F.struct(F.length(gaps[0]).alias("at"), start.alias("out"))
+def _let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once, however often the body names it."""
+    return F.transform(F.array(value), body)[0]
 
-    def step(acc: Column, x: Column) -> Column:
-        m, after = x["m"], x["after"]
-        return F.struct(
-            (acc["at"] + F.length(m) + F.length(after)).alias("at"), F.concat(acc["out"], item(m, acc["at"], after)).alias("out")
-        )
 
-    return F.aggregate(steps, first, step, lambda acc: acc["out"])
+def _scan(values: Column, op) -> Column:
+    """``out``: ``op`` over all numbers before each one (0 for the first), and ``at``: over all of them.
 
+    Numbers are folded in blocks of about the root of their count, so that the
+    arrays that a fold copies in every step stay short.
+    """
+    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out"))
+
+    def fold(block: Column) -> Column:
+        return F.aggregate(block, start, lambda acc, v: F.struct(
+            op(acc["at"], v).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out")
+        ))
+
+    def blocks(v: Column) -> Column:
+        wide = F.greatest(F.lit(64), F.ceil(F.sqrt(F.size(v))).cast("int"))
+        return F.transform(F.sequence(F.lit(0), F.floor(F.size(v) / wide).cast("int")), lambda k: fold(F.slice(v, k * wide + 1, wide)))
+
+    def whole(parts: Column) -> Column:
+        return _let(fold(F.transform(parts, lambda x: x["at"])), lambda base: F.struct(
+            base["at"].alias("at"),
+            F.flatten(F.zip_with(parts, base["out"], lambda x, b: F.transform(x["out"], lambda v: op(v, b)))).alias("out"),
+        ))
+
+    return _let(values, lambda v: _let(blocks(v), whole))
 
-def kind_spans(text: Column, kind: str) -> Column:
-    """All spans of one kind, by start."""
-    none = F.array().cast(SPAN)
 
-    def item(m: Column, at: Column, after: Column) -> Column:
-        one = F.array(F.struct(F.lit(KINDS.index(kind)).alias("kind"), at.alias("s"), (at + F.length(m)).alias("e")))
-        return F.when(passes(kind, m), one).otherwise(none)
+def _matches(text: Column, pattern: str) -> Column:
+    """``array<struct<m, s>>``: every match and where it starts, the lengths of gaps and matches before it added up."""
+    both = F.struct(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("m"), F.split(text, pattern, -1).alias("gaps"))
 
-    return F.when(text.rlike(MAY_HOLD[kind]), _walk(text, PATTERN[kind], item, none)).otherwise(none)
+    def placed(x: Column) -> Column:
+        steps = F.zip_with(x["m"], F.slice(x["gaps"], F.lit(2), F.size(x["m"])), lambda m, after: F.length(m) + F.length(after))
+        starts = _scan(steps, lambda u, v: u + v)["out"]
+        return F.zip_with(x["m"], starts, lambda m, at: F.struct(m.alias("m"), (at + F.length(x["gaps"][0])).alias("s")))
+
+    return _let(both, placed)
+
+
+def kind_spans(text: Column, kind: str) -> Column:
+    """All spans of one kind, by start."""
+    kept = F.filter(_matches(text, PATTERN[kind]), lambda x: passes(kind, x["m"]))
+    spans = F.transform(kept, lambda x: F.struct(
+        F.lit(KINDS.index(kind)).alias("kind"), x["s"].alias("s"), (x["s"] + F.length(x["m"])).alias("e")
+    ))
+    return F.when(text.rlike(MAY_HOLD[kind]), spans).otherwise(F.array().cast(SPAN))
 
 
 def in_order(spans: Column) -> Column:
@@ -154,7 +181,7 @@ def occurrences(rows: DataFrame) -> DataFrame:
     none = F.array().cast("array<struct<s:int,value:string>>")
     found = F.when(
         text.rlike("[0-9@]"),
-        _walk(text, OCCURRENCE, lambda m, at, after: F.array(F.struct(at.alias("s"), m.alias("value"))), none),
+        F.transform(_matches(text, OCCURRENCE), lambda x: F.struct(x["s"].alias("s"), x["m"].alias("value"))),
     ).otherwise(none)
     words = F.transform(F.split(text, OCCURRENCE, -1), lambda g: F.filter(F.split(F.lower(g), r"\s+"), lambda w: w != ""))
     ends = F.transform(words, lambda w: F.struct(
@@ -287,28 +314,35 @@ def report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     )
 
 
+def without(text: Column, spans: Column) -> Column:
+    """The text with its spans (by start) replaced by their kinds; what overlaps an earlier span goes with it."""
+    names = F.array(*(F.lit(f"<{k}>") for k in KINDS))
+    # code points are looked up in pieces of a fixed length, so that no look-up walks the whole text
+    pieces = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0))
+
+    def part(x: Column, a: Column, b: Column) -> Column:
+        first = F.floor(a / PIECE).cast("int")
+        near = F.array_join(F.slice(x["pieces"], first + 1, F.floor(b / PIECE).cast("int") - first + 1), "")
+        return F.substring(near, a - first * PIECE + 1, b - a)
+
+    def joined(x: Column) -> Column:
+        ends = F.zip_with(x["spans"], x["ends"]["out"], lambda y, before: F.struct(y["kind"].alias("kind"), y["s"].alias("s"), before.alias("b")))
+        first = F.filter(ends, lambda y: y["s"] >= y["b"])
+        done = F.transform(first, lambda y: F.concat(part(x, y["b"], y["s"]), F.element_at(names, y["kind"] + 1)))
+        return F.concat(F.array_join(done, ""), part(x, x["ends"]["at"], x["n"]))
+
+    ends = _scan(F.transform(spans, lambda y: y["e"]), lambda u, v: F.greatest(u, v))
+    return _let(F.struct(spans.alias("spans"), ends.alias("ends"), pieces.alias("pieces"), F.length(text).alias("n")), joined)
+
+
 def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with every span replaced by its kind in angle brackets; overlapping spans by the first one's."""
     held = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc"))  # no name of the input can clash
     text = F.col("doc")[text_col]
-    names = F.array(*(F.lit(f"<{k}>") for k in KINDS))
-
-    def step(acc: Column, x: Column) -> Column:
-        new = F.concat(
-            acc["out"], F.substring(text, acc["at"] + 1, x["s"] - acc["at"]), F.element_at(names, x["kind"] + 1)
-        )
-        return F.struct(
-            F.greatest(acc["at"], x["e"]).alias("at"), F.when(x["s"] >= acc["at"], new).otherwise(acc["out"]).alias("out")
-        )
-
-    clean = F.aggregate(
-        "_spans", F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step,
-        lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))),
-    )
     same = F.col("doc")[id_col].eqNullSafe(F.col("_d")) & (F.xxhash64(F.coalesce(text, F.lit(""))) == F.col("_r"))
     joined = held.withColumn("_base", base_spans(F.coalesce(text, F.lit("")))).join(
         small_enough(added_spans(_rows(docs, id_col, text_col)), 1 << 16), same, "left"
     )
     spans = joined.withColumn("_spans", in_order(F.concat("_base", _free(F.col("_base"), F.col("added")))))
-    clear = F.when(F.size("_spans") > 0, clean).otherwise(text)
+    clear = F.when(F.size("_spans") > 0, without(text, F.col("_spans"))).otherwise(text)
     return spans.select(*((clear if c == text_col else F.col("doc")[c]).alias(c) for c in docs.columns))
