@@ -16,7 +16,9 @@ around its own texts), so that the labeller does not hang on one site's tags.
 
 Defined cases: null and empty pages, and pages without main text, give an
 empty text; unclosed tags end with their parent; scripts, styles and other raw
-elements reach to their own end tag, whatever is in them; the first tag or text
+elements reach to their own end tag, whatever is in them; buttons, drawings and other
+hidden elements without an end tag reach to the next paragraph, list, container or the like, or
+to the end of their parent; ``>`` in a quoted attribute value ends no tag; the first tag or text
 that cannot be in a head ends it; a page of any length is read whole; pages with equal content give equal texts; an empty table gives no rows;
 other columns are not read.
 """
@@ -47,11 +49,20 @@ OTHER_NAMES = (
     "nav", "header", "footer", "aside", "form", "menu", "ad", "ads", "advert", "sidebar", "cookie", "notice", "banner",
     "comments", "comment", "related", "share", "social", "promo", "breadcrumb", "subscribe", "newsletter", "widget",
 )
+# HTML elements that are never part of a control or a drawing; they end one without an end tag.
+FLOW = frozenset(
+    "address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer form "
+    "h1 h2 h3 h4 h5 h6 header hgroup hr li main menu nav ol p pre section summary table ul".split()
+)
+# Hidden elements that cannot hold themselves.
+UNNESTED = frozenset("select button noscript canvas".split())
+# Attributes up to the end of a tag, which is no sign inside a quoted value.
+ATTRIBUTES = r"""(?:[^>=]|=(?:\s*+(?:"[^"]*"|'[^']*'))?+)*+"""
 # The content of raw elements is no markup: it reaches to their own end tag.
 TOKENS = re.compile(
     r"<!--(?:-?>|.*?(?:--!?>|\Z))|<[!?][^>]*(?:>|\Z)"
-    r"|<(?P<raw>(?i:script|style|textarea|title|iframe))(?=[\s/>])[^>]*(?<!/)>.*?(?:</(?i:(?P=raw))(?=[\s/>])[^>]*(?:>|\Z)|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)|([^<]+|<)",
+    r"|<(?P<raw>(?i:script|style|textarea|title|iframe))(?=[\s/>])" + ATTRIBUTES + r"(?<!/)>.*?(?:</(?i:(?P=raw))(?=[\s/>])[^>]*(?:>|\Z)|\Z)"
+    r"|<(/?)([a-zA-Z][^\s/>]*)(" + ATTRIBUTES + r")(?:>|\Z)|([^<]+|<)",
     re.S,
 )
 NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
@@ -61,13 +72,32 @@ PATH_DIMS, WORD_DIMS, EXTRA = 48, 16, 7
 DIMS = PATH_DIMS + WORD_DIMS + EXTRA
 
 
+def hidden_ends(tokens) -> dict[int, int]:
+    """Position of the end tag of every hidden element that has one, by the position of its start tag."""
+    found: dict[int, int] = {}
+    opened: dict[str, list[int]] = {}
+    for k, m in enumerate(tokens):
+        name = (m.group(3) or "").lower()
+        if name not in HIDDEN:
+            continue
+        held = opened.setdefault(name, [])
+        if m.group(2):
+            if held:
+                found[held.pop()] = k
+        elif not m.group(4).rstrip().endswith("/"):
+            if name in UNNESTED:
+                held.clear()
+            held.append(k)
+    return found
+
+
 def leaf_blocks(page: str) -> list[tuple[tuple[str, ...], str, float]]:
     """``(tag path, text, share of characters in links)`` of every leaf block, in page order."""
     blocks: list[tuple[tuple[str, ...], str, float]] = []
     stack: list[tuple[str, tuple[str, ...]]] = []
     parts: list[str] = []
     linked, in_link, path = 0, 0, ()
-    hidden, in_head = None, False
+    hidden, in_head = False, False
 
     def close_block():
         nonlocal parts, linked
@@ -77,12 +107,20 @@ def leaf_blocks(page: str) -> list[tuple[tuple[str, ...], str, float]]:
                 blocks.append((path, text, min(1.0, linked / len(text))))
             parts, linked = [], 0
 
-    for m in TOKENS.finditer(page):
-        raw, end, tag, rest, text = m.groups()
-        if hidden:
-            if tag and end and tag.lower() == hidden:
-                hidden = None
+    tokens = list(TOKENS.finditer(page))
+    ends, after = hidden_ends(tokens), 0
+    for at, m in enumerate(tokens):
+        if at < after:
             continue
+        raw, end, tag, rest, text = m.groups()
+        if hidden:  # in an element without an end tag: up to flow content or the end of what it is in
+            name = (tag or "").lower()
+            if end:
+                hidden = not (name == "head" if in_head else any(name == held for held, _ in stack))
+            else:
+                hidden = name not in FLOW and name not in HIDDEN
+            if hidden:
+                continue
         if raw:
             close_block()
             in_link = 0
@@ -119,8 +157,10 @@ def leaf_blocks(page: str) -> list[tuple[tuple[str, ...], str, float]]:
         elif tag == "head":
             in_head = True
         elif tag in HIDDEN:
-            if not rest.rstrip().endswith("/"):
-                hidden = tag
+            if at in ends:
+                after = ends[at] + 1
+            else:
+                hidden = not rest.rstrip().endswith("/")
         elif tag not in VOID and not rest.rstrip().endswith("/"):
             if stack and stack[-1][0] == tag and tag in ("p", "li", "td", "tr", "dt", "dd", "option"):
                 stack.pop()
