@@ -174,6 +174,12 @@ def write_token_files(
     return manifest.withColumn("base", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)))
 
 
+def spread(files: DataFrame) -> DataFrame:
+    """The rows of a manifest over as many tasks as there are files, or four for each core of the cluster."""
+    cores = files.sparkSession.sparkContext.defaultParallelism
+    return files.repartition(max(1, min(files.count(), 4 * cores)), "file")  # by number: small rows would be coalesced into one task
+
+
 def read_token_files(manifest: DataFrame) -> DataFrame:
     """``doc_id, start, n_tokens, ids`` of every document, read back from the files of a manifest."""
 
@@ -202,7 +208,7 @@ def read_token_files(manifest: DataFrame) -> DataFrame:
                     if rows:
                         yield table(rows)
 
-    files = manifest.select("file", "base").repartition("file")
+    files = spread(manifest.select("file", "base"))
     return files.mapInArrow(run, "doc_id long, start long, n_tokens long, ids binary")
 
 
@@ -225,4 +231,4 @@ def fetch(spark: SparkSession, manifest: DataFrame, doc_ids: list[int]) -> DataF
                         [pa.array(doc, pa.int64()), pa.array(ids, pa.binary())], names=["doc_id", "ids"]
                     )
 
-    return manifest.select("file").repartition("file").mapInArrow(run, "doc_id long, ids binary")
+    return spread(manifest.select("file")).mapInArrow(run, "doc_id long, ids binary")
