@@ -172,6 +172,20 @@ def community_members(labels: DataFrame) -> DataFrame:
     )
 
 
+def community_invariants(edges: DataFrame, labels: DataFrame) -> DataFrame:
+    """``n_nodes, repeated, wrong_sizes, gains`` of a partition: nodes, rows beyond one a node, listed sizes that are not
+    the number of rows, and whether its modularity is at least that of all nodes in one community, which is 0."""
+    members = community_members(labels)
+    wrong = members.groupBy("community").agg(F.count(F.lit(1)).alias("k"), F.min("size").alias("lo"), F.max("size").alias("hi"))
+    got = modularity(edges, labels).agg(F.max("modularity")).scalar()
+    return members.agg(
+        F.count_distinct("node").alias("n_nodes"), (F.count(F.lit(1)) - F.count_distinct("node")).alias("repeated")
+    ).select(
+        "n_nodes", "repeated", wrong.agg(F.count_if((F.col("k") != F.col("lo")) | (F.col("k") != F.col("hi")))).scalar().alias("wrong_sizes"),
+        F.coalesce(got >= 0, F.lit(True)).alias("gains"),
+    )
+
+
 def positions_from_rows(df: DataFrame, doc_col: str, pos_col: str, author_col: str) -> DataFrame:
     """``(doc, pos, author, n)`` from one-row-per-author tables (``n`` = authors of the doc)."""
     p = df.select(

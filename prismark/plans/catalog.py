@@ -8,6 +8,7 @@ check cheap).
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -15,7 +16,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from prismark.functions.classify import classify_study_type, tag_populations
 from prismark.operators import biblio, dedup
 from prismark.plans import fixtures as fx
+from prismark.functions.fields import fallback_if_blank
 from prismark.plans.oracle_base import norm_title_sql, with_articles, with_merged
+from prismark.session import checkpoint_dir
+from prismark.sources.records import conform, read_or_empty
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -461,6 +465,33 @@ def screening_prompts(spark, sf_dir):
     return a.select("article_id", sc.screening_prompt(a, CRITERIA).alias("prompt"))
 
 
+_CSV_FIELDS = ["Source", "Title", "Abstract", "Authors", "Journal", "Year"]
+
+
+@register("records_round_trip", with_articles(
+    "select " + ", ".join(f"case when trim(c_{c}) = '' or lower(trim(c_{c})) = 'nan' then null else trim(c_{c}) end as {c}" for c in _CSV_FIELDS)
+    + " from (select " + ", ".join(f"cast({c} as varchar) as c_{c}" for c in _CSV_FIELDS) + " from articles)"
+))
+def records_round_trip(spark, sf_dir):
+    """Records written as CSV and read back, beside a source that is missing and one that was empty."""
+    folder = f"{checkpoint_dir(spark).rstrip('/')}/records-{uuid.uuid4().hex}"
+    a = fx.articles(spark, sf_dir).select(*_CSV_FIELDS)
+    ex.write_records(a, f"{folder}/found", "csv")
+    ex.write_records(a.limit(0), f"{folder}/empty", "csv")
+    parts = [conform(read_or_empty(spark, f"{folder}/{name}")) for name in ("found", "empty", "missing")]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).select(*_CSV_FIELDS)
+
+
+@register("fallback_links", with_records(
+    "select article_id, case when trim(DOI) <> '' then DOI else URL end as link, "
+    "case when trim(Abstract) <> '' then Abstract else Title end as summary from records"
+))
+def fallback_links(spark, sf_dir):
+    """The address where there is no identifier, the title where there is no abstract."""
+    r = fx.records(spark, sf_dir)
+    return r.select("article_id", fallback_if_blank("DOI", "URL").alias("link"), fallback_if_blank("Abstract", "Title").alias("summary"))
+
+
 @register("apply_decisions", with_articles(
     ", " + screened_select("articles") + ", " + DECIDED_CTE + " select article_id, Manual_Decision from decided"
 ))
@@ -693,6 +724,19 @@ def communities_top30(spark, sf_dir):
     return gr.community_members(gr.communities(gr.induced_subgraph(gr.coauthor_edges(p), top), top.select("author")))
 
 
+@register("community_invariants", (
+    "with pos as (select l_orderkey as doc, l_linenumber as pos, cast(l_suppkey as varchar) as author from lineitem) "
+    "select least(count(distinct author), 30) as n_nodes, cast(0 as bigint) as repeated, cast(0 as bigint) as wrong_sizes, "
+    "true as gains from pos"
+))
+def community_invariants(spark, sf_dir):
+    """N5, N7 held against what defines them: every node once, sizes as counted, modularity (N6) not below one community's."""
+    p = _positions(spark, sf_dir)
+    top = gr.top_nodes(gr.coauthor_nodes(p), 30)
+    edges = gr.induced_subgraph(gr.coauthor_edges(p), top)
+    return gr.community_invariants(edges, gr.communities(edges, top.select("author")))
+
+
 @register("coauthor_edges_articles", with_articles(
     ", pos as (select article_id as doc, p.pos as pos, p.author as author from articles, "
     "unnest(list_transform(list_filter(list_transform(string_split(Authors, ';'), lambda s: trim(s)), "
@@ -753,6 +797,15 @@ def kmeans_clusters(spark, sf_dir):
     return labelled.select("vec_id", "label", "cluster")
 
 
+@register("kmeans_invariants", "select count(*) as n, cast(10 as bigint) as clusters, cast(0 as bigint) as misplaced, "
+          "cast(0 as bigint) as off_centre from embeddings")
+def kmeans_invariants(spark, sf_dir):
+    """M4 held against what defines a fit: rows beside their nearest centroid (M7), and centroids beside the mean of their rows."""
+    e = fx.table(spark, sf_dir, "embeddings")
+    labelled, cents = cl.kmeans(e, "embedding", k=10, seed=42)
+    return cl.fit_invariants(labelled, "embedding", cents, "cluster", slack=0.01)
+
+
 @register("choose_k")
 def choose_k_q(spark, sf_dir):
     """M6: silhouette for k = 2..7 and the best k; rows-only check."""

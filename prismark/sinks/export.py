@@ -16,7 +16,7 @@ def write_records(df: DataFrame, path: str, fmt: str = "parquet", partition_by:
     """K1: write a table (folders created); an empty input writes nothing.
 
     Returns whether anything was written.  Output is a directory of files;
-    CSV gets a header and no byte-order mark.
+    CSV gets a header and no byte-order mark, and keeps white space around values.
     """
     if df.isEmpty():
         return False
@@ -24,7 +24,7 @@ def write_records(df: DataFrame, path: str, fmt: str = "parquet", partition_by:
     if partition_by:
         w = w.partitionBy(*partition_by)
     if fmt == "csv":
-        w.option("header", True).option("escape", '"').csv(path)
+        w.options(header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
     else:
         w.format(fmt).save(path)
     return True
