@@ -3,9 +3,10 @@
 Lower-cased texts are read as code points; ASCII signs other than letters
 count as spaces.  The 1-, 2- and 3-grams are hashed into ``buckets``; counts per
 language are summed by Spark and smoothed, and the matrix of log
-probabilities (languages x buckets) is broadcast.  A batch is scored by
-gathering and adding the rows of its n-grams in numpy; the score is the
-posterior of the best language under equal priors.
+probabilities (languages x buckets) is broadcast.  Texts are scored in batches,
+as a sparse matrix of bucket counts times the log probabilities, in numpy; the
+score is the posterior of the best language under equal priors.  ``fit`` refuses
+a table of more than ``most_languages`` languages, which bounds the matrix.
 
 Learning uses labelled rows that are not held out, about ``docs_per_language``
 of each language (a documented, bounded sample: rows are taken by a hash of
@@ -48,12 +49,15 @@ def gram_buckets(text: str, bits: int) -> np.ndarray:
 
 
 def fit(
-    docs: DataFrame, docs_per_language: int = 2000, bits: int = 15, smoothing: float = 0.5,
+    docs: DataFrame, docs_per_language: int = 2000, bits: int = 15, smoothing: float = 0.5, most_languages: int = 512,
     id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
 ) -> tuple[list[str], np.ndarray]:
     """Languages by name and their log probabilities (buckets x languages)."""
     rows = docs.where(~held_out(id_col) & F.col(lang_col).isNotNull())
-    counts = {r["lang"]: r["n"] for r in rows.groupBy(F.col(lang_col).alias("lang")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    found = rows.groupBy(F.col(lang_col).alias("lang")).agg(F.count(F.lit(1)).alias("n")).limit(most_languages + 1).collect()
+    if len(found) > most_languages:
+        raise ValueError(f"column {lang_col} holds more than {most_languages} languages")
+    counts = {r["lang"]: r["n"] for r in found}
     langs = sorted(counts)
     if not langs:
         return [], np.zeros((1 << bits, 0))
@@ -85,24 +89,63 @@ def fit(
     return langs, np.log(n) - np.log(n.sum(axis=0))
 
 
+def _grams(text: str, bits: int, piece: int = 1 << 16) -> tuple[np.ndarray, np.ndarray]:
+    """The different buckets of a text's n-grams and how often each occurs; a long text is read in pieces."""
+    text, total = text.lower(), np.zeros(1 << bits, np.int64)
+    for at in range(0, len(text), piece):
+        # the two characters before a piece begin n-grams of it; those that lie in them whole were counted with the piece before
+        back = min(at, 2)
+        total += np.bincount(gram_buckets(text[at - back : at + piece], bits), minlength=len(total))
+        if back:
+            total -= np.bincount(gram_buckets(text[at - back : at], bits), minlength=len(total))
+    used = np.flatnonzero(total)
+    return used, total[used]
+
+
+def sparse_batches(texts, bits: int, most: int = 1 << 18):
+    """Texts as sparse rows, some at a time: ``(row starts, buckets, counts)`` of at most about ``most`` entries."""
+    rows, size = [], 0
+    for text in texts:
+        rows.append(_grams(text, bits))
+        size += len(rows[-1][0])
+        if size >= most:
+            yield _stacked(rows)
+            rows, size = [], 0
+    if rows:
+        yield _stacked(rows)
+
+
+def _stacked(rows):
+    lengths = np.array([len(r[0]) for r in rows])
+    return np.concatenate(([0], np.cumsum(lengths)[:-1])), np.concatenate([r[0] for r in rows]), np.concatenate([r[1] for r in rows])
+
+
 def predict(texts, langs: list[str], log: np.ndarray) -> tuple[list[str], list[float], list[float]]:
-    """Language and posterior of every text, and by how many nats an n-gram it is less likely than text of its language."""
+    """Language and posterior of every text, and by how many nats an n-gram it is less likely than text of its language.
+
+    A batch is a sparse matrix (texts x buckets) times the log probabilities
+    (buckets x languages), one language at a time.
+    """
     bits = int(log.shape[0]).bit_length() - 1
     letter = re.compile(r"[^\W\d_]")
+    texts = list(texts)
+    pred, score, unlikely = [UNKNOWN] * len(texts), [0.0] * len(texts), [0.0] * len(texts)
+    known = [k for k, t in enumerate(texts) if t and langs and any(m.group().isalpha() for m in letter.finditer(t))]
+    if not known:
+        return pred, score, unlikely
     expected = (np.exp(log) * log).sum(axis=0)
-    pred, score, unlikely = [], [], []
-    for text in texts:
-        if not (text and langs and any(m.group().isalpha() for m in letter.finditer(text))):
-            pred.append(UNKNOWN)
-            score.append(0.0)
-            unlikely.append(0.0)
-            continue
-        grams = gram_buckets(text, bits)
-        sums = log.take(grams, axis=0).sum(axis=0)
-        best = int(np.argmax(sums))
-        pred.append(langs[best])
-        score.append(float(1 / np.exp(sums - sums[best]).sum()))
-        unlikely.append(float(expected[best] - sums[best] / len(grams)))
+    by_lang = np.ascontiguousarray(log.T)
+    at = 0
+    for starts, buckets, counts in sparse_batches((texts[k] for k in known), bits):
+        sums = np.stack([np.add.reduceat(row[buckets] * counts, starts) for row in by_lang], axis=1)
+        n = np.add.reduceat(counts, starts)
+        best = sums.argmax(axis=1)
+        top = sums[np.arange(len(best)), best]
+        share = 1 / np.exp(sums - top[:, None]).sum(axis=1)
+        apart = expected[best] - top / n
+        for k, b, p, u in zip(known[at:], best.tolist(), share.tolist(), apart.tolist()):
+            pred[k], score[k], unlikely[k] = langs[b], p, u
+        at += len(best)
     return pred, score, unlikely
 
 
@@ -124,7 +167,7 @@ def identify(
         import pyarrow as pa
 
         for batch in batches:
-            pred, score, _ = predict((t.as_py() for t in batch.column(2)), langs, weights.value)
+            pred, score, _ = predict(batch.column(2).to_pylist(), langs, weights.value)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).cast(arrow.field(0).type), batch.column(1), pa.array(pred, pa.string()), pa.array(score, pa.float64())],
                 names=arrow.names,
@@ -146,6 +189,9 @@ def keep_identified(
 ) -> DataFrame:
     """The rows of ``docs`` whose language is known with ``min_score`` or more, with all their columns.
 
+    If no language was learned (no labelled row outside the held-out ones), nothing
+    can be told apart and every row is kept.
+
     The posterior only compares the learned languages and is near 1 for any long
     text.  Noise and other languages are told by the likelihood: a text of n
     characters is dropped if it is less likely than text of its language by more
@@ -153,6 +199,8 @@ def keep_identified(
     one of signs if less than ``min_letters`` of it are letters.
     """
     langs, table = model
+    if not langs:
+        return docs
     weights = docs.sparkSession.sparkContext.broadcast(table)
     at = docs.columns.index(text_col)
 
