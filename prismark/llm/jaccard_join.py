@@ -32,7 +32,9 @@ Defined cases: null and empty texts have an empty set and are linked with
 nothing (their component is their own id); a text with fewer than n words is
 one n-gram; repeated rows are one class, and rows that share an id one
 document; rows without an id take part in links, their component is null if no
-linked row has an id; an empty table gives no rows; other columns are not read.
+linked row has an id (where ids are null or stand for several texts, all is joined
+by id and digest of the text first, and ids are put in at the end); an empty table
+gives no rows; other columns are not read.
 """
 
 from __future__ import annotations
@@ -416,6 +418,9 @@ def jaccard_components(
     """
     join = PartEnum(p, q, subs, skip, spare, weak)
     rows = stored(sketch(docs, n, None if lean else join, id_col, text_col), "join-sketch")
+    if not _one_text_an_id(rows):
+        discard(rows)
+        return _by_id_and_text(docs, n, p, q, subs, skip, spare, weak, id_col, text_col, lean)
     classes = stored(
         rows.where(F.col("key").isNotNull()).groupBy("node", "key").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("size"), F.first("cells").alias("cells")),
         "join-classes",
@@ -442,6 +447,37 @@ def jaccard_components(
     return answer.select("doc_id", "n_shingles", F.coalesce("component", own).alias("component_id"))
 
 
+def _one_text_an_id(rows: DataFrame) -> bool:
+    """Whether every row with a set has an id, and no id has two sets."""
+    held = rows.where(F.col("node").isNotNull()).groupBy("doc_id").agg(F.min("node").alias("lo"), F.max("node").alias("hi"))
+    return held.where(F.col("doc_id").isNull() | (F.col("lo") < F.col("hi"))).isEmpty()
+
+
+def _by_id_and_text(docs, n, p, q, subs, skip, spare, weak, id_col, text_col, lean) -> DataFrame:
+    """``jaccard_components`` where ids do not tell texts apart: rows that share an id hold together, null ids are no ids."""
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    name = F.when(F.col(id_col).isNull(), F.lit("none")).otherwise(F.concat(F.lit("id "), F.col(id_col).cast("string")))
+    rows = docs.select(
+        F.col(id_col).alias("doc_id"), F.concat(name, F.lit(" "), F.sha2(text.cast("binary"), 256)).alias("row"), text.alias("text")
+    )
+    joined = jaccard_components(rows, n, p, q, subs, skip, spare, weak, "row", "text", lean)
+    joined = joined.select(F.col("doc_id").alias("row"), "n_shingles", F.col("component_id").alias("part")).distinct()
+    placed = stored(rows.select("doc_id", "row").join(joined, "row").select("doc_id", "n_shingles", "part"), "join-placed")
+    held = placed.where(F.col("doc_id").isNotNull()).select("doc_id", "part").distinct()
+    first = held.groupBy("doc_id").agg(F.min("part").alias("a"))
+    same = connected(held.join(first, "doc_id").select("a", F.col("part").alias("b")).where("a <> b"))
+    whole = stored(
+        placed.join(same.withColumnRenamed("node", "part"), "part", "left")
+        .select("doc_id", "n_shingles", F.coalesce("component", "part").alias("part")), "join-whole",
+    )
+    least = whole.groupBy("part").agg(F.min("doc_id").alias("component_id"))
+    # rows without an id and without words are linked with nothing, other rows without an id with their component
+    alone = F.col("doc_id").isNull() & (F.col("n_shingles") == 0)
+    return whole.join(least, "part").select(
+        "doc_id", "n_shingles", F.when(~alone, F.col("component_id")).alias("component_id")
+    )
+
+
 def keep_one_of_each_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """``docs`` without the documents that link to one with a smaller id; rows without an id stay."""
     joined = jaccard_components(docs, id_col=id_col, text_col=text_col, **options)
