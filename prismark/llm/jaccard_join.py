@@ -45,7 +45,7 @@ import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
 from prismark.llm.components import connected
-from prismark.llm.runtime import discard, small_enough, stored
+from prismark.llm.runtime import discard, free_shuffles, small_enough, stored
 
 M1, M2, M3 = 0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB
 #: Cells of a sketch at least, a byte of hash each; doubled until there is one for three elements.
@@ -274,7 +274,7 @@ def sets_of(docs: DataFrame, wanted: DataFrame, n: int, id_col: str, text_col: s
     return rows.mapInArrow(run, f"rep {kind}, grams binary")
 
 
-def possible(pairs: DataFrame, cells: DataFrame, p: int, q: int) -> DataFrame:
+def possible(pairs: DataFrame, cells: DataFrame, p: int, q: int, most: int = BROADCAST_BYTES) -> DataFrame:
     """The pairs ``a, b`` whose sketches do not rule out a link; ``cells``: rep, size, cells."""
     left = cells.select(F.col("rep").alias("a"), F.col("size").alias("sa"), F.col("cells").alias("ca"))
     right = cells.select(F.col("rep").alias("b"), F.col("size").alias("sb"), F.col("cells").alias("cb"))
@@ -291,7 +291,7 @@ def possible(pairs: DataFrame, cells: DataFrame, p: int, q: int) -> DataFrame:
                 apart[k] = finer_distance(u, v)
         return pd.Series(apart)
 
-    if sketch_bytes(cells) <= BROADCAST_BYTES:
+    if sketch_bytes(cells) <= most:
         left, right = F.broadcast(left), F.broadcast(right)
     both = pairs.join(left, "a").join(right, "b")
     return both.where(differ("ca", "cb") * (q + p) <= (F.col("sa") + F.col("sb")) * (q - p)).select("a", "b")
@@ -301,7 +301,7 @@ def sketch_bytes(cells: DataFrame) -> int:
     return cells.agg(F.coalesce(F.sum(F.length("cells")), F.lit(0))).first()[0]
 
 
-def in_blocks(rows: DataFrame, cells: DataFrame, p: int, q: int, limit: int) -> DataFrame:
+def in_blocks(rows: DataFrame, cells: DataFrame, p: int, q: int, limit: int, most: int = BROADCAST_BYTES) -> DataFrame:
     """Pairs ``a, b`` under one signature, in different components, that sketches allow.
 
     ``rows``: sig, rep, component, component2 (the leader's), m (members of the
@@ -319,7 +319,7 @@ def in_blocks(rows: DataFrame, cells: DataFrame, p: int, q: int, limit: int) ->
     )
     member = base.select("sig", F.col("other").alias("i"), F.col("own").alias("j"), F.lit(1).alias("side"), "rep", "component")
     both, key = minor.unionByName(member), ("sig", "i", "j")
-    if sketch_bytes(cells) <= BROADCAST_BYTES:  # sketches are looked up where the rows have been dealt to
+    if sketch_bytes(cells) <= most:  # sketches are looked up where the rows have been dealt to
         both = both.repartition(*key).join(F.broadcast(cells), "rep")
     else:
         both = both.join(cells, "rep").repartition(*key)
@@ -413,8 +413,9 @@ def jaccard_components(
 
     ``lean`` trades time for disk where few texts are equal and the threshold is low:
     signatures are made anew for both passes over them instead of being stored, the
-    first pass counts them instead of comparing their sets, and the sets of candidates
-    are not stored either.  The result is the same.
+    first pass counts them instead of comparing their sets, the sets of candidates
+    are not stored either, and only a quarter as many sketches are broadcast.  The
+    result is the same.
     """
     join = PartEnum(p, q, subs, skip, spare, weak)
     rows = stored(sketch(docs, n, None if lean else join, id_col, text_col), "join-sketch")
@@ -425,9 +426,12 @@ def jaccard_components(
         rows.where(F.col("key").isNotNull()).groupBy("node", "key").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("size"), F.first("cells").alias("cells")),
         "join-classes",
     )
+    if lean:
+        free_shuffles(docs.sparkSession)
     signed = (sketch(docs, n, join, id_col, text_col) if lean else rows).select(F.explode("sigs").alias("sig"), "node")
     if lean:
-        shared = signed.groupBy("sig").agg(F.count(F.lit(1)).alias("held")).where("held > 1").select("sig")
+        shared = stored(signed.groupBy("sig").agg(F.count(F.lit(1)).alias("held")).where("held > 1").select("sig"), "join-shared")
+        free_shuffles(docs.sparkSession)  # the second pass needs the room of the first
     else:
         shared = signed.groupBy("sig").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi").select("sig")
     table = stored(
@@ -497,6 +501,7 @@ def _link(docs, table, classes, n, p, q, id_col, text_col, lean) -> DataFrame |
     )
     fits = (q * F.least("size", "size2") >= p * F.greatest("size", "size2"))
     labels, edges, tried, opened, limit = None, None, None, None, PROPOSALS
+    most = BROADCAST_BYTES // 4 if lean else BROADCAST_BYTES
     for turn in itertools.count():
         if labels is None:
             left = table.withColumn("component", F.col("rep"))
@@ -521,14 +526,14 @@ def _link(docs, table, classes, n, p, q, id_col, text_col, lean) -> DataFrame |
             if left.isEmpty():
                 return labels
         if blocks:
-            found = stored(in_blocks(left, cells, p, q, limit), "join-candidates")
+            found = stored(in_blocks(left, cells, p, q, limit, most), "join-candidates")
             held_back = not found.where("more").isEmpty()
             pairs = found.select("a", "b")
             limit *= 4
         else:
             pairs = left.where((F.col("component") != F.col("component2")) & fits)
             pairs = pairs.select(F.least("rep", "rep2").alias("a"), F.greatest("rep", "rep2").alias("b")).distinct()
-            pairs = found = stored(possible(pairs, cells, p, q), "join-candidates")
+            pairs = found = stored(possible(pairs, cells, p, q, most), "join-candidates")
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         ends = stored(pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct(), "join-ends")

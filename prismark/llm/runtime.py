@@ -57,6 +57,11 @@ def discard(*tables: DataFrame) -> None:
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def free_shuffles(spark: SparkSession) -> None:
+    """Have Spark delete the shuffle files of finished queries now: it does so when the driver's JVM collects their plans."""
+    spark.sparkContext._jvm.java.lang.System.gc()
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
