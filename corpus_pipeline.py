@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from prismark.llm import exact_dedup, jaccard_join, language_id, pii
 from prismark.llm.packing import pack
-from prismark.llm.runtime import read_table, stored
+from prismark.llm.runtime import free_shuffles, read_table, stored
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -60,4 +60,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        free_shuffles(spark)
     return STAGES[-1][1](spark, docs, sf_dir)
