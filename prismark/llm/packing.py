@@ -143,9 +143,9 @@ def pack(
         def stream():
             for batch in batches:
                 texts, keys = batch.column(1), batch.column(0).to_pylist()
-                for at in range(0, len(keys), 512):
-                    rows = encoder.encode(texts.slice(at, 512).to_pylist())
-                    for key, ids in zip(keys[at : at + 512], rows):
+                for at in range(0, len(keys), 2048):
+                    rows = encoder.encode(texts.slice(at, 2048).to_pylist())
+                    for key, ids in zip(keys[at : at + 2048], rows):
                         yield key, np.concatenate((ids, end))
 
         def table(rows):

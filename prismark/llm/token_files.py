@@ -150,13 +150,13 @@ def write_token_files(
         name = f"{folder}/{uuid.uuid4().hex}.tok.zst"
         for batch in batches:
             keys, texts = batch.column(0).to_pylist(), batch.column(1)
-            for at in range(0, len(keys), 512):
+            for at in range(0, len(keys), 2048):
                 if writer is None:
                     store, path = open_store(name)
                     store.create_dir(path.rpartition("/")[0], recursive=True)
                     sink = store.open_output_stream(path, compression=None)
                     writer = TokenFileWriter(sink, width)
-                for key, ids in zip(keys[at:], encoder.encode(texts.slice(at, 512).to_pylist())):
+                for key, ids in zip(keys[at:], encoder.encode(texts.slice(at, 2048).to_pylist())):
                     writer.add(key, np.concatenate((ids, end)))
                     tokens += len(ids) + 1
         if writer is not None:

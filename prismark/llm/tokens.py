@@ -6,8 +6,9 @@ run of letters, digits or other signs, and a lone line break is a match of its
 own.  A text without two neighbouring white-space characters can therefore be
 cut before every space and around every line break.  Pieces repeat, so a batch
 is dictionary-encoded with Arrow, only its different pieces are looked at in
-Python, and the ids are laid out with numpy.  Texts with neighbouring
-white-space characters are split by the pattern as a whole.
+Python, and the ids are laid out by Arrow.  Texts with neighbouring
+white-space characters are split by the pattern as a whole; texts that spell a
+special token of the vocabulary go to the library as a whole.
 """
 
 from __future__ import annotations
@@ -32,12 +33,16 @@ def white_space_pattern(pattern: str) -> str:
 
 
 class BatchEncoder:
-    """Texts to ids; ``encode_match`` gives the ids of one match of the split pattern."""
+    """Texts to ids; ``encode_match`` gives the ids of one match of the split pattern.
 
-    def __init__(self, encode_match, pattern: str, cache_matches: int = CACHE_MATCHES):
+    Texts that hold one of ``marks`` (tokens that the library looks for before it
+    splits) are given to ``encode_whole`` as they are.
+    """
+
+    def __init__(self, encode_match, pattern: str, cache_matches: int = CACHE_MATCHES, marks=(), encode_whole=None):
         import regex
 
-        self.encode_match = encode_match
+        self.encode_match, self.marks, self.encode_whole = encode_match, marks, encode_whole
         self.find = regex.compile(white_space_pattern(pattern)).findall
         self.cache_matches = cache_matches
         self.matches: dict[str, bytes] = {}
@@ -56,6 +61,10 @@ class BatchEncoder:
         known = self.matches
         if (one := known.get(text)) is not None:
             return one
+        if len(text) <= LONG_PIECE and text.lstrip(" ").isalpha() and text[1:2] != " ":  # one match
+            got = self.encode_match(text)
+            ids = known[text] = struct.pack(f"<{len(got)}I", *got)
+            return ids
         out = []
         for m in self._split(text):
             ids = known.get(m)
@@ -68,12 +77,17 @@ class BatchEncoder:
             known[text] = ids
         return ids
 
+    def _whole(self, text: str) -> bytes:
+        if any(m in text for m in self.marks):
+            return np.array(self.encode_whole(text), "<u4").tobytes()
+        return self.piece(text)
+
     def _plain(self, texts):
-        """Which texts have no two neighbouring white-space characters (never true for one that has)."""
+        """Which texts have no two neighbouring white-space characters and no mark (never true for one that has)."""
         import pyarrow.compute as pc
 
         odd = pc.match_substring_regex(texts, "[\\x{fffe}\\x{ffff}\\x00\\t\\x0b-\\r\\x1c-\\x1f\\x85\\xa0\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}]")
-        for two in ("  ", " \n", "\n ", "\n\n"):
+        for two in ("  ", " \n", "\n ", "\n\n", *self.marks):
             odd = pc.or_(odd, pc.match_substring(texts, two))
         return pc.invert(odd)
 
@@ -88,20 +102,22 @@ class BatchEncoder:
         pieces = pc.split_pattern(pc.if_else(plain, marked, pc.replace_substring(arr, "\0", "￾￿")), "\0")
         whole = {}
         for k in np.flatnonzero(~plain.to_numpy(zero_copy_only=False)).tolist():
-            whole[k] = self.piece(texts[k])
+            whole[k] = self._whole(texts[k])
         coded = pieces.flatten().dictionary_encode()
         codes = coded.indices.to_numpy()
         offsets = pieces.offsets.to_numpy()
-        skip = set() if not whole else set(codes[offsets[list(whole)]].tolist())
-        parts = [b"" if i in skip else self.piece(p) for i, p in enumerate(coded.dictionary.to_pylist())]
-        size = np.fromiter(map(len, parts), np.int64, len(parts)) // 4
-        base = np.frombuffer(b"".join(parts), "<u4")
-        lens = size[codes]
-        at = np.cumsum(lens) - lens
-        total = int(lens.sum())
-        start = np.cumsum(size) - size
-        ids = base[np.repeat(start[codes] - at, lens) + np.arange(total)]
-        ends = np.append(at, total)[offsets]
+        words = coded.dictionary.to_pylist()
+        parts = list(map(self.matches.get, words))
+        for i in () if not whole else set(codes[offsets[list(whole)]].tolist()):
+            parts[i] = b""
+        for i in [i for i, ids in enumerate(parts) if ids is None]:
+            parts[i] = self.piece(words[i])
+        bounds = np.zeros(len(parts) + 1, np.int64)
+        np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)) // 4, out=bounds[1:])
+        base = pa.LargeListArray.from_arrays(bounds, pa.array(np.frombuffer(b"".join(parts), "<u4")))
+        laid = base.take(coded.indices)
+        ids = laid.flatten().to_numpy()
+        ends = laid.offsets.to_numpy()[offsets]
         if whole:  # put the texts that stayed whole in their places
             rows = [ids[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
             for k, raw in whole.items():
@@ -151,6 +167,10 @@ def library_encoder(path: str, cache_matches: int = CACHE_MATCHES) -> BatchEncod
                 return [t.id for t in model.tokenize(text.replace(" ", space))]
             return [t.id for t in model.tokenize(text.encode().decode("latin-1").translate(letters))]
 
-        return BatchEncoder(encode_match, public_tokenizers.PATTERN, cache_matches)
+        marks = tuple(t.content for t in tokenizer.get_added_tokens_decoder().values())
+        return BatchEncoder(
+            encode_match, public_tokenizers.PATTERN, cache_matches, marks,
+            lambda text: tokenizer.encode(text, add_special_tokens=False).ids,
+        )
 
     return worker_cached(("library_encoder", path, cache_matches), build)

@@ -101,3 +101,16 @@ def test_nothing_learned_keeps_all_and_too_many_languages_are_refused(spark):
     dirty = df.withColumn("lang", F.concat(F.lit("l"), F.col("doc_id").cast("string")))
     with pytest.raises(ValueError):
         language_id.fit(dirty, most_languages=5)
+
+
+def test_texts_that_spell_a_special_token_are_encoded_as_the_library_does():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    from prismark.llm.tokens import library_encoder
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    mark = next(iter(Tokenizer.from_file(path).get_added_tokens_decoder().values())).content
+    texts = [mark, f"a {mark} b", f"a{mark}{mark}\n\nb  c", "a b", f"{mark[:-1]} x", " x", "  x", "x y"]
+    want = [Tokenizer.from_file(path).encode(t, add_special_tokens=False).ids for t in texts]
+    assert [ids.tolist() for ids in library_encoder(path).encode(texts)] == want
