@@ -255,7 +255,7 @@ def sketch(docs: DataFrame, n: int, join: PartEnum | None, id_col: str, text_col
 
 
 def sets_of(docs: DataFrame, wanted: DataFrame, n: int, id_col: str, text_col: str) -> DataFrame:
-    """``rep, grams`` (sorted 64-bit hashes as bytes) of the documents whose id is in ``wanted.rep``, one row an id."""
+    """``rep, grams`` (64-bit hashes, all different) of the documents whose id is in ``wanted.rep``, one row an id."""
     ids = small_enough(wanted.select(F.col("rep").alias("_id")))
     rows = docs.select(F.col(id_col).alias("rep"), F.col(text_col).alias("text"))
     rows = rows.join(ids, F.col("rep") == F.col("_id"), "left_semi")
@@ -268,10 +268,12 @@ def sets_of(docs: DataFrame, wanted: DataFrame, n: int, id_col: str, text_col: s
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                made = [gram_set(t.as_py(), n, powers).tobytes() for t in part.column(1)]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(made, pa.binary())], names=["rep", "grams"])
+                made = [gram_set(t.as_py(), n, powers).view(np.int64) for t in part.column(1)]
+                ends = np.concatenate(([0], np.cumsum([len(m) for m in made]))).astype(np.int32)
+                grams = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(made)))
+                yield pa.RecordBatch.from_arrays([part.column(0), grams], names=["rep", "grams"])
 
-    return rows.mapInArrow(run, f"rep {kind}, grams binary")
+    return rows.mapInArrow(run, f"rep {kind}, grams array<long>")
 
 
 def possible(pairs: DataFrame, cells: DataFrame, p: int, q: int, most: int = BROADCAST_BYTES) -> DataFrame:
@@ -391,18 +393,11 @@ def verified(pairs: DataFrame, sets: DataFrame, p: int, q: int) -> DataFrame:
     left = sets.select(F.col("rep").alias("a"), F.col("grams").alias("ga"))
     right = sets.select(F.col("rep").alias("b"), F.col("grams").alias("gb"))
 
-    @F.pandas_udf("boolean")
-    def similar(x, y):
-        import pandas as pd
-
-        out = []
-        for s, t in zip(x, y):
-            s, t = np.frombuffer(s, "<u8"), np.frombuffer(t, "<u8")
-            common = len(np.intersect1d(s, t, assume_unique=True))
-            out.append(q * common >= p * (len(s) + len(t) - common))
-        return pd.Series(out, dtype=bool)
-
-    return pairs.join(left, "a").join(right, "b").where(similar("ga", "gb")).select("a", "b")
+    # 64-bit hashes, so one row at a time in the JVM: batches of whole sets would take far more memory than one pair does
+    common = F.size(F.array_intersect("ga", "gb"))
+    total = F.size("ga") + F.size("gb")
+    enough = common.cast("long") * (q + p) >= total.cast("long") * p
+    return pairs.join(left, "a").join(right, "b").where(enough).select("a", "b")
 
 
 def jaccard_components(
