@@ -45,7 +45,7 @@ import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
 from prismark.llm.components import connected
-from prismark.llm.runtime import discard, free_shuffles, small_enough, stored
+from prismark.llm.runtime import discard, free_shuffles, small_enough, stored, tidy
 
 M1, M2, M3 = 0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB
 #: Cells of a sketch at least, a byte of hash each; doubled until there is one for three elements.
@@ -251,7 +251,7 @@ def sketch(docs: DataFrame, n: int, join: PartEnum | None, id_col: str, text_col
                     schema=arrow,
                 )
 
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, schema)
+    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(tidy(run), schema)
 
 
 def sets_of(docs: DataFrame, wanted: DataFrame, n: int, id_col: str, text_col: str) -> DataFrame:
@@ -273,7 +273,7 @@ def sets_of(docs: DataFrame, wanted: DataFrame, n: int, id_col: str, text_col: s
                 grams = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(made)))
                 yield pa.RecordBatch.from_arrays([part.column(0), grams], names=["rep", "grams"])
 
-    return rows.mapInArrow(run, f"rep {kind}, grams array<long>")
+    return rows.mapInArrow(tidy(run), f"rep {kind}, grams array<long>")
 
 
 def possible(pairs: DataFrame, cells: DataFrame, p: int, q: int, most: int = BROADCAST_BYTES) -> DataFrame:
@@ -383,7 +383,7 @@ def in_blocks(rows: DataFrame, cells: DataFrame, p: int, q: int, limit: int, mos
         if held:
             yield from candidates(held)
 
-    return both.sortWithinPartitions(*key, "side").mapInArrow(run, f"a {kind}, b {kind}, more boolean").groupBy("a", "b").agg(
+    return both.sortWithinPartitions(*key, "side").mapInArrow(tidy(run), f"a {kind}, b {kind}, more boolean").groupBy("a", "b").agg(
         F.max("more").alias("more")
     )
 

@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField, StructType
 
 from prismark.llm.quality_classifier import held_out
+from prismark.llm.runtime import tidy
 
 UNKNOWN = "und"
 MULTIPLIERS = (0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D)
@@ -82,7 +83,7 @@ def fit(
                 names=["k", "bucket", "n"],
             )
 
-    table = sample.mapInArrow(count, "k int, bucket int, n long").groupBy("k", "bucket").agg(F.sum("n").alias("n"))
+    table = sample.mapInArrow(tidy(count), "k int, bucket int, n long").groupBy("k", "bucket").agg(F.sum("n").alias("n"))
     n = np.full((1 << bits, len(langs)), smoothing)
     got = table.toPandas()  # languages x buckets rows at most
     n[got["bucket"].to_numpy(), got["k"].to_numpy()] += got["n"].to_numpy()
@@ -175,7 +176,7 @@ def identify(
 
     return docs.select(
         F.col(id_col).alias("doc_id"), held_out(id_col).alias("held_out"), F.col(text_col).alias("text")
-    ).mapInArrow(run, schema)
+    ).mapInArrow(tidy(run), schema)
 
 
 def letter_share(text: str) -> float:
@@ -215,4 +216,4 @@ def keep_identified(
             ]
             yield batch.filter(pa.array(keep, pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tidy(run), docs.schema)

@@ -25,6 +25,7 @@ from collections.abc import Iterator
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
+from prismark.llm.runtime import tidy
 from prismark.llm.tokens import library_encoder
 
 PIECES = (
@@ -174,4 +175,4 @@ def pack(
 
     id_kind = docs.schema[id_col].dataType
     schema = PIECES.format(id=id_kind.simpleString())
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, schema)
+    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(tidy(run), schema)

@@ -30,6 +30,20 @@ def worker_cached(key, build):
     return holder.values[key]
 
 
+def tidy(run):
+    """``run`` (batches to batches) that gives Arrow's unused memory back when it ends: a worker that waits for its next task would hold it."""
+
+    def tidied(batches):
+        import pyarrow as pa
+
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+
+    return tidied
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
     """A new folder name below the shared checkpoint folder of the session."""
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"

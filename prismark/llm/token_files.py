@@ -27,7 +27,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from prismark.llm.runtime import shared_path, stored
+from prismark.llm.runtime import shared_path, stored, tidy
 from prismark.llm.tokens import library_encoder
 
 # Fixed values of the public formats: skippable frames, seek table.
@@ -168,7 +168,7 @@ def write_token_files(
             )
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    made = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text").mapInArrow(run, MANIFEST)
+    made = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text").mapInArrow(tidy(run), MANIFEST)
     manifest = stored(made, "token-manifest")  # one row per file
     before = Window.orderBy(F.col("first_doc").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
     return manifest.withColumn("base", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)))
@@ -209,7 +209,7 @@ def read_token_files(manifest: DataFrame) -> DataFrame:
                         yield table(rows)
 
     files = spread(manifest.select("file", "base"))
-    return files.mapInArrow(run, "doc_id long, start long, n_tokens long, ids binary")
+    return files.mapInArrow(tidy(run), "doc_id long, start long, n_tokens long, ids binary")
 
 
 def fetch(spark: SparkSession, manifest: DataFrame, doc_ids: list[int]) -> DataFrame:
@@ -231,4 +231,4 @@ def fetch(spark: SparkSession, manifest: DataFrame, doc_ids: list[int]) -> DataF
                         [pa.array(doc, pa.int64()), pa.array(ids, pa.binary())], names=["doc_id", "ids"]
                     )
 
-    return spread(manifest.select("file")).mapInArrow(run, "doc_id long, ids binary")
+    return spread(manifest.select("file")).mapInArrow(tidy(run), "doc_id long, ids binary")
