@@ -12,8 +12,8 @@ signature: no link is lost.  ``spare`` adds first-level parts; a set may then le
 out its signatures of fewer than ``weak`` elements (which unrelated sets would
 share), as long as these lie in no more parts than were added.
 
-Candidates are first held against a sketch: a hash per cell of a fine partition of
-the hash space, which has more cells for larger sets.  Sets differ in at least one
+Candidates are first held against a sketch: two bits of hash per cell of a fine partition
+of the hash space, which has more cells for larger sets.  Sets differ in at least one
 element per cell with different hashes; pairs for which this is more than they may
 differ in cannot link, so this rejects no link.
 
@@ -48,8 +48,11 @@ from prismark.llm.components import connected
 from prismark.llm.runtime import discard, free_shuffles, small_enough, stored, tidy
 
 M1, M2, M3 = 0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB
-#: Cells of a sketch at least, a byte of hash each; doubled until there is one for three elements.
-CELLS = 512
+#: Cells of a sketch at least, two bits of hash each; doubled until there is one for two elements.
+CELLS = 256
+#: Of a byte of four cells: its cells, and how many of them are not 0.
+FOUR = (np.arange(256)[:, None] >> np.arange(0, 8, 2) & 3).astype(np.uint8)
+NOT_ZERO = np.count_nonzero(FOUR, axis=1).astype(np.uint8)
 #: Bytes of sketches that may be broadcast.
 BROADCAST_BYTES = 1 << 27
 #: Members of a signature in one block.
@@ -176,40 +179,51 @@ def set_key(grams: np.ndarray) -> bytes:
     return a.tobytes() + b.tobytes()
 
 
+def packed(cells: np.ndarray) -> np.ndarray:
+    """Four cells to a byte."""
+    four = (cells & 3).reshape(-1, 4)
+    return (four << np.arange(0, 8, 2, dtype=np.uint8)).sum(axis=1, dtype=np.uint8)
+
+
 def cell_hashes(grams: np.ndarray) -> bytes:
-    """A byte of hash for each cell of the hash space; the cells are a power of two times ``CELLS``."""
+    """Two bits of hash for each cell of the hash space; the cells are a power of two times ``CELLS``."""
     cells = CELLS
-    while 3 * cells < len(grams):
+    while 2 * cells < len(grams):
         cells *= 2
     with np.errstate(over="ignore"):
         h = mix(grams ^ np.uint64(M1))
     cell = ((h >> np.uint64(32)) * np.uint64(cells) >> np.uint64(32)).astype(np.int64)
-    sums = np.bincount(cell, (h & np.uint64(0xFF)).astype(np.float64), cells).astype(np.uint64) & np.uint64(0xFF)
-    return sums.astype(np.uint8).tobytes()
+    sums = np.bincount(cell, (h & np.uint64(3)).astype(np.float64), cells)
+    return packed((sums.astype(np.int64) & 3).astype(np.uint8)).tobytes()
 
 
-def folded(sketch: bytes, cells: int) -> np.ndarray:
-    """The sketch over fewer cells: hashes of neighbouring cells add up."""
-    return np.frombuffer(sketch, np.uint8).reshape(cells, -1).sum(axis=1, dtype=np.uint8)
+def folded(sketch: bytes, size: int) -> np.ndarray:
+    """The sketch in ``size`` bytes: hashes of neighbouring cells add up."""
+    held = np.frombuffer(sketch, np.uint8)
+    return held if len(held) == size else packed(FOUR[held].reshape(4 * size, -1).sum(axis=1, dtype=np.uint8))
 
 
-def coarse(sketches) -> np.ndarray:
-    """Sketches as rows of ``CELLS`` cells."""
-    out = np.empty((len(sketches), CELLS), np.uint8)
+def coarse(sketches, size: int = CELLS // 4) -> np.ndarray:
+    """Sketches as rows of ``size`` bytes."""
+    out = np.empty((len(sketches), size), np.uint8)
     for k, s in enumerate(sketches):
-        out[k] = np.frombuffer(s, np.uint8) if len(s) == CELLS else folded(s, CELLS)
+        out[k] = folded(s, size)
     return out
 
 
 def least_distance(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     """A lower bound of the elements in which sets differ, from rows of sketches."""
-    return np.count_nonzero(x != y, axis=-1)
+    return NOT_ZERO[x ^ y].sum(axis=-1, dtype=np.int64)
 
 
-def finer_distance(x: bytes, y: bytes) -> int:
-    """The same bound from two whole sketches, over as many cells as both have."""
-    cells = min(len(x), len(y))
-    return int(least_distance(folded(x, cells), folded(y, cells)))
+def finest_distance(x, y) -> np.ndarray:
+    """The same bound for pairs of whole sketches, over as many cells as both have."""
+    size = np.minimum(np.fromiter(map(len, x), np.int64, len(x)), np.fromiter(map(len, y), np.int64, len(y)))
+    out = np.zeros(len(size), np.int64)
+    for n in np.unique(size).tolist():
+        rows = np.flatnonzero(size == n).tolist()
+        out[rows] = least_distance(coarse([x[k] for k in rows], n), coarse([y[k] for k in rows], n))
+    return out
 
 
 def sketch(docs: DataFrame, n: int, join: PartEnum | None, id_col: str, text_col: str) -> DataFrame:
@@ -287,11 +301,7 @@ def possible(pairs: DataFrame, cells: DataFrame, p: int, q: int, most: int = BRO
 
         if not len(x):
             return pd.Series([], dtype="int64")
-        apart = least_distance(coarse(x), coarse(y))
-        for k, (u, v) in enumerate(zip(x, y)):
-            if len(u) > CELLS and len(v) > CELLS:
-                apart[k] = finer_distance(u, v)
-        return pd.Series(apart)
+        return pd.Series(finest_distance(list(x), list(y)))
 
     if sketch_bytes(cells) <= most:
         left, right = F.broadcast(left), F.broadcast(right)
@@ -340,7 +350,8 @@ def in_blocks(rows: DataFrame, cells: DataFrame, p: int, q: int, limit: int, mos
             rep, comp = np.array(t.column("rep").to_pylist(), object), np.array(t.column("component").to_pylist(), object)
             size = t.column("size").to_numpy()
             whole = t.column("cells").to_pylist()
-            sketch, fine = coarse(whole), np.fromiter(map(len, whole), np.int64, len(whole)) > CELLS
+            sketch = coarse(whole)
+            fine = np.fromiter(map(len, whole), np.int64, len(whole)) > sketch.shape[1]
             _, comp = np.unique(comp.astype(str), return_inverse=True)
             kind = t.schema.field("rep").type
             for at in range(0, n0, 32):
@@ -349,8 +360,9 @@ def in_blocks(rows: DataFrame, cells: DataFrame, p: int, q: int, limit: int, mos
                 apart = least_distance(sketch[at:to, None], sketch[None, n0:])
                 ok = (apart * (q + p) <= sums * (q - p)) & (comp[at:to, None] != comp[None, n0:])
                 x, y = np.nonzero(ok)
-                for k in np.flatnonzero(fine[at + x] & fine[n0 + y]).tolist():
-                    apart[x[k], y[k]] = finer_distance(whole[at + x[k]], whole[n0 + y[k]])
+                both_fine = np.flatnonzero(fine[at + x] & fine[n0 + y])
+                u, v = x[both_fine], y[both_fine]
+                apart[u, v] = finest_distance([whole[at + k] for k in u.tolist()], [whole[n0 + k] for k in v.tolist()])
                 ok = apart[x, y] * (q + p) <= sums[x, y] * (q - p)
                 x, y = x[ok], y[ok]
                 if len(x):

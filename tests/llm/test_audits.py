@@ -237,9 +237,9 @@ def test_sketches_bound_the_distance_at_every_size():
         apart = len(np.setxor1d(x, y))
         a, b = jj.cell_hashes(x), jj.cell_hashes(y)
         rough = int(jj.least_distance(jj.coarse([a]), jj.coarse([b]))[0])
-        assert rough <= jj.finer_distance(a, b) <= apart
+        assert rough <= jj.finest_distance([a], [b])[0] <= apart
         if size > 1500:
-            assert jj.finer_distance(a, b) > min(apart, len(x)) // 4
+            assert jj.finest_distance([a], [b])[0] > min(apart, len(x)) // 4
 
 
 # --- operators 1 to 3: texts that stand for themselves ------------------------------------------
