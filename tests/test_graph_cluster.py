@@ -167,6 +167,27 @@ def test_knn_matches_brute_force_with_duplicates(spark):
         assert res == want
 
 
+def test_knn_of_a_grid_in_many_tiles(spark):
+    from prismark.operators import neighbors as nbr
+
+    rows = [(10 * x + y, [float(x), float(y), 0.0]) for x in range(10) for y in range(9)]  # ties everywhere
+    df = spark.createDataFrame(rows + [(None, [0.0, 0.0, 0.0]), (777, None)], "id long, v array<double>")
+    for block in (16, 1 << 16):
+        res = {}
+        for r in nbr.knn(df, "id", "v", k=6, block=block).collect():
+            res.setdefault(r.id, []).append((r["rank"], r.neighbor))
+        assert {i: [n for _, n in sorted(v)] for i, v in res.items()} == _brute_knn(rows, 6, False)
+
+
+def test_knn_of_copies_only_and_vectors_are_shipped_a_fixed_number_of_times(spark):
+    from prismark.operators import neighbors as nbr
+
+    df = spark.createDataFrame([(i, [1.0, 2.0]) for i in range(4)], "id long, v array<double>")
+    got = sorted((r.id, r.neighbor, r["rank"]) for r in nbr.knn(df, "id", "v", k=2).collect())
+    assert got == [(0, 1, 1), (0, 2, 2), (1, 0, 1), (1, 2, 2), (2, 0, 1), (2, 1, 2), (3, 0, 1), (3, 1, 2)]
+    assert {nbr.blocks_of(n) for n in (20_000, 120_000, 500_000)} == {8}
+
+
 def test_density_clusters_two_blobs(spark):
     import random
 
