@@ -122,3 +122,23 @@ def test_populations(spark):
     assert one(spark, tag_populations("x"), None) == []
     assert one(spark, tag_populations("x"), "nothing") == ["Unspecified"]
     assert one(spark, tag_populations("x"), "stroke after tbi") == ["Stroke", "TBI"]
+
+
+def test_tfidf_shuffles_only_terms_that_can_be_chosen(spark):
+    from pyspark.sql import functions as F
+
+    from prismark.operators import features as ft
+
+    rows = [(k % 50 if k % 9 else None, f"alpha beta gamma gamma word{chr(97 + k % 7)}x once{chr(97 + k % 26)}{chr(97 + k // 26)}y beta alpha") for k in range(70)]
+    docs = spark.createDataFrame([*rows, (900, None), (901, "beta gamma")], "id long, text string")
+    n = docs.count()
+    terms = ft.doc_terms(docs, "id", "text", ["gamma"])
+    for size, top in ((3, 0.99), (4, 0.99), (200, 0.8)):  # with 200 not enough words qualify, so nothing is ruled out
+        weights, vocab, _ = ft.tfidf(docs, "id", "text", ["gamma"], max_features=size, min_df=2, max_df=top)
+        want = ft.vocabulary(terms, F.lit(n), size, 2, top)
+        assert sorted(map(tuple, vocab.collect())) == sorted(map(tuple, want.collect()))
+        got = sorted((r.doc or -1, r.term) for r in weights.collect())
+        held = terms.join(want.select("term"), "term").select("doc", "term")
+        assert got == sorted((r.doc or -1, r.term) for r in held.collect())
+    chosen, _ = ft.capped_terms(docs, "id", "text", ["gamma"], F.lit(n), 3, 2, 0.99, (1, 3))
+    assert chosen.select("term").distinct().count() == 3 < terms.select("term").distinct().count()
