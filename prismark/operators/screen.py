@@ -8,9 +8,8 @@ is a column expression or a join.  A user's scorer is any Python callable
 from __future__ import annotations
 
 import json
-from collections.abc import Callable, Iterator, Mapping
+from collections.abc import Callable, Mapping
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from prismark.functions.text import py_strip
@@ -91,6 +90,10 @@ def screening_prompt(df: DataFrame, criteria: str, title_col: str = "Title", abs
     return F.concat(F.lit(head), t, F.lit(mid), a, F.lit(tail))
 
 
+#: Prompts that are Python objects at a time.
+SCORED_ROWS = 256
+
+
 def score_with(
     df: DataFrame,
     scorer: Callable[[str], str],
@@ -98,7 +101,7 @@ def score_with(
     out_col: str = "raw_verdict",
     partitions: int | None = None,
 ) -> DataFrame:
-    """Apply a user scorer to every prompt in Arrow batches (``mapInPandas``).
+    """Apply a user scorer to every prompt, a few at a time from Arrow batches (``mapInArrow``).
 
     ``partitions`` bounds how many scorer calls run at once (rate limit).  A call
     that raises gives its row a verdict of exclusion with the error as the reason;
@@ -116,12 +119,16 @@ def score_with(
         except Exception as error:  # whatever a user's scorer raises belongs to this row
             return json.dumps({"included": False, "reason": f"{SCORER_ERROR}: {error}"})
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            pdf[out_col] = [verdict(p) for p in pdf[prompt_col]]
-            yield pdf
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            for at in range(0, batch.num_rows, SCORED_ROWS):
+                part = batch.slice(at, SCORED_ROWS)
+                verdicts = pa.array([verdict(p) for p in part.column(prompt_col).to_pylist()], pa.string())
+                yield pa.RecordBatch.from_arrays([*part.columns, verdicts], [*part.schema.names, out_col])
 
-    return src.mapInPandas(run, schema)
+    return src.mapInArrow(run, schema)
 
 
 def parse_verdict(raw: Column | str) -> Column:
