@@ -11,7 +11,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from prismark.functions.text import ENDS_WORD, STARTS_WORD, tokenize
+from prismark.functions.text import ENDS_WORD, STARTS_WORD, TOKEN_PATTERN, tokenize
+from prismark.session import written
 
 
 def lemmatize(docs: DataFrame, id_col: str, text_col: str, lexicon: DataFrame, out_col: str = "lemmatized") -> DataFrame:
@@ -22,8 +23,9 @@ def lemmatize(docs: DataFrame, id_col: str, text_col: str, lexicon: DataFrame, o
     looked = toks.join(lex, "_tok", "left").select("_id", "_p", F.coalesce("_lem", "_tok").alias("_w"))
     grouped = looked.groupBy("_id").agg(F.sort_array(F.collect_list(F.struct("_p", "_w"))).alias("_ws"))
     out = grouped.select(F.col("_id").alias(id_col), F.array_join(F.transform("_ws", lambda s: s["_w"]), " ").alias(out_col))
-    # documents with no token at all still get a row (empty text)
-    empty = docs.select(F.col(id_col)).join(out.select(id_col), id_col, "left_anti").withColumn(out_col, F.lit(""))
+    # documents with no token at all still get a row (empty text); a first token tells, none is looked up again
+    held = docs.where(F.coalesce(F.col(text_col), F.lit("")).rlike(TOKEN_PATTERN)).select(id_col).distinct()
+    empty = docs.select(F.col(id_col)).join(held, id_col, "left_anti").withColumn(out_col, F.lit(""))
     return out.unionByName(empty)
 
 
@@ -31,6 +33,7 @@ def plural_lexicon(docs: DataFrame, text_col: str) -> DataFrame:
     """A lexicon derived from a corpus: ``xs -> x`` for lower-case words whose stem also occurs."""
     words = docs.select(F.explode(F.regexp_extract_all(F.coalesce(F.col(text_col), F.lit("")),
                                                        F.lit(f"{STARTS_WORD}[a-z]++{ENDS_WORD}"), 0)).alias("w")).distinct()
+    words = written(words)  # different words only; the corpus is read once for both sides of the join
     plural = words.where((F.length("w") > 3) & F.col("w").endswith("s")).select(
         F.col("w").alias("token"), F.expr("substring(w, 1, length(w) - 1)").alias("lemma"))
     return plural.join(words.select(F.col("w").alias("lemma")), "lemma", "left_semi")

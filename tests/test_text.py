@@ -142,3 +142,14 @@ def test_tfidf_shuffles_only_terms_that_can_be_chosen(spark):
         assert got == sorted((r.doc or -1, r.term) for r in held.collect())
     chosen, _ = ft.capped_terms(docs, "id", "text", ["gamma"], F.lit(n), 3, 2, 0.99, (1, 3))
     assert chosen.select("term").distinct().count() == 3 < terms.select("term").distinct().count()
+
+
+def test_lemmatize_tokenises_the_corpus_once_for_the_empty_documents(spark):
+    from prismark.operators import lemma as lm
+
+    rows = [(1, "cats cat, Dogs"), (2, None), (2, " "), (3, "\t"), (4, "dogs"), (4, "")]
+    docs = spark.createDataFrame(rows, "id long, text string")
+    out = lm.lemmatize(docs, "id", "text", lm.plural_lexicon(docs, "text"))
+    assert sorted(map(tuple, out.collect())) == [(1, "cat cat , Dogs"), (2, ""), (2, ""), (3, ""), (4, "dogs")]
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract_all") <= 2  # one explode, and its own non-empty check
