@@ -90,3 +90,12 @@ def test_a_scorer_that_raises_excludes_its_row_only(spark):
     scored = sc.score_with(df, scorer)
     got = {r.id: tuple(r.v) for r in scored.where("id < 3").select("id", sc.parse_verdict("raw_verdict").alias("v")).collect()}
     assert got == {1: (True, "ok"), 2: (False, 'LLM Connection Error: no "reply"')}
+
+
+def test_scoring_leaves_long_ids_beside_null_ones_as_they_are(spark):
+    from prismark.operators import screen as sc
+
+    rows = [(2**53 + 1, "stroke"), (None, None), *((k, "x") for k in range(600))]
+    df = spark.createDataFrame(rows, "id long, prompt string").coalesce(1)
+    got = {r.id: r.raw_verdict for r in sc.score_with(df, str.upper).collect()}
+    assert got == {2**53 + 1: "STROKE", None: None} | {k: "X" for k in range(600)}

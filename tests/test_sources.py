@@ -129,3 +129,13 @@ def test_pubmed_xml_file(spark, tmp_path):
     assert r.URL == "https://pubmed.ncbi.nlm.nih.gov/123/"
     assert r.Abstract == "First. Second."
     assert r.Title == "A bold title"  # T12: inline markup kept as text, then tags stripped
+
+
+def test_result_pages_beyond_one_slice_and_without_an_id(spark):
+    from prismark.sources import scholar
+
+    div = '<div class="gs_r gs_or gs_scl"><h3 class="gs_rt">t{}</h3></div>'
+    rows = [(k, div.format(k) * 2) for k in range(150)] + [(None, div.format("n")), (900, None)]
+    pages = spark.createDataFrame(rows, "page_id long, html string").coalesce(1)
+    got = {(r.page_id, r.pos, r.title) for r in scholar.extract_search_results(pages).collect()}
+    assert got == {(k, p, f"t{k}") for k in range(150) for p in range(2)} | {(None, 0, "tn")}
