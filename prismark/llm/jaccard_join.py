@@ -12,10 +12,16 @@ signature: no link is lost.  ``spare`` adds first-level parts; a set may then le
 out its signatures of fewer than ``weak`` elements (which unrelated sets would
 share), as long as these lie in no more parts than were added.
 
-Candidates are first held against a sketch: two bits of hash per cell of a fine partition
-of the hash space, which has more cells for larger sets.  Sets differ in at least one
-element per cell with different hashes; pairs for which this is more than they may
-differ in cannot link, so this rejects no link.
+An element that only one class holds is in no intersection.  So a class of which more than
+1 - p / q of the elements are its own links to nothing; most texts go this way, by a
+part of the hash space that is wide enough for it.  Of the others the elements that none
+of them shares are counted exactly and taken out of the set: what is left (``rest``) has the same
+intersections, and two sets differ in their own elements besides what their rests differ in.
+
+Candidates are first held against a sketch: a byte of hash per cell of a fine partition
+of the hash space, which has more cells for larger sets.  Rests differ in at least one
+element per cell with different hashes; pairs for which this and their own elements are more
+than they may differ in cannot link, so this rejects no link.
 
 Equal sets are one class; only classes are joined.  Of the sets that share a
 signature each is first compared with one leader, which joins groups of
@@ -48,11 +54,10 @@ from prismark.llm.components import connected
 from prismark.llm.runtime import discard, free_shuffles, small_enough, stored, tidy
 
 M1, M2, M3 = 0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB
-#: Cells of a sketch at least, two bits of hash each; doubled until there is one for two elements.
+#: Cells of a sketch at least, a byte of hash each; doubled until there is one for two elements.
 CELLS = 256
-#: Of a byte of four cells: its cells, and how many of them are not 0.
-FOUR = (np.arange(256)[:, None] >> np.arange(0, 8, 2) & 3).astype(np.uint8)
-NOT_ZERO = np.count_nonzero(FOUR, axis=1).astype(np.uint8)
+#: The part of the hash space that is searched for elements of one class only, in units of 1 - p / q.
+SAMPLE = 2.25
 #: Bytes of sketches that may be broadcast.
 BROADCAST_BYTES = 1 << 27
 #: Members of a signature in one block.
@@ -136,11 +141,11 @@ class PartEnum:
             self.tops.append(max(low, int(low * self.growth), low * self.q // self.p))
         return int(np.searchsorted(self.tops, size))
 
-    def signatures(self, grams: np.ndarray) -> np.ndarray:
-        """All signatures of a set, as signed 64-bit numbers."""
+    def signatures(self, grams: np.ndarray, size: int | None = None) -> np.ndarray:
+        """All signatures of a set, as signed 64-bit numbers; of ``size`` elements, if ``grams`` are but those that others hold."""
         if not len(grams):
             return np.zeros(0, np.int64)
-        size = len(grams)
+        size = size or len(grams)
         band = self.band(size)
         bands = [band]
         if size * self.q >= self.p * (self.tops[band] + 1):
@@ -179,31 +184,25 @@ def set_key(grams: np.ndarray) -> bytes:
     return a.tobytes() + b.tobytes()
 
 
-def packed(cells: np.ndarray) -> np.ndarray:
-    """Four cells to a byte."""
-    four = (cells & 3).reshape(-1, 4)
-    return (four << np.arange(0, 8, 2, dtype=np.uint8)).sum(axis=1, dtype=np.uint8)
-
-
 def cell_hashes(grams: np.ndarray) -> bytes:
-    """Two bits of hash for each cell of the hash space; the cells are a power of two times ``CELLS``."""
+    """A byte of hash for each cell of the hash space; the cells are a power of two times ``CELLS``."""
     cells = CELLS
     while 2 * cells < len(grams):
         cells *= 2
     with np.errstate(over="ignore"):
         h = mix(grams ^ np.uint64(M1))
     cell = ((h >> np.uint64(32)) * np.uint64(cells) >> np.uint64(32)).astype(np.int64)
-    sums = np.bincount(cell, (h & np.uint64(3)).astype(np.float64), cells)
-    return packed((sums.astype(np.int64) & 3).astype(np.uint8)).tobytes()
+    sums = np.bincount(cell, (h & np.uint64(255)).astype(np.float64), cells)
+    return (sums.astype(np.int64) & 255).astype(np.uint8).tobytes()
 
 
 def folded(sketch: bytes, size: int) -> np.ndarray:
-    """The sketch in ``size`` bytes: hashes of neighbouring cells add up."""
+    """The sketch in ``size`` cells: hashes of neighbouring cells add up."""
     held = np.frombuffer(sketch, np.uint8)
-    return held if len(held) == size else packed(FOUR[held].reshape(4 * size, -1).sum(axis=1, dtype=np.uint8))
+    return held if len(held) == size else held.reshape(size, -1).sum(axis=1, dtype=np.uint8)
 
 
-def coarse(sketches, size: int = CELLS // 4) -> np.ndarray:
+def coarse(sketches, size: int = CELLS) -> np.ndarray:
     """Sketches as rows of ``size`` bytes."""
     out = np.empty((len(sketches), size), np.uint8)
     for k, s in enumerate(sketches):
@@ -213,7 +212,7 @@ def coarse(sketches, size: int = CELLS // 4) -> np.ndarray:
 
 def least_distance(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     """A lower bound of the elements in which sets differ, from rows of sketches."""
-    return NOT_ZERO[x ^ y].sum(axis=-1, dtype=np.int64)
+    return np.count_nonzero(x != y, axis=-1)
 
 
 def finest_distance(x, y) -> np.ndarray:
@@ -226,17 +225,23 @@ def finest_distance(x, y) -> np.ndarray:
     return out
 
 
-def sketch(docs: DataFrame, n: int, join: PartEnum | None, id_col: str, text_col: str) -> DataFrame:
-    """``doc_id, n_shingles, key, node, cells, sigs`` of every row: size, set key (null: empty), its first half, sketch, signatures (none without ``join``)."""
-    from pyspark.sql.pandas.types import to_arrow_schema
-    from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField, StructType
+def _lists(values: list):
+    """Arrays of 64-bit numbers as one Arrow array of lists."""
+    import pyarrow as pa
+
+    ends = np.concatenate(([0], np.cumsum([len(v) for v in values]))).astype(np.int32)
+    flat = np.concatenate(values) if values else np.zeros(0, np.int64)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat.view(np.int64)))
 
-    kind = docs.schema[id_col].dataType
-    schema = StructType([
-        StructField("doc_id", kind), StructField("n_shingles", LongType()), StructField("key", BinaryType()),
-        StructField("node", LongType()), StructField("cells", BinaryType()), StructField("sigs", ArrayType(LongType(), False)),
-    ])
-    arrow = to_arrow_schema(schema)
+
+def _node(key: bytes) -> int:
+    return int.from_bytes(key[:8], "little", signed=True)
+
+
+def sketch(docs: DataFrame, n: int, share: float, id_col: str, text_col: str) -> DataFrame:
+    """``doc_id, n_shingles, key, node, sample`` of every row: size, set key (null: empty), its first half, the elements in the first ``share`` of the hash space."""
+    kind = docs.schema[id_col].dataType.simpleString()
+    top = np.uint64(min(int(share * 2.0**64), 2**64 - 1))
 
     def run(batches):
         import pyarrow as pa
@@ -245,31 +250,33 @@ def sketch(docs: DataFrame, n: int, join: PartEnum | None, id_col: str, text_col
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
-                size, key, node, cells, sigs = [], [], [], [], []
+                size, key, sample = [], [], []
                 for text in part.column(1):
                     grams = gram_set(text.as_py(), n, powers)
-                    k = set_key(grams) if len(grams) else None
                     size.append(len(grams))
-                    key.append(k)
-                    node.append(k and int.from_bytes(k[:8], "little", signed=True))
-                    cells.append(cell_hashes(grams) if k else None)
-                    sigs.append(join.signatures(grams) if join else np.zeros(0, np.int64))
-                offsets = np.concatenate(([0], np.cumsum([len(s) for s in sigs]))).astype(np.int32)
-                flat = np.concatenate(sigs) if sigs else np.zeros(0, np.int64)
+                    key.append(set_key(grams) if len(grams) else None)
+                    sample.append(grams[: np.searchsorted(grams, top, "right")])
                 yield pa.RecordBatch.from_arrays(
                     [
-                        part.column(0).cast(arrow.field(0).type), pa.array(size, pa.int64()), pa.array(key, pa.binary()),
-                        pa.array(node, pa.int64()), pa.array(cells, pa.binary()),
-                        pa.ListArray.from_arrays(offsets, pa.array(flat), type=arrow.field(5).type),
+                        part.column(0), pa.array(size, pa.int64()), pa.array(key, pa.binary()),
+                        pa.array([k and _node(k) for k in key], pa.int64()), _lists(sample),
                     ],
-                    schema=arrow,
+                    names=["doc_id", "n_shingles", "key", "node", "sample"],
                 )
 
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(tidy(run), schema)
+    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(
+        tidy(run), f"doc_id {kind}, n_shingles long, key binary, node long, sample array<long>"
+    )
+
+
+def alone(held: DataFrame) -> DataFrame:
+    """The rows of ``held`` (node, gram) whose element no other node holds, each once."""
+    ends = held.groupBy("gram").agg(F.min("node").alias("lo"), F.max("node").alias("hi"))
+    return ends.where("lo = hi").select(F.col("lo").alias("node"), "gram")
 
 
 def sets_of(docs: DataFrame, wanted: DataFrame, n: int, id_col: str, text_col: str) -> DataFrame:
-    """``rep, grams`` (64-bit hashes, all different) of the documents whose id is in ``wanted.rep``, one row an id."""
+    """``rep, node, grams`` (64-bit hashes, all different) of the documents whose id is in ``wanted.rep``, one row an id."""
     ids = small_enough(wanted.select(F.col("rep").alias("_id")))
     rows = docs.select(F.col(id_col).alias("rep"), F.col(text_col).alias("text"))
     rows = rows.join(ids, F.col("rep") == F.col("_id"), "left_semi")
@@ -282,18 +289,55 @@ def sets_of(docs: DataFrame, wanted: DataFrame, n: int, id_col: str, text_col: s
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                made = [gram_set(t.as_py(), n, powers).view(np.int64) for t in part.column(1)]
-                ends = np.concatenate(([0], np.cumsum([len(m) for m in made]))).astype(np.int32)
-                grams = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(made)))
-                yield pa.RecordBatch.from_arrays([part.column(0), grams], names=["rep", "grams"])
+                made = [gram_set(t.as_py(), n, powers) for t in part.column(1)]
+                nodes = [_node(set_key(m)) if len(m) else None for m in made]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(nodes, pa.int64()), _lists(made)], names=["rep", "node", "grams"])
+
+    made = rows.mapInArrow(tidy(run), f"rep {kind}, node long, grams array<long>").where("node is not null")
+    return made.groupBy("rep").agg(F.first("node").alias("node"), F.first("grams").alias("grams"))
+
+
+def rests(sets: DataFrame, join: PartEnum) -> DataFrame:
+    """``rep, size, alone, rest, cells, sigs`` of the sets that can link to another of ``sets``: the elements that others
+    hold, the number of those that none holds, sketch and signatures of the rest."""
+    own = alone(sets.select("node", F.explode("grams").alias("gram"))).groupBy("node").agg(F.collect_list("gram").alias("own"))
+    kind = sets.schema["rep"].dataType.simpleString()
+    p, q = join.p, join.q
+
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                keep, size, rest, cells, sigs = [], [], [], [], []
+                for k, (grams, own) in enumerate(zip(part.column(1), part.column(2))):
+                    grams = grams.values.to_numpy().view(np.uint64)
+                    left = np.setdiff1d(grams, own.values.to_numpy().view(np.uint64), assume_unique=True) if own.is_valid else grams
+                    if q * len(left) < p * len(grams):
+                        continue
+                    keep.append(k)
+                    size.append(len(grams))
+                    rest.append(left)
+                    cells.append(cell_hashes(left))
+                    sigs.append(np.unique(join.signatures(left, len(grams))))
+                counts = [pa.array(size, pa.int64()), pa.array([n - len(r) for n, r in zip(size, rest)], pa.int64())]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0).take(pa.array(keep, pa.int64())), *counts, _lists(rest), pa.array(cells, pa.binary()), _lists(sigs)],
+                    names=["rep", "size", "alone", "rest", "cells", "sigs"],
+                )
 
-    return rows.mapInArrow(tidy(run), f"rep {kind}, grams array<long>")
+    return sets.join(own, "node", "left").select("rep", "grams", "own").mapInArrow(
+        tidy(run), f"rep {kind}, size long, alone long, rest array<long>, cells binary, sigs array<long>"
+    )
 
 
 def possible(pairs: DataFrame, cells: DataFrame, p: int, q: int, most: int = BROADCAST_BYTES) -> DataFrame:
-    """The pairs ``a, b`` whose sketches do not rule out a link; ``cells``: rep, size, cells."""
-    left = cells.select(F.col("rep").alias("a"), F.col("size").alias("sa"), F.col("cells").alias("ca"))
-    right = cells.select(F.col("rep").alias("b"), F.col("size").alias("sb"), F.col("cells").alias("cb"))
+    """The pairs ``a, b`` whose sketches do not rule out a link; ``cells``: rep, size, alone, cells."""
+    left, right = (
+        cells.select(F.col("rep").alias(s), F.col("size").alias(f"s{s}"), F.col("alone").alias(f"o{s}"), F.col("cells").alias(f"c{s}"))
+        for s in ("a", "b")
+    )
 
     @F.pandas_udf("long")
     def differ(x, y):
@@ -306,7 +350,8 @@ def possible(pairs: DataFrame, cells: DataFrame, p: int, q: int, most: int = BRO
     if sketch_bytes(cells) <= most:
         left, right = F.broadcast(left), F.broadcast(right)
     both = pairs.join(left, "a").join(right, "b")
-    return both.where(differ("ca", "cb") * (q + p) <= (F.col("sa") + F.col("sb")) * (q - p)).select("a", "b")
+    apart = differ("ca", "cb") + F.col("oa") + F.col("ob")
+    return both.where(apart * (q + p) <= (F.col("sa") + F.col("sb")) * (q - p)).select("a", "b")
 
 
 def sketch_bytes(cells: DataFrame) -> int:
@@ -335,7 +380,7 @@ def in_blocks(rows: DataFrame, cells: DataFrame, p: int, q: int, limit: int, mos
         both = both.repartition(*key).join(F.broadcast(cells), "rep")
     else:
         both = both.join(cells, "rep").repartition(*key)
-    both = both.select(*key, "side", "size", "cells", "rep", "component")
+    both = both.select(*key, "side", "size", "cells", "rep", "component", "alone")
     kind = rows.schema["rep"].dataType.simpleString()
 
     def run(batches):
@@ -348,7 +393,7 @@ def in_blocks(rows: DataFrame, cells: DataFrame, p: int, q: int, limit: int, mos
             if not n0:
                 return
             rep, comp = np.array(t.column("rep").to_pylist(), object), np.array(t.column("component").to_pylist(), object)
-            size = t.column("size").to_numpy()
+            size, own = t.column("size").to_numpy(), t.column("alone").to_numpy()
             whole = t.column("cells").to_pylist()
             sketch = coarse(whole)
             fine = np.fromiter(map(len, whole), np.int64, len(whole)) > sketch.shape[1]
@@ -357,17 +402,23 @@ def in_blocks(rows: DataFrame, cells: DataFrame, p: int, q: int, limit: int, mos
             for at in range(0, n0, 32):
                 to = min(at + 32, n0)
                 sums = size[at:to, None] + size[None, n0:]
-                apart = least_distance(sketch[at:to, None], sketch[None, n0:])
-                ok = (apart * (q + p) <= sums * (q - p)) & (comp[at:to, None] != comp[None, n0:])
-                x, y = np.nonzero(ok)
+                # elements in which the rests may differ
+                room = sums * (q - p) // (q + p) - own[at:to, None] - own[None, n0:]
+                fits = q * np.minimum(size[at:to, None], size[None, n0:]) >= p * np.maximum(size[at:to, None], size[None, n0:])
+                x, y = np.nonzero(fits & (room >= 0) & (comp[at:to, None] != comp[None, n0:]))
+                room = room[x, y]
+                apart = np.concatenate([
+                    least_distance(sketch[at + x[k : k + 4096]], sketch[n0 + y[k : k + 4096]]) for k in range(0, len(x), 4096)
+                ] or [np.zeros(0, np.int64)])
+                ok = apart <= room
+                x, y, apart, room = x[ok], y[ok], apart[ok], room[ok]
                 both_fine = np.flatnonzero(fine[at + x] & fine[n0 + y])
-                u, v = x[both_fine], y[both_fine]
-                apart[u, v] = finest_distance([whole[at + k] for k in u.tolist()], [whole[n0 + k] for k in v.tolist()])
-                ok = apart[x, y] * (q + p) <= sums[x, y] * (q - p)
-                x, y = x[ok], y[ok]
+                apart[both_fine] = finest_distance([whole[at + k] for k in x[both_fine].tolist()], [whole[n0 + k] for k in y[both_fine].tolist()])
+                ok = apart <= room
+                x, y, apart = x[ok], y[ok], (apart + own[at + x] + own[n0 + y])[ok]
                 if len(x):
                     to_comp = comp[n0 + y]
-                    order = np.lexsort((y, apart[x, y], to_comp, x))
+                    order = np.lexsort((y, apart, to_comp, x))
                     x, y, to_comp = x[order], y[order], to_comp[order]
                     first = np.flatnonzero(np.concatenate(([True], (x[1:] != x[:-1]) | (to_comp[1:] != to_comp[:-1]))))
                     count = np.diff(np.append(first, len(x)))
@@ -401,14 +452,12 @@ def in_blocks(rows: DataFrame, cells: DataFrame, p: int, q: int, limit: int, mos
 
 
 def verified(pairs: DataFrame, sets: DataFrame, p: int, q: int) -> DataFrame:
-    """The pairs ``a, b`` whose full sets reach the threshold."""
-    left = sets.select(F.col("rep").alias("a"), F.col("grams").alias("ga"))
-    right = sets.select(F.col("rep").alias("b"), F.col("grams").alias("gb"))
+    """The pairs ``a, b`` whose sets reach the threshold; ``sets``: rep, size, rest (all elements that another set holds)."""
+    left, right = (sets.select(F.col("rep").alias(s), F.col("size").alias(f"s{s}"), F.col("rest").alias(f"g{s}")) for s in ("a", "b"))
 
     # 64-bit hashes, so one row at a time in the JVM: batches of whole sets would take far more memory than one pair does
     common = F.size(F.array_intersect("ga", "gb"))
-    total = F.size("ga") + F.size("gb")
-    enough = common.cast("long") * (q + p) >= total.cast("long") * p
+    enough = common.cast("long") * (q + p) >= (F.col("sa") + F.col("sb")) * p
     return pairs.join(left, "a").join(right, "b").where(enough).select("a", "b")
 
 
@@ -418,34 +467,37 @@ def jaccard_components(
 ) -> DataFrame:
     """``doc_id, n_shingles, component_id`` of every row of ``docs``.
 
-    ``lean`` trades time for disk where few texts are equal and the threshold is low:
-    signatures are made anew for both passes over them instead of being stored, the
-    first pass counts them instead of comparing their sets, the sets of candidates
-    are not stored either, and only a quarter as many sketches are broadcast.  The
+    ``lean`` trades time for disk where the threshold is low: the sampled elements are made
+    anew instead of being stored, and only a quarter as many sketches are broadcast.  The
     result is the same.
     """
     join = PartEnum(p, q, subs, skip, spare, weak)
-    rows = stored(sketch(docs, n, None if lean else join, id_col, text_col), "join-sketch")
+    share = min(1.0, SAMPLE * (q - p) / q)
+    rows = stored(sketch(docs, n, 0.0 if lean else share, id_col, text_col), "join-sketch")
     if not _one_text_an_id(rows):
         discard(rows)
         return _by_id_and_text(docs, n, p, q, subs, skip, spare, weak, id_col, text_col, lean)
     classes = stored(
-        rows.where(F.col("key").isNotNull()).groupBy("node", "key").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("size"), F.first("cells").alias("cells")),
+        rows.where(F.col("key").isNotNull()).groupBy("node", "key").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("size")),
         "join-classes",
     )
     if lean:
         free_shuffles(docs.sparkSession)
-    signed = (sketch(docs, n, join, id_col, text_col) if lean else rows).select(F.explode("sigs").alias("sig"), "node")
-    if lean:
-        shared = stored(signed.groupBy("sig").agg(F.count(F.lit(1)).alias("held")).where("held > 1").select("sig"), "join-shared")
-        free_shuffles(docs.sparkSession)  # the second pass needs the room of the first
-    else:
-        shared = signed.groupBy("sig").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi").select("sig")
-    table = stored(
-        signed.join(shared, "sig").distinct().join(classes.where(F.col("rep").isNotNull()).drop("cells"), "node").select("sig", "rep", "size").distinct(),
-        "join-signatures",
+    sample = (sketch(docs, n, share, id_col, text_col) if lean else rows).select("node", F.explode("sample").alias("gram"))
+    own = alone(sample).groupBy("node").agg(F.count(F.lit(1)).alias("own"))
+    able = stored(
+        classes.join(own, "node", "left").where(q * (F.col("size") - F.coalesce("own", F.lit(0))) >= p * F.col("size")).select("rep"),
+        "join-able",
     )
-    labels = _link(docs, table, classes, n, p, q, id_col, text_col, lean)
+    if lean:
+        free_shuffles(docs.sparkSession)
+    sets = stored(sets_of(docs, able, n, id_col, text_col), "join-sets")
+    core = stored(rests(sets, join), "join-rests")
+    discard(able, sets)
+    signed = core.select(F.explode("sigs").alias("sig"), "rep", "size", "alone")
+    shared = signed.groupBy("sig").agg(F.count(F.lit(1)).alias("held")).where("held > 1").select("sig")
+    table = stored(signed.join(shared, "sig"), "join-signatures")
+    labels = _link(table, core, p, q, lean)
     answer = rows.select("doc_id", "n_shingles", "node", "key").join(
         classes.select(F.col("node").alias("_n"), F.col("key").alias("_k"), "rep"),
         (F.col("node") == F.col("_n")) & (F.col("key") == F.col("_k")), "left",
@@ -497,16 +549,14 @@ def keep_one_of_each_group(docs: DataFrame, id_col: str = "doc_id", text_col: st
     return docs.join(gone, docs[id_col] == gone["_gone_id"], "left_anti")
 
 
-def _link(docs, table, classes, n, p, q, id_col, text_col, lean) -> DataFrame | None:
+def _link(table, core, p, q, lean) -> DataFrame | None:
     """``node, component`` of the classes that share a signature with another; None if no class does."""
     wanted = stored(table.select("rep").distinct(), "join-wanted")
     if wanted.isEmpty():
         return None
-    cells = stored(
-        classes.join(small_enough(wanted), "rep", "left_semi").groupBy("rep").agg(F.first("size").alias("size"), F.first("cells").alias("cells")),
-        "join-cells",
-    )
+    cells = stored(core.join(small_enough(wanted), "rep", "left_semi").select("rep", "size", "alone", "cells"), "join-cells")
     fits = (q * F.least("size", "size2") >= p * F.greatest("size", "size2"))
+    fits &= (F.col("alone") + F.col("alone2")) * (q + p) <= (F.col("size") + F.col("size2")) * (q - p)
     labels, edges, tried, opened, limit = None, None, None, None, PROPOSALS
     most = BROADCAST_BYTES // 4 if lean else BROADCAST_BYTES
     for turn in itertools.count():
@@ -518,10 +568,11 @@ def _link(docs, table, classes, n, p, q, id_col, text_col, lean) -> DataFrame |
             )
         open_sigs = left.groupBy("sig").agg(
             F.min("component").alias("_lo"), F.max("component").alias("_hi"), F.count(F.lit(1)).alias("m"),
-            F.min(F.struct(F.xxhash64(F.col("rep"), F.lit(turn)).alias("h"), "rep", "size", "component")).alias("_lead"),
+            F.min(F.struct(F.xxhash64(F.col("rep"), F.lit(turn)).alias("h"), "rep", "size", "alone", "component")).alias("_lead"),
         ).where("_lo < _hi").select("sig", "m", "_lead")
         lead = open_sigs.select(
-            "sig", "m", F.col("_lead.rep").alias("rep2"), F.col("_lead.size").alias("size2"), F.col("_lead.component").alias("component2")
+            "sig", "m", F.col("_lead.rep").alias("rep2"), F.col("_lead.size").alias("size2"), F.col("_lead.alone").alias("alone2"),
+            F.col("_lead.component").alias("component2"),
         )
         left = left.join(lead, "sig")
         blocks = turn >= LEADERS
@@ -529,7 +580,7 @@ def _link(docs, table, classes, n, p, q, id_col, text_col, lean) -> DataFrame |
             left = stored(left, "join-open")
             if opened is not None:
                 discard(opened)
-            opened, table = left, left.select("sig", "rep", "size")  # what is closed stays closed
+            opened, table = left, left.select("sig", "rep", "size", "alone")  # what is closed stays closed
             if left.isEmpty():
                 return labels
         if blocks:
@@ -544,11 +595,9 @@ def _link(docs, table, classes, n, p, q, id_col, text_col, lean) -> DataFrame |
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         ends = stored(pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct(), "join-ends")
-        sets = sets_of(docs, ends, n, id_col, text_col).groupBy("rep").agg(F.first("grams").alias("grams"))
-        if not lean:  # else one exchange of the sets serves both sides of the pairs
-            sets = stored(sets, "join-sets")
+        sets = core.select("rep", "size", "rest").join(small_enough(ends), "rep", "left_semi")
         new = stored(verified(pairs, sets, p, q), "join-links")
-        discard(ends, *(() if lean else (sets,)))
+        discard(ends)
         tried = found.select("a", "b") if tried is None else tried.unionByName(found.select("a", "b"))
         edges = new if edges is None else edges.unionByName(new)
         labels = connected(edges)

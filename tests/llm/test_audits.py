@@ -11,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from prismark.llm import chat_format as chat, filter_interaction as fi, source_divergence as sd
+from tests.llm import brute
 
 SF = "/root/testdata/sf0.001"
 BYTE_BPE = P.path("byte_bpe_50k.json")
@@ -227,6 +228,31 @@ def test_members_of_one_signature_that_do_not_link_make_few_candidates(spark, mo
     assert sum(made) <= 5040
 
 
+def test_near_copies_that_do_not_link_are_no_candidates(spark, monkeypatch):
+    """250 variants of one text: 60 with one changed word link, 190 with two link to nothing and are not held against each other by full sets."""
+    from prismark.llm import jaccard_join as jj
+
+    made = []
+
+    def counted(df, name, stored=jj.stored):
+        out = stored(df, name)
+        if name == "join-candidates":
+            made.append(out.count())
+        return out
+
+    monkeypatch.setattr(jj, "stored", counted)
+    base, rows = [f"w{k}" for k in range(150)], []
+    for k, changed in enumerate([(j % 9,) for j in range(60)] + list(itertools.combinations(range(9, 29), 2))):
+        words = list(base)
+        for at in changed:
+            words[5 * at + 3] = f"new{k}x{at}"
+        rows.append((k, " ".join(words)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jj.jaccard_components(df, n=3, p=90, q=100).collect()}
+    assert got == brute.components(rows, 3, 90, 100) and sum(c == 0 for _, c in got.values()) == 60
+    assert sum(made) <= 1000
+
+
 def test_sketches_bound_the_distance_at_every_size():
     from prismark.llm import jaccard_join as jj
 
