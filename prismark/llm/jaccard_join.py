@@ -62,6 +62,10 @@ SAMPLE = 2.25
 BROADCAST_BYTES = 1 << 27
 #: Members of a signature in one block.
 BLOCK = 512
+#: Bytes of rows with sketches that one task of blocks sorts, about.
+TASK_BYTES = 1 << 25
+#: Bytes of sketches that are compared at once.
+COMPARED_BYTES = 1 << 22
 #: Rounds of leaders before blocks.
 LEADERS = 2
 #: Sets of another component that a member proposes in the first round of blocks.
@@ -220,8 +224,10 @@ def finest_distance(x, y) -> np.ndarray:
     size = np.minimum(np.fromiter(map(len, x), np.int64, len(x)), np.fromiter(map(len, y), np.int64, len(y)))
     out = np.zeros(len(size), np.int64)
     for n in np.unique(size).tolist():
-        rows = np.flatnonzero(size == n).tolist()
-        out[rows] = least_distance(coarse([x[k] for k in rows], n), coarse([y[k] for k in rows], n))
+        rows, step = np.flatnonzero(size == n), max(1, COMPARED_BYTES // n)
+        for at in range(0, len(rows), step):
+            some = rows[at : at + step].tolist()
+            out[some] = least_distance(coarse([x[k] for k in some], n), coarse([y[k] for k in some], n))
     return out
 
 
@@ -358,10 +364,18 @@ def sketch_bytes(cells: DataFrame) -> int:
     return cells.agg(F.coalesce(F.sum(F.length("cells")), F.lit(0))).first()[0]
 
 
+def block_tasks(rows: DataFrame) -> int:
+    """Tasks for the blocks of ``rows``, by the bytes that they have with their sketches: these are joined to rows already dealt, so Spark sees far fewer."""
+    sides = F.when(F.col("component") != F.col("component2"), 2).otherwise(1)
+    row = F.greatest(F.lit(CELLS), F.col("size")) + 100  # a sketch has no more cells than its set has elements, or CELLS
+    total = rows.agg(F.sum(F.ceil(F.col("m") / BLOCK) * sides * row)).first()[0]
+    return (total or 0) // TASK_BYTES + 1
+
+
 def in_blocks(rows: DataFrame, cells: DataFrame, p: int, q: int, limit: int, most: int = BROADCAST_BYTES) -> DataFrame:
     """Pairs ``a, b`` under one signature, in different components, that sketches allow.
 
-    ``rows``: sig, rep, component, component2 (the leader's), m (members of the
+    ``rows``: sig, rep, size, component, component2 (the leader's), m (members of the
     signature).  Members outside the leader's component meet all members, block by
     block; a block pair is one run of sorted rows in some task.  A member proposes
     the ``limit`` nearest of each other component; ``more`` marks proposals of which
@@ -375,11 +389,11 @@ def in_blocks(rows: DataFrame, cells: DataFrame, p: int, q: int, limit: int, mos
         "sig", F.col("own").alias("i"), F.col("other").alias("j"), F.lit(0).alias("side"), "rep", "component"
     )
     member = base.select("sig", F.col("other").alias("i"), F.col("own").alias("j"), F.lit(1).alias("side"), "rep", "component")
-    both, key = minor.unionByName(member), ("sig", "i", "j")
+    both, key, tasks = minor.unionByName(member), ("sig", "i", "j"), block_tasks(rows)
     if sketch_bytes(cells) <= most:  # sketches are looked up where the rows have been dealt to
-        both = both.repartition(*key).join(F.broadcast(cells), "rep")
+        both = both.repartition(tasks, *key).join(F.broadcast(cells), "rep")
     else:
-        both = both.join(cells, "rep").repartition(*key)
+        both = both.join(cells, "rep").repartition(tasks, *key)
     both = both.select(*key, "side", "size", "cells", "rep", "component", "alone")
     kind = rows.schema["rep"].dataType.simpleString()
 

@@ -175,4 +175,4 @@ def pack(
 
     id_kind = docs.schema[id_col].dataType
     schema = PIECES.format(id=id_kind.simpleString())
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(tidy(run), schema)
+    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(tidy(run, cached=True), schema)

@@ -168,7 +168,7 @@ def write_token_files(
             )
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    made = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text").mapInArrow(tidy(run), MANIFEST)
+    made = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text").mapInArrow(tidy(run, cached=True), MANIFEST)
     manifest = stored(made, "token-manifest")  # one row per file
     before = Window.orderBy(F.col("first_doc").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
     return manifest.withColumn("base", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)))

@@ -268,6 +268,49 @@ def test_sketches_bound_the_distance_at_every_size():
             assert jj.finest_distance([a], [b])[0] > min(apart, len(x)) // 4
 
 
+def test_sketches_of_many_long_sets_are_compared_a_few_at_a_time():
+    import tracemalloc
+
+    from prismark.llm import jaccard_join as jj
+
+    x, y = bytes(16_384), bytes(16_383) + b"x"
+    tracemalloc.start()
+    assert jj.finest_distance([x] * 2000, [y] * 2000).tolist() == [1] * 2000
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 40_000_000  # 2000 rows of both sides and their comparison take 98 MB
+
+
+def test_a_task_of_blocks_sorts_a_bounded_number_of_bytes(spark, monkeypatch):
+    from prismark.llm import jaccard_join as jj
+
+    rnd = np.random.default_rng(4)
+    base = [np.unique(rnd.integers(0, 1 << 63, 700, np.uint64)) for _ in range(30)]
+    held = [(k, len(b), 0, bytearray(jj.cell_hashes(b))) for k, b in enumerate(base + [b[1:] for b in base])]
+    cells = spark.createDataFrame(held, "rep long, size long, alone long, cells binary")
+    rows = spark.createDataFrame([(7, k, n, k, 0, 60) for k, n, _, _ in held], "sig long, rep long, size long, component long, component2 long, m long")
+    monkeypatch.setattr(jj, "BLOCK", 10)
+    monkeypatch.setattr(jj, "TASK_BYTES", 20_000)
+    # six blocks meet the rows; all but one are members outside the leader's component too
+    tasks = sum(6 * (2 if k else 1) * (n + 100) for k, n, _, _ in held) // 20_000 + 1
+    assert jj.block_tasks(rows) == tasks > 25
+    for most in (jj.BROADCAST_BYTES, 0):
+        found = jj.in_blocks(rows, cells, 80, 100, 4, most)
+        assert f", {tasks}), REPARTITION_BY_NUM" in found._jdf.queryExecution().toString()
+        assert {(r.a, r.b) for r in found.collect()} == {(k, k + 30) for k in range(30)}
+
+
+def test_a_worker_drops_what_other_work_cached():
+    from prismark.llm.runtime import tidy, worker_cached
+
+    made = []
+    build = lambda: made.append(1) or len(made)
+    assert worker_cached("test", build) == 1
+    assert list(tidy(lambda batches: (b + worker_cached("test", build) for b in batches), cached=True)(iter([10, 20]))) == [11, 21]
+    assert list(tidy(lambda batches: batches)(iter([1, 2]))) == [1, 2]
+    assert worker_cached("test", build) == 2
+
+
 # --- operators 1 to 3: texts that stand for themselves ------------------------------------------
 
 
