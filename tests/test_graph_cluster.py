@@ -113,6 +113,29 @@ def test_title_blocks_equal_single_comparisons():
             assert block.best(other, least) == ((scores.index(top), top) if top > least else None)
 
 
+def test_title_bounds_rule_out_titles_of_the_same_letters():
+    rnd = random.Random(7)
+    letters = "eeeeetttaaaooiinnsshhrdlucmfwygpb     "
+    titles = ["".join(rnd.choice(letters) for _ in range(rnd.randint(280, 320))) for _ in range(200)]
+    others = ["".join(rnd.choice(letters) for _ in range(300)) for _ in range(20)]
+    block = TitleBlock(titles, list(range(200)))
+    assert block.best_of_each(others, 80) == [None] * 20
+    assert not any(block.packs)  # no title was compared whole
+
+
+def test_title_blocks_equal_single_comparisons_over_long_and_foreign_titles():
+    rnd = random.Random(11)
+    for letters in ("ab", "abcdefghijklmnopqrstuvwxyz \u00e9\u00fc", [chr(0x4E00 + k) for k in range(300)] + list("ab \ud800\U0001f600")):
+        titles = ["".join(rnd.choice(letters) for _ in range(rnd.choice([0, 1, 62, 63, 64, 90, 600, 1300]))) for _ in range(80)]
+        titles += ["".join(c for c in t if rnd.random() > 0.1) for t in titles[:60]]
+        others = ["".join(c if rnd.random() > 0.08 else rnd.choice(letters) for c in t) for t in titles[::4]] + ["", "zzz", titles[5]]
+        scores = [[indel_ratio(t, other) for t in titles] for other in others]
+        block = TitleBlock(titles, list(range(len(titles))), pack_chars=3000)
+        for least in (0, 50, 80, 95):
+            want = [(row.index(max(row)), max(row)) if max(row) > least else None for row in scores]
+            assert block.best_of_each(others, least) == want
+
+
 def test_silhouette_and_nearest(spark):
     pts = [(0, [0.0, 0.0], 0), (1, [0.0, 1.0], 0), (2, [10.0, 10.0], 1), (3, [10.0, 11.0], 1)]
     df = spark.createDataFrame(pts, "id long, v array<double>, label int")
