@@ -46,6 +46,7 @@ gives no rows; other columns are not read.
 from __future__ import annotations
 
 import itertools
+import math
 
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
@@ -66,6 +67,8 @@ BLOCK = 512
 TASK_BYTES = 1 << 25
 #: Bytes of sketches that are compared at once.
 COMPARED_BYTES = 1 << 22
+#: Pairs of rows of one signature that are looked at together.
+PAIRS = 1 << 18
 #: Rounds of leaders before blocks.
 LEADERS = 2
 #: Sets of another component that a member proposes in the first round of blocks.
@@ -372,6 +375,41 @@ def block_tasks(rows: DataFrame) -> int:
     return (total or 0) // TASK_BYTES + 1
 
 
+def one_of_each(signed: DataFrame) -> DataFrame:
+    """``sig`` of ``signed`` (sig, rep) that several sets hold; of those with the same members only one, since they propose the same pairs."""
+    # each set holds a signature once, so 128 bits of its members' hashes and their number stand for all of them
+    members = [F.bit_xor(F.xxhash64(F.lit(seed), F.col("rep"))).alias(f"h{seed}") for seed in (1, 2)]
+    held = signed.groupBy("sig").agg(F.count(F.lit(1)).alias("held"), *members).where("held > 1")
+    return held.groupBy("held", "h1", "h2").agg(F.min("sig").alias("sig")).select("sig")
+
+
+def tile_blocks(total: int, cores: int) -> int:
+    """Blocks of all sets, whose sketches have ``total`` bytes: a tile of two holds ``TASK_BYTES`` about, and there are two tiles a core at least."""
+    return max(-(-2 * total // TASK_BYTES), math.isqrt(2 * cores - 1) + 1)
+
+
+def in_tiles(rows: DataFrame, cells: DataFrame, blocks: int, groups: int) -> DataFrame:
+    """The sides of ``in_blocks`` without sketches, dealt to tiles ``i, j``, and a row (``side`` -1) with the sketch of each set in a tile.
+
+    Members of a large signature meet in tiles of ``blocks`` blocks of all sets, those of others as a whole, together with
+    the signatures that have the same first member: near copies share many signatures, but need few sketches twice.
+    """
+    own = F.pmod(F.xxhash64("rep"), F.lit(blocks)).cast("int").alias("own")
+    placed = rows.select("sig", "rep", "component", "m", (F.col("component") != F.col("component2")).alias("minor"), own)
+    # at most ``blocks`` of either: the blocks that a signature has members in
+    met = placed.groupBy("sig").agg(
+        F.collect_set("own").alias("members"), F.collect_set(F.when(F.col("minor"), F.col("own"))).alias("minors"),
+        F.pmod(F.min(F.xxhash64("rep")), F.lit(groups)).cast("int").alias("first"),
+    )
+    base, tile = placed.join(met, "sig"), lambda i, j: F.struct(i.alias("i"), j.alias("j"))
+    whole = F.when(F.col("m") <= BLOCK, F.array(tile(F.lit(-1), F.col("first"))))
+    minor = base.where("minor").withColumn("t", F.explode(whole.otherwise(F.transform("members", lambda b: tile(F.col("own"), b))))).withColumn("side", F.lit(0))
+    member = base.withColumn("t", F.explode(whole.otherwise(F.transform("minors", lambda b: tile(b, F.col("own")))))).withColumn("side", F.lit(1))
+    sides = minor.unionByName(member).select("sig", "t.i", "t.j", "side", "rep", "component")
+    needed = sides.select("i", "j", "rep").distinct().join(cells, "rep").withColumns({"sig": F.lit(0).cast("long"), "side": F.lit(-1)})
+    return sides.unionByName(needed, allowMissingColumns=True)
+
+
 def in_blocks(rows: DataFrame, cells: DataFrame, p: int, q: int, limit: int, most: int = BROADCAST_BYTES) -> DataFrame:
     """Pairs ``a, b`` under one signature, in different components, that sketches allow.
 
@@ -379,7 +417,8 @@ def in_blocks(rows: DataFrame, cells: DataFrame, p: int, q: int, limit: int, mos
     signature).  Members outside the leader's component meet all members, block by
     block; a block pair is one run of sorted rows in some task.  A member proposes
     the ``limit`` nearest of each other component; ``more`` marks proposals of which
-    others were held back.
+    others were held back.  Sketches of more than ``most`` bytes are not broadcast, but
+    go to each tile that has a row of their set once (``in_tiles``).
     """
     blocks = F.ceil(F.col("m") / BLOCK).cast("int")
     own = F.pmod(F.xxhash64("rep"), blocks).cast("int")
@@ -389,32 +428,33 @@ def in_blocks(rows: DataFrame, cells: DataFrame, p: int, q: int, limit: int, mos
         "sig", F.col("own").alias("i"), F.col("other").alias("j"), F.lit(0).alias("side"), "rep", "component"
     )
     member = base.select("sig", F.col("other").alias("i"), F.col("own").alias("j"), F.lit(1).alias("side"), "rep", "component")
-    both, key, tasks = minor.unionByName(member), ("sig", "i", "j"), block_tasks(rows)
-    if sketch_bytes(cells) <= most:  # sketches are looked up where the rows have been dealt to
-        both = both.repartition(tasks, *key).join(F.broadcast(cells), "rep")
+    key, tasks, total = ("i", "j", "sig"), block_tasks(rows), sketch_bytes(cells)
+    whole_tiles = total > most
+    if not whole_tiles:  # sketches are looked up where the rows have been dealt to
+        both = minor.unionByName(member).repartition(tasks, *key).join(F.broadcast(cells), "rep")
     else:
-        both = both.join(cells, "rep").repartition(tasks, *key)
+        cores = rows.sparkSession.sparkContext.defaultParallelism
+        both = in_tiles(rows, cells, tile_blocks(total, cores), tasks).repartition(tasks, "i", "j")
     both = both.select(*key, "side", "size", "cells", "rep", "component", "alone")
     kind = rows.schema["rep"].dataType.simpleString()
 
     def run(batches):
         import pyarrow as pa
 
-        def candidates(run_of_rows):
-            t = pa.Table.from_batches(run_of_rows)
-            side = t.column("side").to_numpy()
-            n0 = int((side == 0).sum())
-            if not n0:
+        def candidates(side, rep, component, size, whole, own):
+            n0 = side.count(0)
+            if not n0 or n0 == len(side):
                 return
-            rep, comp = np.array(t.column("rep").to_pylist(), object), np.array(t.column("component").to_pylist(), object)
-            size, own = t.column("size").to_numpy(), t.column("alone").to_numpy()
-            whole = t.column("cells").to_pylist()
+            codes = {}
+            comp = np.array([codes.setdefault(c, len(codes)) for c in component])
+            if len(codes) == 1:
+                return
+            rep, size, own = np.array(rep, object), np.array(size), np.array(own)
             sketch = coarse(whole)
             fine = np.fromiter(map(len, whole), np.int64, len(whole)) > sketch.shape[1]
-            _, comp = np.unique(comp.astype(str), return_inverse=True)
-            kind = t.schema.field("rep").type
-            for at in range(0, n0, 32):
-                to = min(at + 32, n0)
+            step = min(32, max(1, PAIRS // (len(rep) - n0)))
+            for at in range(0, n0, step):
+                to = min(at + step, n0)
                 sums = size[at:to, None] + size[None, n0:]
                 # elements in which the rests may differ
                 room = sums * (q - p) // (q + p) - own[at:to, None] - own[None, n0:]
@@ -427,7 +467,8 @@ def in_blocks(rows: DataFrame, cells: DataFrame, p: int, q: int, limit: int, mos
                 ok = apart <= room
                 x, y, apart, room = x[ok], y[ok], apart[ok], room[ok]
                 both_fine = np.flatnonzero(fine[at + x] & fine[n0 + y])
-                apart[both_fine] = finest_distance([whole[at + k] for k in x[both_fine].tolist()], [whole[n0 + k] for k in y[both_fine].tolist()])
+                if len(both_fine):
+                    apart[both_fine] = finest_distance([whole[at + k] for k in x[both_fine].tolist()], [whole[n0 + k] for k in y[both_fine].tolist()])
                 ok = apart <= room
                 x, y, apart = x[ok], y[ok], (apart + own[at + x] + own[n0 + y])[ok]
                 if len(x):
@@ -440,27 +481,37 @@ def in_blocks(rows: DataFrame, cells: DataFrame, p: int, q: int, limit: int, mos
                     near, more = rank < limit, np.repeat(count > limit, count)
                     a, b = rep[at + x[near]], rep[n0 + y[near]]
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([min(u, v) for u, v in zip(a, b)], kind), pa.array([max(u, v) for u, v in zip(a, b)], kind), pa.array(more[near])],
+                        [pa.array([min(u, v) for u, v in zip(a, b)], id_type), pa.array([max(u, v) for u, v in zip(a, b)], id_type), pa.array(more[near])],
                         names=["a", "b", "more"],
                     )
 
-        held, key = [], None
+        held, key, known = [[], [], []], None, {}  # known: the sketches of a tile, or of a run
         for batch in batches:
-            keys = np.stack([batch.column(k).to_numpy() for k in range(3)], 1)
+            id_type = batch.schema.field("rep").type
+            side = batch.column(3).to_numpy()
+            keys = np.stack([*(batch.column(k).to_numpy() for k in range(3)), side < 0], 1)
+            rows = [side.tolist(), *(batch.column(c).to_pylist() for c in ("rep", "component"))]
+            sketches = list(zip(*(batch.column(c).to_pylist() for c in ("size", "cells", "alone"))))
             cuts = np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1
             edges = [0, *cuts.tolist(), len(keys)]
             for u, v in zip(edges[:-1], edges[1:]):
                 if u == v:
                     continue
-                if held and key != tuple(keys[u].tolist()):
-                    yield from candidates(held)
-                    held = []
+                if held[0] and key != tuple(keys[u].tolist()):
+                    yield from candidates(*held, *zip(*map(known.__getitem__, held[1])))
+                    held = [[], [], []]
+                if (not key or key[:2] != tuple(keys[u, :2].tolist())) if whole_tiles else not held[0]:
+                    known = {}
                 key = tuple(keys[u].tolist())
-                held.append(batch.slice(u, v - u))
-        if held:
-            yield from candidates(held)
-
-    return both.sortWithinPartitions(*key, "side").mapInArrow(tidy(run), f"a {kind}, b {kind}, more boolean").groupBy("a", "b").agg(
+                if sketches[u][1] is not None:
+                    known.update(zip(rows[1][u:v], sketches[u:v]))
+                if side[u] >= 0:
+                    for have, values in zip(held, rows):
+                        have.extend(values[u:v])
+        if held[0]:
+            yield from candidates(*held, *zip(*map(known.__getitem__, held[1])))
+
+    return both.sortWithinPartitions("i", "j", F.col("side") >= 0, "sig", "side").mapInArrow(tidy(run), f"a {kind}, b {kind}, more boolean").groupBy("a", "b").agg(
         F.max("more").alias("more")
     )
 
@@ -509,8 +560,7 @@ def jaccard_components(
     core = stored(rests(sets, join), "join-rests")
     discard(able, sets)
     signed = core.select(F.explode("sigs").alias("sig"), "rep", "size", "alone")
-    shared = signed.groupBy("sig").agg(F.count(F.lit(1)).alias("held")).where("held > 1").select("sig")
-    table = stored(signed.join(shared, "sig"), "join-signatures")
+    table = stored(signed.join(one_of_each(signed), "sig"), "join-signatures")
     labels = _link(table, core, p, q, lean)
     answer = rows.select("doc_id", "n_shingles", "node", "key").join(
         classes.select(F.col("node").alias("_n"), F.col("key").alias("_k"), "rep"),

@@ -337,3 +337,51 @@ def test_stages_keep_columns_whose_names_clash(spark):
     assert got == {1: (1, "write to <email> or <ip>", *range(9)), 2: (2, " write to <email>  or <ip>", *range(9)), 3: rows[2], 4: rows[3]}
     first = exact_dedup.keep_first(df)
     assert first.columns == names and {tuple(r) for r in first.collect()} == {rows[1], rows[2], rows[3]}
+
+
+# --- operator 5: disk of blocks ----------------------------------------------------------------
+
+
+def test_signatures_with_the_same_members_are_one(spark, monkeypatch):
+    """Three texts that link share dozens of signatures, but few sets of members."""
+    from prismark.llm import jaccard_join as jj
+
+    made = []
+
+    def watched(df, name, stored=jj.stored):
+        out = stored(df, name)
+        if name == "join-signatures":
+            made.extend((r.sig, r.rep) for r in out.collect())
+        return out
+
+    monkeypatch.setattr(jj, "stored", watched)
+    base = [f"w{k}" for k in range(400)]
+    rows = [(k, " ".join(base[:-1] + [f"new{k}"])) for k in range(3)] + [(9, "other words")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jj.jaccard_components(df, n=3, p=80, q=100).collect()}
+    assert got == brute.components(rows, 3, 80, 100)
+    members = [frozenset(rep for _, rep in held) for _, held in itertools.groupby(sorted(made), lambda m: m[0])]
+    assert 1 <= len(members) == len(set(members)) <= 4
+
+
+def test_a_sketch_goes_once_to_a_tile_however_many_signatures_need_it(spark, monkeypatch):
+    from prismark.llm import jaccard_join as jj
+
+    rnd = np.random.default_rng(4)
+    base = [np.unique(rnd.integers(0, 1 << 63, 700, np.uint64)) for _ in range(30)]
+    held = [(k, len(b), 0, bytearray(jj.cell_hashes(b))) for k, b in enumerate(base + [b[1:] for b in base])]
+    cells = spark.createDataFrame(held, "rep long, size long, alone long, cells binary")
+    signed = [(sig, k, n, k, 0) for sig in range(50) for k, n, _, _ in held if (k + sig) % 30 < 25]
+    counts = collections.Counter(r[0] for r in signed)
+    rows = spark.createDataFrame([(*r, counts[r[0]]) for r in signed], "sig long, rep long, size long, component long, component2 long, m long")
+    assert jj.tile_blocks(1 << 30, 6) == (1 << 31) // jj.TASK_BYTES and jj.tile_blocks(1, 6) == 4
+    for block, most_tiles in ((100, 2), (10, 2 * 3 - 1)):  # in two groups as a whole; in tiles of three blocks
+        monkeypatch.setattr(jj, "BLOCK", block)
+        tiles = jj.in_tiles(rows, cells, 3, 2).collect()
+        shipped = [(r.i, r.j, r.rep) for r in tiles if r.cells is not None]
+        assert len(shipped) == len(set(shipped)) <= 60 * most_tiles < len(signed) and all((r.cells is None) == (r.side >= 0) for r in tiles)
+        for pairs, most in ((jj.PAIRS, 0), (10, 0), (10, jj.BROADCAST_BYTES)):
+            monkeypatch.setattr(jj, "PAIRS", pairs)
+            found = jj.in_blocks(rows, cells, 80, 100, 4, most)
+            assert sorted(map(tuple, found.collect())) == [(k, k + 30, False) for k in range(30)]
+
